@@ -7,15 +7,23 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quireflow.llm import bpe, langid, media, token_counts
+from quireflow.llm import bpe, langid, media, quality, token_counts, toxicity
 from quireflow.llm.common import table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_counts.count_documents(docs, public_tokenizers.path("word_bpe_49k.json"), limit=2048)
@@ -31,7 +39,7 @@ def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_byte_bpe, op6_token_counts, op7_language_id, op9_media_columns)}
+    return {f.__name__: f for f in (op1_quality, op2_byte_bpe, op4_toxicity, op6_token_counts, op7_language_id, op9_media_columns)}
 
 
 def oracle_sql() -> dict[str, str]:
