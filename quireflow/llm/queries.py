@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quireflow.llm import bpe, langid, media, quality, token_counts, toxicity
+from quireflow.llm import bpe, decontam, langid, media, quality, token_counts, toxicity
 from quireflow.llm.common import table
 
 
@@ -38,8 +38,12 @@ def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height", "bit_depth", "channels")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_byte_bpe, op4_toxicity, op6_token_counts, op7_language_id, op9_media_columns)}
+    return {f.__name__: f for f in (op1_quality, op2_byte_bpe, op4_toxicity, op6_token_counts, op7_language_id, op9_media_columns, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
