@@ -15,6 +15,7 @@ all every text is ``und``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,7 @@ SAMPLE_ROWS = 6000
 SEED = 20260101
 
 
+@cache
 def letter_classes() -> np.ndarray:
     """Class of every code point: 0 for what is no letter; upper and lower case share one."""
     out = np.zeros(0x110000, np.uint8)

@@ -13,6 +13,7 @@ or rows of one class only, every score is the (smoothed) share of label 1.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -30,6 +31,7 @@ ROUNDS, PAIR_ROUNDS, RATE = 150, 80, 0.15
 NAMES = ["log_chars", "upper", "digit", "space", "stop", "mark", "symbol", "word_chars", "log_words", "distinct_words", "distinct_trigrams", "same_as_before", "line_chars", "distinct_lines", "odd_ends"]
 
 
+@cache
 def _classes() -> np.ndarray:
     """Class of a code point: 0 symbol, 1 lower or other letter, 2 upper letter, 3 digit, 4 space, 5 stop, 6 mark."""
     out = np.zeros(0x110000, np.uint8)
