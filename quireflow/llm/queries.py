@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quireflow.llm import bpe, decontam, langid, media, quality, token_counts, toxicity
+from quireflow.llm import bpe, decontam, langid, media, quality, substrings, token_counts, toxicity
 from quireflow.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_counts.count_documents(docs, public_tokenizers.path("word_bpe_49k.json"), limit=2048)
@@ -43,7 +47,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_byte_bpe, op4_toxicity, op6_token_counts, op7_language_id, op9_media_columns, op10_decontamination)}
+    return {f.__name__: f for f in (op1_quality, op2_byte_bpe, op4_toxicity, op5_substring_dedup, op6_token_counts, op7_language_id, op9_media_columns, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
