@@ -20,6 +20,7 @@ import re
 import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import cache
 from itertools import accumulate
 
 import pyarrow as pa
@@ -30,7 +31,7 @@ from quireflow.llm.bpe import byte_alphabet
 from quireflow.llm.common import chunks, small_batches
 
 #: What a worker remembers; forgetting costs time only.
-CACHE_ENTRIES, STATE_ENTRIES, PAIR_ENTRIES = 150_000, 400_000, 400_000
+CACHE_ENTRIES, STATE_ENTRIES, PAIR_ENTRIES = 350_000, 900_000, 300_000
 
 
 class PrefixCounter:
@@ -51,12 +52,12 @@ class PrefixCounter:
         self.table = dict(enumerate(byte_alphabet()))
         whole = {s for a, b in self.rank for s in (a + b,)}
         singles = set(self.table.values())
-        self.vocab = set(model["vocab"])
-        self.inner = {t for t in (whole | singles) & self.vocab if not t.endswith(self.end)}
-        self.final = {t[: -len(self.end)] for t in (whole | {s + self.end for s in singles}) & self.vocab if t.endswith(self.end)}
-        self.longest = max(map(len, self.inner | self.final))
-        self.stable: dict[tuple[str, str], bool] = {}
-        self.whole: dict[str, bool] = {}
+        inside = {t for t in whole | singles if t in model["vocab"] and not t.endswith(self.end)}
+        at_end = {t[: -len(self.end)] for t in whole | {s + self.end for s in singles} if t in model["vocab"] and t.endswith(self.end)}
+        #: Tokens by text without the word end: 1 occurs inside a word, 2 at its end, 3 both.
+        self.kind = {t: (t in inside) + 2 * (t in at_end) for t in inside | at_end}
+        self.longest = max(map(len, self.kind))
+        self.stable: tuple[dict[tuple[str, str], bool], dict[tuple[str, str], bool]] = ({}, {})
         self.states: dict[str, tuple[str, int, int]] = {}
         self.cache: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
@@ -78,22 +79,15 @@ class PrefixCounter:
     def _symbols(self, token: str, last: bool) -> list[str]:
         return [*token[:-1], token[-1] + self.end] if last else list(token)
 
-    def _fits(self, left: str, right: str, last: bool) -> bool:
-        """Do the two tokens stay apart and whole when their text is encoded together?"""
-        key = (left, right + self.end if last else right)
-        ok = self.stable.get(key)
+    def _stable(self, left: str, token: str, last: bool) -> bool:
+        """Do the two tokens stay apart and whole when their text is encoded together?  (``left`` may be empty.)"""
+        known = self.stable[last]
+        ok = known.get((left, token))
         if ok is None:
-            if len(self.stable) >= PAIR_ENTRIES:
-                self.stable.clear()
-            symbols = list(left) + self._symbols(right, last)
-            ok = self.stable[key] = self.merge(symbols) == [key[0], key[1]]
-        return ok
-
-    def _single(self, token: str, last: bool) -> bool:
-        key = token + self.end if last else token
-        ok = self.whole.get(key)
-        if ok is None:
-            ok = self.whole[key] = self.merge(self._symbols(token, last)) == [key]
+            if len(known) >= PAIR_ENTRIES:
+                known.clear()
+            want = [x for x in (left, token + self.end if last else token) if x]
+            ok = known[left, token] = self.merge(list(left) + self._symbols(token, last)) == want
         return ok
 
     def word(self, word: str) -> tuple[int, ...]:
@@ -120,17 +114,21 @@ class PrefixCounter:
 
     def _extend(self, mapped: str, known: int) -> None:
         """Fill the states of the prefixes longer than ``known``: last token, count, and count if ended there."""
-        states, inner, final, longest = self.states, self.inner, self.final, self.longest
+        states, kind, longest, stable = self.states, self.kind.get, self.longest, self._stable
         before = [("", 0)]
         before += [states[mapped[:j]][:2] for j in range(1, known + 1)]
         for j in range(known + 1, len(mapped) + 1):
             last = ended = None
             for i in range(max(0, j - longest), j):
+                k = kind(mapped[i:j])
+                if k is None:
+                    continue
+                left, n = before[i]
                 token = mapped[i:j]
-                if last is None and token in inner and (self._fits(before[i][0], token, False) if i else self._single(token, False)):
-                    last = token, before[i][1] + 1
-                if ended is None and token in final and (self._fits(before[i][0], token, True) if i else self._single(token, True)):
-                    ended = before[i][1] + 1
+                if last is None and k & 1 and stable(left, token, False):
+                    last = token, n + 1
+                if ended is None and k & 2 and stable(left, token, True):
+                    ended = n + 1
                 if last is not None and ended is not None:
                     break
             if last is None or ended is None:
@@ -218,6 +216,12 @@ class PrefixTable:
         return k, next((i for i in range(len(counts), 0, -1) if counts[i - 1] <= left), 0)
 
 
+@cache
+def counter_of(spec: str) -> PrefixCounter:
+    """One counter for a tokenizer in each worker process, whose memory serves all tasks."""
+    return PrefixCounter(json.loads(spec))
+
+
 def read_spec(path: str) -> str:
     with open(path, encoding="utf-8") as f:
         return f.read()
@@ -234,7 +238,7 @@ def count_documents(docs: DataFrame, spec_path: str, limit: int) -> DataFrame:
     shipped = spark.sparkContext.broadcast(read_spec(spec_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PrefixCounter(json.loads(shipped.value))
+        counter = counter_of(shipped.value)
         for batch in chunks(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             n = [counter.count(t) for t in texts]
