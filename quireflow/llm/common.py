@@ -120,7 +120,7 @@ def ngram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     if k <= 0:
         return np.empty(0, np.uint64)
     with np.errstate(over="ignore"):
-        out = h[:k].copy()
-        for j in range(1, n):
-            out = mix(out + np.uint64(0x9E3779B97F4A7C15)) ^ h[j : j + k] if j % 2 else mix(out ^ h[j : j + k])
-        return mix(out)
+        out = np.full(k, n, np.uint64)
+        for j in range(n):
+            out = mix(out * np.uint64(0xD1342543DE82EF95) + h[j : j + k])
+        return out
