@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quireflow.llm.common import WordHashes, chunks, materialize, mix, ngram_hashes, small_batches
-from quireflow.llm.components import components
+from quireflow.llm.components import settle_buckets
 from quireflow.llm.substrings import NULL_ID
 
 SHINGLE = 4
@@ -258,21 +258,8 @@ def link(docs: DataFrame, parts: int | None = None, n: int = SHINGLE, percent: i
     candidates = members.select("doc").distinct()
     texts = materialize(compressed(own).join(candidates, "doc", "left_semi").groupBy("doc").agg(F.min("z").alias("z")), "jaccard-texts")
     tried = rows.filter(F.col("kind") == PAIR).select("a", "b").distinct()
-    links = rows.filter(F.col("kind") == LINK).select("a", "b").unionByName(verify(tried, texts, n, percent))
-    links = materialize(links, "jaccard-links")
-    label = materialize(components(links), "jaccard-labels")
-
-    # Buckets of one component have nothing left to find, whatever their size.
-    named = members.join(label, members.doc == label.node, "left").select("key", "doc", F.coalesce("component", "doc").alias("c"))
-    mixed = named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("doc").alias("d0"), F.max("doc").alias("d1"), F.count("*").alias("k"))
-    mixed = mixed.filter("lo != hi and k > 2").select("key")
-    open_ = materialize(named.join(mixed, "key", "left_semi").distinct(), "jaccard-open")
-    other = open_.select("key", F.col("doc").alias("b"), F.col("c").alias("cb"))
-    cross = open_.withColumnRenamed("doc", "a").join(other, "key").filter("c != cb and a < b").select("a", "b").distinct()
-    cross = cross.join(tried, ["a", "b"], "left_anti")
-    found = materialize(verify(cross, texts, n, percent), "jaccard-cross")
-    if not found.isEmpty():
-        label = materialize(components(links.unionByName(found)), "jaccard-labels")
+    links = rows.filter(F.col("kind") == LINK).select("a", "b")
+    label = settle_buckets(members.withColumnRenamed("doc", "node"), tried, links, lambda pairs: verify(pairs, texts, n, percent), "jaccard")
     sizes = rows.filter(F.col("kind") == SIZE).select(F.col("a").alias("node"), F.col("b").alias("n_shingles"))
     out = sizes.join(label, "node", "left").select("node", "n_shingles", F.coalesce("component", "node").alias("component"))
     null = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quireflow.llm import bpe, decontam, jaccard, langid, media, quality, substrings, token_counts, toxicity
+from quireflow.llm import bpe, decontam, jaccard, langid, lines, media, quality, substrings, token_counts, toxicity
 from quireflow.llm.common import table
 
 
@@ -41,6 +41,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
 def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = media.media_table(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height", "bit_depth", "channels")
@@ -51,7 +55,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_byte_bpe, op3_jaccard_join, op4_toxicity, op5_substring_dedup, op6_token_counts, op7_language_id, op9_media_columns, op10_decontamination)}
+    return {f.__name__: f for f in (op1_quality, op2_byte_bpe, op3_jaccard_join, op4_toxicity, op5_substring_dedup, op6_token_counts, op7_language_id, op8_line_dedup, op9_media_columns, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
