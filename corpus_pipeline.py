@@ -1,12 +1,61 @@
-"""Corpus pipeline: language ID, line dedup, n-gram Jaccard join, decontamination, byte-level BPE."""
+"""Corpus pipeline: language ID, line dedup, n-gram Jaccard join, decontamination, byte-level BPE.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
+as Parquet and read again as the next one's ``docs``.  All but the last return
+the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from quireflow.llm import bpe, decontam, jaccard, langid, lines
+from quireflow.llm.common import materialize, table
+
+#: Documents whose best cosine with a language is lower go; so do those without a letter.
+LEAST_LANGUAGE_SCORE = 0.2
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a learned language."""
+    return langid.keep_identified(docs, LEAST_LANGUAGE_SCORE)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines that are like an earlier one."""
+    return lines.drop_lines(docs)
+
+
+def join_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones."""
+    return jaccard.keep_first(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontam.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and decoded bytes."""
+    return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", dedup_lines),
+    ("jaccard_join", join_similar),
+    ("decontamination", decontaminate),
+    ("byte_bpe", encode),
+]
+
+#: The stages are beyond SQL; tests hold them against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -264,3 +264,9 @@ def link(docs: DataFrame, parts: int | None = None, n: int = SHINGLE, percent: i
     out = sizes.join(label, "node", "left").select("node", "n_shingles", F.coalesce("component", "node").alias("component"))
     null = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
     return out.select(null("node").alias("doc_id"), "n_shingles", null("component").alias("component_id"))
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """The rows of documents, all columns, that are the first of their group (or alone)."""
+    later = link(docs).filter("component_id != doc_id").select(F.col("doc_id").alias("__later")).distinct()
+    return docs.join(later, docs["doc_id"] == later["__later"], "left_anti")

@@ -154,3 +154,20 @@ def identify(docs: DataFrame, modulus: int = 4, held: int = 2) -> DataFrame:
     prototypes = learn(docs, ~crc_split(F.col("doc_id"), modulus, held))
     out = predict(docs.withColumn("doc_id", F.col("doc_id").cast("long")), prototypes)
     return out.select("doc_id", crc_split(F.col("doc_id"), modulus, held).alias("held_out"), "lang_pred", "score")
+
+
+def keep_identified(docs: DataFrame, least: float, modulus: int = 4, held: int = 2) -> DataFrame:
+    """The rows of documents, all columns, whose text has a language with at least this score."""
+    prototypes = learn(docs, ~crc_split(F.col("doc_id"), modulus, held))
+    matrix = np.array(list(prototypes.values()), np.float32).reshape(len(prototypes), DIMENSIONS)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        profiles = Profiles()
+        for batch in chunks(batches):
+            v = profiles.bundle(batch.column(at).to_pylist())
+            norm = np.linalg.norm(v, axis=1)
+            best = (v @ matrix.T).max(1, initial=-1) / np.maximum(norm, 1e-9)
+            yield batch.filter(pa.array((norm > 0) & (best >= least), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
