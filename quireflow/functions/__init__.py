@@ -1 +1 @@
-
+"""Column functions: coercion, geometry, parsing and names."""

@@ -1 +1 @@
-
+"""Composed stages and the catalogue of registered queries."""

@@ -1 +1 @@
-
+"""Structured Streaming front end."""
