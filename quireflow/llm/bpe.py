@@ -26,6 +26,7 @@ import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 
+from quireflow.llm.charclass import find_all
 from quireflow.llm.common import chunks, small_batches
 
 #: Chunks of text kept with their ids in each worker; forgetting costs time only.
@@ -100,7 +101,7 @@ class ByteBpe:
 
     def _pretokens(self, texts: list[str]) -> list[bytes]:
         """Ids, as little-endian 32-bit integers, of each text, every match of the pattern on its own."""
-        parts = [self.pattern.findall(t) for t in texts]
+        parts = [self.pattern.findall(t) if t.isascii() else [p for _, p in find_all(self.pattern, t)] for t in texts]
         flat = [p.encode().decode("latin-1").translate(self.table) for part in parts for p in part]
         ids = self.sp.encode(flat, num_threads=1) if flat else []
         out, at = [], 0

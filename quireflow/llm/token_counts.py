@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import json
 import re
-import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cache
@@ -28,6 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from quireflow.llm.bpe import byte_alphabet
+from quireflow.llm.charclass import find_all, fold
 from quireflow.llm.common import chunks, small_batches
 
 #: What a worker remembers; forgetting costs time only.
@@ -136,23 +136,18 @@ class PrefixCounter:
             before.append(last)
             states[mapped[:j]] = (*last, ended)
 
-    def normalize(self, text: str) -> str:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return text.lower()
-
     def chunk(self, chunk: str) -> tuple[int, ...]:
         """Counts at all prefixes of a chunk without white space, after normalisation."""
-        text = self.normalize(chunk)
+        text = fold(chunk)
         if text.isascii() and text.isalpha():
             return self._run(text)
         out: list[int] = []
         base = at = 0
-        for m in self.pattern.finditer(text):
-            out.extend([base] * (m.start() - at))
-            counts = self.word(m.group())
+        for start, word in find_all(self.pattern, text):
+            out.extend([base] * (start - at))
+            counts = self.word(word)
             out.extend([base + c for c in counts])
-            base, at = base + counts[-1], m.end()
+            base, at = base + counts[-1], start + len(word)
         out.extend([base] * (len(text) - at))
         return tuple(out)
 
