@@ -32,7 +32,8 @@ def split_spreads(pages: DataFrame, width: str, settings: Settings = Settings())
     """Rows of pages, spreads as two with start_x, end_x and source_mask_index 0 and 1."""
     w = F.col(width).cast("int")
     whole = F.array(F.struct(F.lit("whole").alias("side"), F.lit(0).alias("start"), w.alias("end")))
-    cut = F.lit(settings.steps.split) & F.coalesce((F.col("page_count") == 2) & ~F.coalesce("skip_processing", F.lit(False)), F.lit(False))
+    skip = F.coalesce("skip_processing", F.lit(False)) if "skip_processing" in pages.columns else F.lit(False)
+    cut = F.lit(settings.steps.split) & F.coalesce((F.col("page_count") == 2) & ~skip, F.lit(False))
     parts = F.when(cut, spread_regions(w, settings.tiling.overlap_ratio)).otherwise(whole)
     out = pages.select("*", F.posexplode(parts).alias("source_mask_index", "part"))
     return out.select(*pages.columns, "source_mask_index", F.col("part.side").alias("side"), F.col("part.start").alias("start_x"), F.col("part.end").alias("end_x"))
