@@ -53,26 +53,34 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return nodes.join(found, "node", "left").select("node", F.coalesce("m", "node").alias("component"))
 
 
-def settle_buckets(members: DataFrame, tried: DataFrame, links: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+def settle_buckets(members: DataFrame, tried: DataFrame, links: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str, across: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """node, component of all nodes with a link, given buckets of candidates.
 
     members: key, node of every bucket; tried: the pairs a < b of bucket and
     least member; links: what is sure already.  The tried pairs are verified
     first.  A bucket whose members then share a component has nothing left to
     find, whatever its size; in the others only pairs across components are
-    verified, so no link is lost and copies cost one pair each.
+    decided, so no link is lost and copies cost one pair each.  ``across`` may
+    find the links of such buckets (rows key, node, c) without making pairs;
+    else the pairs are joined and verified.
     """
     links = materialize(links.select("a", "b").unionByName(verify(tried)), f"{name}-links")
     label = materialize(components(links), f"{name}-labels")
     named = members.join(label, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
-    mixed = named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("k"))
-    mixed = mixed.filter("lo != hi and k > 2").select("key")  # the one pair of two members was tried
-    left = materialize(named.join(mixed, "key", "left_semi").distinct(), f"{name}-mixed")
+    mixed = named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("k"), F.min("node").alias("lead"))
+    mixed = mixed.filter("lo != hi and k > 2").select("key", "lead")  # the one pair of two members was tried
+    left = materialize(named.join(mixed, "key").select("key", "lead", "node", "c").distinct(), f"{name}-mixed")
     if left.isEmpty():
         return label
-    other = left.select("key", F.col("node").alias("b"), F.col("c").alias("cb"))
-    cross = left.withColumnRenamed("node", "a").join(other, "key").filter("c != cb and a < b").select("a", "b").distinct()
-    found = materialize(verify(cross.join(tried, ["a", "b"], "left_anti")), f"{name}-cross")
+    found = materialize(across(left) if across else verify(cross_pairs(left, tried)), f"{name}-cross")
     if found.isEmpty():
         return label
     return materialize(components(links.unionByName(found)), f"{name}-labels")
+
+
+def cross_pairs(left: DataFrame, tried: DataFrame) -> DataFrame:
+    """Pairs of different components that share a bucket and were not tried."""
+    own = left.select("key", F.col("node").alias("a"), F.col("c").alias("ca"))
+    other = left.select("key", F.col("node").alias("b"), F.col("c").alias("cb"))
+    pairs = own.join(other, "key").filter("ca != cb and a < b").select("a", "b").distinct()
+    return pairs.join(tried, ["a", "b"], "left_anti")

@@ -16,8 +16,11 @@ its empty segments.
 
 Candidates of a bucket are first tried against its least document, bucket by
 bucket, so copies cost one pair each.  After the components of what links, only
-buckets that still hold several components are joined pair by pair across them.
-Every pair is verified on the whole texts' shingle hashes.
+buckets that still hold several components are open; their documents meet in
+square blocks of bounded size, where a fingerprint of many small segments (two
+sets differ at least in as many shingles as segments) leaves few pairs to
+compare, and no pair becomes a row unless it links.  Every link is verified on
+the whole texts' shingle hashes.
 
 Defined results: null and empty texts have no shingle and no link; a text with
 fewer words than a shingle is one shingle; a null doc_id counts as one document
@@ -44,6 +47,8 @@ SHINGLE = 4
 #: Similarity as a whole percentage: 100 * intersection >= PERCENT * union.
 PERCENT = 85
 GROUP = 1_500_000
+#: Documents of one block of an open group.
+BLOCK = 256
 #: Kinds of rows: sizes, sure links, pairs to try, members of shared buckets, delegates dealt by hash.
 SIZE, LINK, PAIR, MEMBER, DELEGATE = range(5)
 _NAMES = ["part", "kind", "payload"]
@@ -243,6 +248,69 @@ def verify(pairs: DataFrame, texts: DataFrame, n: int = SHINGLE, percent: int =
     return both.mapInArrow(run, "a long, b long")
 
 
+def fingerprints(sets: list[np.ndarray], segments: int) -> np.ndarray:
+    """One byte per segment and set; the number of differing bytes never exceeds that of differing shingles."""
+    out = np.zeros((len(sets), segments), np.uint8)
+    for k, s in enumerate(sets):
+        np.bitwise_xor.at(out[k], (s % np.uint64(segments)).astype(np.int64), (mix(s) >> np.uint64(56)).astype(np.uint8))
+    return out
+
+
+def square(sets: list[np.ndarray], docs: list[int], label: list[int], left: list[int], right: list[int], percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Links between documents of two index lists that differ in label."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    most = int((100 - percent) * 2 * sizes.max(initial=1) // (100 + percent))
+    marks = fingerprints(sets, 1 << max(6, min(13, (4 * most).bit_length())))
+    labels, rows = np.array(label), np.array(right)
+    out = []
+    for u in left:
+        bound = (100 - percent) * (sizes[u] + sizes[rows]) // (100 + percent)
+        able = (labels[rows] != labels[u]) & (100 * np.minimum(sizes[u], sizes[rows]) >= percent * np.maximum(sizes[u], sizes[rows]))
+        near = rows[able]
+        near = near[(marks[near] != marks[u]).sum(1) <= bound[able]]
+        out += [(min(docs[u], docs[v]), max(docs[u], docs[v])) for v in near if docs[u] != docs[v] and similar(sets[u], sets[v], percent)]
+    return out
+
+
+def across(left: DataFrame, texts: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Links a, b between components in open buckets.
+
+    Buckets with one least document form a group; a group's documents fall into
+    blocks by hash, and every two blocks meet in one task's square, so memory
+    is bounded and a group of k documents ships k / BLOCK copies of each.
+    """
+    group = left.select(F.col("lead").alias("g"), F.col("node").alias("doc"), "c").distinct()
+    size = group.groupBy("g").agg(F.count("*").alias("k")).select("g", F.ceil(F.col("k") / BLOCK).cast("int").alias("nb"))
+    placed = group.join(size, "g").withColumn("b", F.pmod(F.xxhash64("doc"), F.col("nb")).cast("int")).join(texts, "doc")
+    met = F.transform(F.sequence(F.lit(0), F.col("nb") - 1), lambda j: F.struct(F.least("b", j).alias("i"), F.greatest("b", j).alias("j")))
+    rows = placed.select("g", "doc", "c", "b", "z", F.inline(met)).repartition("g", "i", "j").sortWithinPartitions("g", "i", "j")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        at, docs, label, blocks, sets = None, [], [], [], []
+
+        def settle() -> pa.RecordBatch:
+            own = [k for k, b in enumerate(blocks) if b == at[1]]
+            other = own if at[1] == at[2] else [k for k, b in enumerate(blocks) if b == at[2]]
+            found = square(sets, docs, label, own, other, percent)
+            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            for g, doc, c, b, z, i, j in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                if (g, i, j) != at:
+                    if len(docs) > 1:
+                        yield settle()
+                    at, docs, label, blocks, sets = (g, i, j), [], [], [], []
+                docs.append(doc)
+                label.append(c)
+                blocks.append(b)
+                sets.append(shingle_set(zlib.decompress(z).decode("utf-8", "surrogatepass"), hashes, n))
+        if len(docs) > 1:
+            yield settle()
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
 def link(docs: DataFrame, parts: int | None = None, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row.
 
@@ -259,7 +327,7 @@ def link(docs: DataFrame, parts: int | None = None, n: int = SHINGLE, percent: i
     texts = materialize(compressed(own).join(candidates, "doc", "left_semi").groupBy("doc").agg(F.min("z").alias("z")), "jaccard-texts")
     tried = rows.filter(F.col("kind") == PAIR).select("a", "b").distinct()
     links = rows.filter(F.col("kind") == LINK).select("a", "b")
-    label = settle_buckets(members.withColumnRenamed("doc", "node"), tried, links, lambda pairs: verify(pairs, texts, n, percent), "jaccard")
+    label = settle_buckets(members.withColumnRenamed("doc", "node"), tried, links, lambda pairs: verify(pairs, texts, n, percent), "jaccard", lambda left: across(left, texts, n, percent))
     sizes = rows.filter(F.col("kind") == SIZE).select(F.col("a").alias("node"), F.col("b").alias("n_shingles"))
     out = sizes.join(label, "node", "left").select("node", "n_shingles", F.coalesce("component", "node").alias("component"))
     null = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
@@ -268,5 +336,5 @@ def link(docs: DataFrame, parts: int | None = None, n: int = SHINGLE, percent: i
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of documents, all columns, that are the first of their group (or alone)."""
-    later = link(docs).filter("component_id != doc_id").select(F.col("doc_id").alias("__later")).distinct()
+    later = link(docs).filter("not (component_id <=> doc_id)").select(F.col("doc_id").alias("__later")).distinct()
     return docs.join(later, docs["doc_id"] == later["__later"], "left_anti")
