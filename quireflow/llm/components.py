@@ -10,9 +10,10 @@ lineage.  Labels converge in a number of rounds logarithmic in the nodes.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quireflow.llm.common import materialize
@@ -22,29 +23,29 @@ def _near(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+def _written(edges: DataFrame, name: str) -> tuple[DataFrame, tuple]:
+    """The edges as a table, and a digest of them taken while they are written."""
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    out = materialize(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")), name)
+    return out, (seen.get["n"], seen.get["h"])
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """node, component (the least node reachable) for every node of an edge table with columns a and b.
 
     Loops and repeated edges change nothing; nulls are left out.  An empty
-    table gives an empty result.
+    table gives an empty result.  One job a round.
     """
     own = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).filter("u is not null and v is not null")
-    tree = materialize(own.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    before = _state(tree)
+    tree, before = _written(own.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     for _ in range(rounds):
         both = tree.filter("u != v")
         both = both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(_near(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = materialize(large, "large-star")
         near = _near(large)
         small = large.join(near, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
         small = small.unionByName(near.filter("u != m").select("u", F.col("m").alias("v"))).distinct()
-        tree = materialize(small, "small-star")
-        after = _state(tree)
+        tree, after = _written(small, "stars")
         if after == before:
             break
         before = after
@@ -53,23 +54,27 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return nodes.join(found, "node", "left").select("node", F.coalesce("m", "node").alias("component"))
 
 
-def settle_buckets(members: DataFrame, tried: DataFrame, links: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str, across: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def settle_buckets(members: DataFrame, tried: DataFrame, links: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str, across: Callable[[DataFrame], DataFrame] | None = None, pivots: int = 0) -> DataFrame:
     """node, component of all nodes with a link, given buckets of candidates.
 
     members: key, node of every bucket; tried: the pairs a < b of bucket and
     least member; links: what is sure already.  The tried pairs are verified
     first.  A bucket whose members then share a component has nothing left to
-    find, whatever its size; in the others only pairs across components are
-    decided, so no link is lost and copies cost one pair each.  ``across`` may
-    find the links of such buckets (rows key, node, c) without making pairs;
-    else the pairs are joined and verified.
+    find, whatever its size.  In the others, ``pivots`` members drawn by hash are
+    tried against the rest (which joins up dense groups whose least member is
+    not their middle), and then the pairs across components are decided, so no
+    link is lost and copies cost a bounded number of pairs each.  ``across`` may
+    find the links of open buckets (rows key, lead, node, c) without making
+    pairs; else the pairs are joined and verified.
     """
     links = materialize(links.select("a", "b").unionByName(verify(tried)), f"{name}-links")
     label = materialize(components(links), f"{name}-labels")
-    named = members.join(label, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
-    mixed = named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("k"), F.min("node").alias("lead"))
-    mixed = mixed.filter("lo != hi and k > 2").select("key", "lead")  # the one pair of two members was tried
-    left = materialize(named.join(mixed, "key").select("key", "lead", "node", "c").distinct(), f"{name}-mixed")
+    left = _open(members, label, name)
+    if pivots and not left.isEmpty():
+        more = materialize(verify(_pivot_pairs(left, pivots)), f"{name}-pivots")
+        links = links.unionByName(more)
+        label = materialize(components(links), f"{name}-labels")
+        left = _open(left.select("key", "node"), label, name)
     if left.isEmpty():
         return label
     found = materialize(across(left) if across else verify(cross_pairs(left, tried)), f"{name}-cross")
@@ -78,6 +83,23 @@ def settle_buckets(members: DataFrame, tried: DataFrame, links: DataFrame, verif
     return materialize(components(links.unionByName(found)), f"{name}-labels")
 
 
+def _open(members: DataFrame, label: DataFrame, name: str) -> DataFrame:
+    """key, lead, node, c of the buckets of three or more whose members are in several components."""
+    named = members.join(label, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
+    mixed = named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("k"), F.min("node").alias("lead"))
+    mixed = mixed.filter("lo != hi and k > 2").select("key", "lead")  # the one pair of two members was tried
+    return materialize(named.join(mixed, "key").select("key", "lead", "node", "c").distinct(), f"{name}-open")
+
+
+def _pivot_pairs(left: DataFrame, pivots: int) -> DataFrame:
+    """Pairs of every member of an open group and each of its pivots in another component."""
+    group = left.select("lead", "node", "c").distinct()
+    drawn = [F.min(F.struct(F.xxhash64("node", F.lit(r)).alias("h"), F.col("node").alias("p"), F.col("c").alias("cp"))).alias(f"p{r}") for r in range(pivots)]
+    chosen = group.groupBy("lead").agg(*drawn).select("lead", F.explode(F.array(*(f"p{r}" for r in range(pivots)))).alias("x")).select("lead", "x.p", "x.cp").distinct()
+    pairs = group.join(chosen, "lead").filter("c != cp").select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b"))
+    return pairs.distinct()
+
+
 def cross_pairs(left: DataFrame, tried: DataFrame) -> DataFrame:
     """Pairs of different components that share a bucket and were not tried."""
     own = left.select("key", F.col("node").alias("a"), F.col("c").alias("ca"))
