@@ -97,10 +97,10 @@ def learn(docs: DataFrame, trainable: F.Column, sample_rows: int = SAMPLE_ROWS)
     """
     spark = docs.sparkSession
     small_batches(spark)
-    rows = docs.filter(trainable & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    total = max(rows.select("doc_id").count(), 1)
+    rows = docs.filter(trainable & F.col("lang").isNotNull())
+    total = max(rows.select("doc_id").count(), 1)  # reads two narrow columns
     share = min(1.0, sample_rows / total)
-    rows = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1_000_000)) < int(share * 1_000_000))
+    rows = rows.filter(F.col("text").isNotNull()).filter(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1_000_000)) < int(share * 1_000_000))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiles, sums = Profiles(), {}

@@ -17,7 +17,6 @@ row of samples; equal payloads share one place; with no row there is no shard.
 from __future__ import annotations
 
 import hashlib
-import io
 import struct
 import tarfile
 import uuid
