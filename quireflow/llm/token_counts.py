@@ -31,7 +31,7 @@ from quireflow.llm.charclass import find_all, fold
 from quireflow.llm.common import chunks, small_batches
 
 #: What a worker remembers; forgetting costs time only.
-CACHE_ENTRIES, STATE_ENTRIES, PAIR_ENTRIES = 350_000, 900_000, 300_000
+CACHE_ENTRIES, STATE_ENTRIES, PAIR_ENTRIES = 400_000, 1_200_000, 1_000_000
 
 
 class PrefixCounter:
@@ -54,11 +54,18 @@ class PrefixCounter:
         singles = set(self.table.values())
         inside = {t for t in whole | singles if t in model["vocab"] and not t.endswith(self.end)}
         at_end = {t[: -len(self.end)] for t in whole | {s + self.end for s in singles} if t in model["vocab"] and t.endswith(self.end)}
-        #: Tokens by text without the word end: 1 occurs inside a word, 2 at its end, 3 both.
-        self.kind = {t: (t in inside) + 2 * (t in at_end) for t in inside | at_end}
-        self.longest = max(map(len, self.kind))
-        self.stable: tuple[dict[tuple[str, str], bool], dict[tuple[str, str], bool]] = ({}, {})
-        self.states: dict[str, tuple[str, int, int]] = {}
+        #: Token texts without the word end; number 0 is the empty one.
+        self.tokens = ["", *sorted(inside | at_end)]
+        #: A token's number, times 4, plus 1 if it occurs inside a word and 2 if at its end.
+        self.kind = {t: 4 * i + (t in inside) + 2 * (t in at_end) for i, t in enumerate(self.tokens) if i}
+        #: Lengths of the tokens that end in given three characters, the longest first; then 2 and 1.
+        ends: dict[str, set[int]] = {}
+        for t in self.kind:
+            if len(t) > 2:
+                ends.setdefault(t[-3:], {1, 2}).add(len(t))
+        self.lengths = {e: tuple(sorted(n, reverse=True)) for e, n in ends.items()}
+        self.stable: tuple[dict[int, bool], dict[int, bool]] = ({}, {})
+        self.states: dict[str, tuple[int, int, int]] = {}
         self.cache: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
 
@@ -79,15 +86,14 @@ class PrefixCounter:
     def _symbols(self, token: str, last: bool) -> list[str]:
         return [*token[:-1], token[-1] + self.end] if last else list(token)
 
-    def _stable(self, left: str, token: str, last: bool) -> bool:
-        """Do the two tokens stay apart and whole when their text is encoded together?  (``left`` may be empty.)"""
+    def _stable(self, left: int, right: int, last: bool) -> bool:
+        """Do the two tokens stay apart and whole when their text is encoded together?  (``left`` may be the empty one.)"""
         known = self.stable[last]
-        ok = known.get((left, token))
-        if ok is None:
-            if len(known) >= PAIR_ENTRIES:
-                known.clear()
-            want = [x for x in (left, token + self.end if last else token) if x]
-            ok = known[left, token] = self.merge(list(left) + self._symbols(token, last)) == want
+        if len(known) >= PAIR_ENTRIES:
+            known.clear()
+        before, token = self.tokens[left], self.tokens[right]
+        want = [x for x in (before, token + self.end if last else token) if x]
+        ok = known[left << 20 | right] = self.merge(list(before) + self._symbols(token, last)) == want
         return ok
 
     def word(self, word: str) -> tuple[int, ...]:
@@ -114,23 +120,32 @@ class PrefixCounter:
 
     def _extend(self, mapped: str, known: int) -> None:
         """Fill the states of the prefixes longer than ``known``: last token, count, and count if ended there."""
-        states, kind, longest, stable = self.states, self.kind.get, self.longest, self._stable
-        before = [("", 0)]
+        states, kind, lengths, stable = self.states, self.kind.get, self.lengths.get, self._stable
+        inner, final = self.stable
+        before = [(0, 0)]
         before += [states[mapped[:j]][:2] for j in range(1, known + 1)]
         for j in range(known + 1, len(mapped) + 1):
             last = ended = None
-            for i in range(max(0, j - longest), j):
-                k = kind(mapped[i:j])
+            for length in lengths(mapped[max(0, j - 3) : j], (2, 1)):
+                i = j - length
+                k = kind(mapped[i:j]) if i >= 0 else None
                 if k is None:
                     continue
                 left, n = before[i]
-                token = mapped[i:j]
-                if last is None and k & 1 and stable(left, token, False):
-                    last = token, n + 1
-                if ended is None and k & 2 and stable(left, token, True):
-                    ended = n + 1
-                if last is not None and ended is not None:
-                    break
+                token = k >> 2
+                key = left << 20 | token
+                if last is None and k & 1:
+                    ok = inner.get(key)
+                    if ok or ok is None and stable(left, token, False):
+                        last = token, n + 1
+                        if ended is not None:
+                            break
+                if ended is None and k & 2:
+                    ok = final.get(key)
+                    if ok or ok is None and stable(left, token, True):
+                        ended = n + 1
+                        if last is not None:
+                            break
             if last is None or ended is None:
                 raise ValueError(f"no stable last token for a prefix of {mapped!r}")
             before.append(last)
@@ -178,7 +193,7 @@ class PrefixCounter:
         """Tokens of the whole text: the table's last entry."""
         pieces = self._pieces(text)
         tables = self._tables(pieces)
-        return sum(1 if p is None else tables[p][-1] for p in pieces)
+        return sum([1 if p is None else tables[p][-1] for p in pieces])
 
     def table_of(self, text: str) -> PrefixTable:
         pieces = self._pieces(text)
