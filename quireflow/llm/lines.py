@@ -1,9 +1,11 @@
 """Fuzzy line dedup by MinHash (operator 8), in DataFrame functions alone.
 
 A line's set holds the hashes of the SHINGLE characters from the start of each
-word (fewer at the line's end).  Its sorted hashes lie on a circle; the MinHash
-of a point of the circle is the first hash from there on, so one sorted array
-gives all signatures, and two lines agree at a point with the probability of
+word (fewer at the line's end) and, in a longer word, from each further place
+up to the last SHINGLE characters of the word, so every character is in the set
+and text without spaces is shingled throughout.  The set's sorted hashes lie on
+a circle; the MinHash of a point of the circle is the first hash from there on,
+so one sorted array gives all signatures, and two lines agree at a point with the probability of
 their Jaccard similarity.  Bands of ROWS points propose candidates, the sets
 themselves decide, and of each component of similar lines the first (least
 doc_id, then line) stays.  Equal lines are one node from the start.
@@ -33,8 +35,8 @@ _FAR = 1 << 30
 
 
 def shingle_hashes(line: Column) -> Column:
-    """Sorted distinct hashes of the characters from each word start."""
-    parts = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(\S.{{0,{SHINGLE - 1}}}))\S+"), F.lit(1))
+    """Sorted distinct hashes of the characters from each word start, and at every place inside words of more than SHINGLE characters."""
+    parts = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(\S.{{0,{SHINGLE - 1}}}))(?:\S(?=\S{{{SHINGLE}}})|\S+)"), F.lit(1))
     return F.sort_array(F.array_distinct(F.transform(parts, lambda x: F.xxhash64(x))))
 
 

@@ -381,6 +381,15 @@ def test_lines(spark):
     assert lines.drop_lines(df).columns == df.columns and lines.line_report(df.limit(0)).count() == 0
 
 
+def test_long_words_count_whole(spark):
+    han = "".join(chr(0x4E00 + 7 * i) for i in range(60))
+    apart = ["https://www.example.org/a/1", "https://www.example.org/b/2", "transaction_id=000000001", "transaction_id=000001999", han, han[:16] + "".join(chr(0x6E00 + 5 * i) for i in range(44))]
+    near = [han + "\u4e01", "see " + han]
+    got = {r.doc_id: r.n_removed for r in lines.line_report(docs_of(spark, [*apart, *near])).collect()}
+    assert [got[i] for i in range(len(apart))] == [0] * len(apart)
+    assert [got[len(apart) + i] for i in range(len(near))] == [1] * len(near)
+
+
 def test_line_plan_is_native(spark):
     plan = lines.distinct_lines(docs_of(spark, ["a b c"]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
