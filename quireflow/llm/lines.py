@@ -6,7 +6,10 @@ up to the last SHINGLE characters of the word, so every character is in the set
 and text without spaces is shingled throughout.  The set's sorted hashes lie on
 a circle; the MinHash of a point of the circle is the first hash from there on,
 so one sorted array gives all signatures, and two lines agree at a point with the probability of
-their Jaccard similarity.  Bands of ROWS points propose candidates, the sets
+their Jaccard similarity.  In a small set one hash can fill the arcs of several
+points, so sets of at most SMALL hashes take the least of ROWS * BANDS
+independent hashes instead; sets within reach of both kinds get the keys of
+both, so every similar pair meets in one kind.  Bands of ROWS points propose candidates, the sets
 themselves decide, and of each component of similar lines the first (least
 doc_id, then line) stays.  Equal lines are one node from the start.
 
@@ -27,6 +30,10 @@ from quireflow.llm.components import settle_buckets
 SHINGLE = 16
 PERCENT = 80
 BANDS, ROWS = 6, 2
+#: Most hashes of a set with independent MinHashes; a set similar to a larger one has more than SMALL * PERCENT / 100.
+SMALL = 20
+#: Columns of band keys: of a small set, of the circle.
+KEYS = [f"{kind}{b}" for kind in "ik" for b in range(BANDS)]
 #: Longs of parity marks, and lines of one block of an open group.
 MARKS, BLOCK = 8, 1024
 NULL_ID = -(2**63)
@@ -47,6 +54,12 @@ def band_keys(s: Column, first: Column) -> list[Column]:
     return [F.xxhash64(F.lit(b), *(at(b + r * BANDS) for r in range(ROWS))) for b in range(BANDS)]
 
 
+def small_keys(s: Column) -> list[Column]:
+    """One key per band from independent hashes of the members of s."""
+    least = lambda j: F.array_min(F.transform(s, lambda x: F.xxhash64(x, F.lit(j))))
+    return [F.xxhash64(F.lit(BANDS + b), *(least(b + r * BANDS) for r in range(ROWS))) for b in range(BANDS)]
+
+
 def split_lines(docs: DataFrame) -> DataFrame:
     """doc, ln, line of every line that is not blank."""
     own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"), "text")
@@ -54,16 +67,17 @@ def split_lines(docs: DataFrame) -> DataFrame:
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
-    """h1, h2 (the line), doc, ln (its first place) and the band keys k0.. of every distinct line."""
+    """h1, h2 (the line), doc, ln (its first place) and the band keys KEYS of every distinct line; keys of a kind that it does without are null."""
     points = BANDS * ROWS
     sets = split_lines(docs).select("doc", "ln", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(8)).alias("h2"), shingle_hashes(F.col("line")).alias("s"))
     arcs = sets.withColumn("arc", F.transform("s", lambda x: F.floor((F.shiftright(x, 40) + F.lit(1 << 23)) * F.lit(points) / F.lit(1 << 24)).cast("int")))
     first = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda j: F.coalesce(F.nullif(F.array_position("arc", j), F.lit(0)), F.lit(_FAR)).cast("int"))
     firsts = arcs.withColumn("first", first)
-    keys = band_keys(F.col("s"), F.col("first"))
-    keyed = firsts.select("doc", "ln", "h1", "h2", *(k.alias(f"k{b}") for b, k in enumerate(keys)))
+    n = F.size("s")
+    keys = [F.when(n <= SMALL, k) for k in small_keys(F.col("s"))] + [F.when(n * 100 > SMALL * PERCENT, k) for k in band_keys(F.col("s"), F.col("first"))]
+    keyed = firsts.select("doc", "ln", "h1", "h2", *(k.alias(name) for k, name in zip(keys, KEYS, strict=True)))
     place = F.min(F.struct("doc", "ln")).alias("place")
-    return keyed.groupBy("h1", "h2").agg(place, *(F.min(f"k{b}").alias(f"k{b}") for b in range(BANDS))).select("h1", "h2", "place.*", *(f"k{b}" for b in range(BANDS)))
+    return keyed.groupBy("h1", "h2").agg(place, *(F.min(k).alias(k) for k in KEYS)).select("h1", "h2", "place.*", *KEYS)
 
 
 def similar_lines(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -109,7 +123,7 @@ def across_lines(left: DataFrame, sets: DataFrame) -> DataFrame:
 def keepers(docs: DataFrame) -> DataFrame:
     """doc, ln of the lines that stay: the first line of each component."""
     lines = materialize(distinct_lines(docs), "lines-distinct")
-    keys = lines.select(F.col("h1").alias("node"), F.explode(F.array(*(f"k{b}" for b in range(BANDS)))).alias("key"))
+    keys = lines.select(F.col("h1").alias("node"), F.explode(F.array_compact(F.array(*KEYS))).alias("key"))
     # each bucket draws its own member to try the others against, so a group of near copies gets one per band
     mixed = F.col("node").bitwiseXOR(F.col("key"))
     shared = keys.groupBy("key").agg(F.min(mixed).alias("lo"), F.max(mixed).alias("hi")).filter("lo != hi")

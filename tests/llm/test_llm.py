@@ -390,6 +390,14 @@ def test_long_words_count_whole(spark):
     assert [got[len(apart) + i] for i in range(len(near))] == [1] * len(near)
 
 
+def test_small_sets_are_found(spark):
+    rng = random.Random(14)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(8))
+    pairs = [" ".join(word() for _ in range(n)) for n in [4] * 300 + [5] * 300 + [16, 17, 20, 21] * 20]
+    got = lines.line_report(docs_of(spark, [f"{x}\n{word()} {x}" for x in pairs])).agg(F.sum("n_removed")).first()[0]
+    assert len(pairs) - got <= 6  # every pair shares 4 of 5 hashes at least; 600 of them 4 of 5 or 5 of 6
+
+
 def test_line_plan_is_native(spark):
     plan = lines.distinct_lines(docs_of(spark, ["a b c"]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
