@@ -28,6 +28,8 @@ DIMENSIONS = 512
 NGRAM = 3
 #: Symbols: 0 between words, then classes of letters.  Letters beyond the table share classes by code point.
 SYMBOLS = 128
+#: A text of fewer n-grams has a low cosine with any language: the least score asked of it falls in proportion.
+FULL_NGRAMS = 100
 #: Training texts in expectation, drawn by a hash of doc_id over all training rows.
 SAMPLE_ROWS = 6000
 SEED = 20260101
@@ -75,8 +77,12 @@ class Profiles:
 
     def bundle(self, texts: list[str | None]) -> np.ndarray:
         """One row per text; zero for a text without letters."""
-        got = [np.unique(self.codes(t or ""), return_counts=True) for t in texts]
-        out = np.zeros((len(texts), self.dimensions), np.float32)
+        return self.bundle_codes([self.codes(t or "") for t in texts])
+
+    def bundle_codes(self, codes: list[np.ndarray]) -> np.ndarray:
+        """One row per text, from the codes of its n-grams."""
+        got = [np.unique(c, return_counts=True) for c in codes]
+        out = np.zeros((len(codes), self.dimensions), np.float32)
         for at in range(0, len(got), 64):  # dense blocks: counts x vectors
             part = got[at : at + 64]
             every = np.unique(np.concatenate([c for c, _ in part]))
@@ -157,7 +163,10 @@ def identify(docs: DataFrame, modulus: int = 4, held: int = 2) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least: float, modulus: int = 4, held: int = 2) -> DataFrame:
-    """The rows of documents, all columns, whose text has a language with at least this score."""
+    """The rows of documents, all columns, whose text has a language with at least this score.
+
+    Of a text of fewer than FULL_NGRAMS n-grams only that share of the score is asked.
+    """
     prototypes = learn(docs, ~crc_split(F.col("doc_id"), modulus, held))
     matrix = np.array(list(prototypes.values()), np.float32).reshape(len(prototypes), DIMENSIONS)
     at = docs.columns.index("text")
@@ -165,9 +174,11 @@ def keep_identified(docs: DataFrame, least: float, modulus: int = 4, held: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiles = Profiles()
         for batch in chunks(batches):
-            v = profiles.bundle(batch.column(at).to_pylist())
+            codes = [profiles.codes(t or "") for t in batch.column(at).to_pylist()]
+            v = profiles.bundle_codes(codes)
             norm = np.linalg.norm(v, axis=1)
             best = (v @ matrix.T).max(1, initial=-1) / np.maximum(norm, 1e-9)
-            yield batch.filter(pa.array((norm > 0) & (best >= least), pa.bool_()))
+            asked = least * np.minimum(1, np.array([len(c) for c in codes]) / FULL_NGRAMS)
+            yield batch.filter(pa.array((norm > 0) & (best >= asked), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

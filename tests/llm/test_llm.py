@@ -131,6 +131,19 @@ def test_language(spark):
     assert langid.identify(df.limit(0)).count() == 0
 
 
+def test_short_texts_have_a_language(spark):
+    rng = random.Random(15)
+    sounds = {"aa": [c + v for c in "bdfgklmnprst" for v in "aeiou"], "bb": [v + c for c in "chjqvwxyzñßð" for v in "àéîöü"]}
+    word = lambda x: "".join(rng.choice(sounds[x]) for _ in range(rng.randint(2, 4)))
+    langs = ["aa", "bb"] * 100
+    texts = [" ".join(word(x) for _ in range(200)) for x in langs]
+    clean = [" ".join(word(x) for _ in range(n)) for n in range(1, 11) for x in ("aa", "bb")]
+    junk = ["".join(rng.choice("οπρστυφχψω") for _ in range(400)) for _ in range(10)]
+    df = docs_of(spark, [*texts, *clean, *junk], [*langs, *[None] * 30])
+    kept = {r.doc_id for r in langid.keep_identified(df, 0.2).select("doc_id").collect()}
+    assert kept == set(range(len(texts) + len(clean)))
+
+
 def test_bundles_are_sums_of_bound_vectors():
     p = langid.Profiles(dimensions=32)
     codes = p.codes("Ab, a")
