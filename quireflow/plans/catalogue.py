@@ -440,9 +440,10 @@ def paired_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- kernels, recognizers and sinks: no SQL -----------------------------------
 def _images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Grey images of 24 x 16 made of each text's first bytes; pixel values are the text's."""
-    data = F.to_binary(F.rpad(F.substring(F.regexp_replace("text", r"[^\x00-\x7f]", "?"), 1, 24 * 16), 24 * 16, " "), F.lit("utf-8"))
-    image = F.struct(F.col("source").alias("origin"), F.lit(24).alias("height"), F.lit(16).alias("width"), F.lit(1).alias("nChannels"), F.lit(0).alias("mode"), data.alias("data"))
+    """Grey images 16 wide and at least 24 high made of each whole text's bytes, padded at the end; pixel values are the text's."""
+    height = F.greatest(F.lit(24), F.ceil(F.length("text") / 16)).cast("int")
+    data = F.to_binary(F.rpad(F.regexp_replace("text", r"[^\x00-\x7f]", "?"), height * 16, " "), F.lit("utf-8"))
+    image = F.struct(F.col("source").alias("origin"), height.alias("height"), F.lit(16).alias("width"), F.lit(1).alias("nChannels"), F.lit(0).alias("mode"), data.alias("data"))
     return table(spark, sf_dir, "documents").select("doc_id", (F.element_at(F.array(*map(F.lit, [0, 90, -90, 180])), (F.col("doc_id") % 4 + 1).cast("int"))).alias("angle"), image.alias("image"))
 
 

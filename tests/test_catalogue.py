@@ -52,6 +52,17 @@ def test_a_wrong_formula_is_seen(spark, duck):
     assert rows_of(df.columns, df.collect()) != rows_of([d[0] for d in want.description], want.fetchall())
 
 
+def test_images_hold_whole_texts(spark, duck):
+    texts = dict(duck.execute("SELECT doc_id, text FROM documents").fetchall())
+    images = {r.doc_id: r.image for r in catalogue._images(spark, DATA).collect()}
+    sizes = {i: max(24, -(-len(t) // 16)) for i, t in texts.items()}
+    for i, t in texts.items():
+        assert (images[i].height, images[i].width) == (sizes[i], 16)
+        assert bytes(images[i].data).decode() == "".join(c if c < "\x80" else "?" for c in t).ljust(sizes[i] * 16)
+    turned = {r.doc_id: (r.height, r.width, r.error) for r in catalogue.image_rotate(spark, DATA).collect()}
+    assert turned == {i: ((n, 16, None) if i % 4 in (0, 3) else (16, n, None)) for i, n in sizes.items()}
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(catalogue.queries()) <= set(__spark_entry__.queries())
