@@ -3,7 +3,7 @@
 A word enters as its own vector (known words) joined with the mean vector of
 its character 4-grams (hashed).  Windows of words are read in both directions,
 states are pooled by attention, and a document's score is that of its worst
-window; all overlapping windows of a text are scored.  Training is plain numpy:
+window; windows start every STRIDE words to the text's end.  Training is plain numpy:
 first every window takes its document's label, then only the worst windows do.
 
 Defined results: a null text is scored as an empty one, which is a window of
