@@ -30,11 +30,12 @@ def _written(edges: DataFrame, name: str) -> tuple[DataFrame, tuple]:
     return out, (seen.get["n"], seen.get["h"])
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
     """node, component (the least node reachable) for every node of an edge table with columns a and b.
 
     Loops and repeated edges change nothing; nulls are left out.  An empty
-    table gives an empty result.  One job a round.
+    table gives an empty result.  One job a round.  Raises where the labels
+    have not settled after ``rounds`` rounds; it never returns part of them.
     """
     own = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).filter("u is not null and v is not null")
     tree, before = _written(own.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
@@ -49,60 +50,53 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if after == before:
             break
         before = after
+    else:
+        raise RuntimeError(f"components have not settled after {rounds} rounds")
     nodes = own.select(F.col("u").alias("node")).union(own.select("v")).distinct()
     found = tree.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m"))
     return nodes.join(found, "node", "left").select("node", F.coalesce("m", "node").alias("component"))
 
 
-def settle_buckets(members: DataFrame, tried: DataFrame, links: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str, across: Callable[[DataFrame], DataFrame] | None = None, pivots: int = 0) -> DataFrame:
+def join_components(label: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """The labels of ``components`` after more links a, b: only the components that they touch are joined anew."""
+    of = lambda at: label.select(F.col("node").alias(at), F.col("component").alias(f"c{at}"))
+    links = found.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    links = materialize(links.select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")), f"{name}-joined")
+    over = materialize(components(links.select(F.col("ca").alias("a"), F.col("cb").alias("b"))), f"{name}-over")
+    alone = links.select(F.col("a").alias("node")).union(links.select("b")).distinct().join(label, "node", "left_anti")
+    known = label.unionByName(alone.select("node", F.col("node").alias("component")))
+    over = over.select(F.col("node").alias("component"), F.col("component").alias("top"))
+    return materialize(known.join(over, "component", "left").select("node", F.coalesce("top", "component").alias("component")), f"{name}-labels")
+
+
+def open_buckets(members: DataFrame, label: DataFrame, name: str) -> DataFrame:
+    """key, node, c, lead of the members of buckets in which a pair may still be undecided.
+
+    c is the node's component and lead the component with most members of the
+    bucket.  In a bucket of one component nothing is left to find, whatever its size.
+    """
+    named = members.join(label, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
+    counted = named.groupBy("key", "c").agg(F.count("*").alias("k"))
+    of = counted.groupBy("key").agg(F.max(F.struct("k", "c")).alias("top"), F.count("*").alias("parts"))
+    of = of.filter("parts > 1").select("key", F.col("top.c").alias("lead"))
+    return materialize(named.join(of, "key").select("key", "node", "c", "lead"), f"{name}-open")
+
+
+def settle_buckets(members: DataFrame, tried: DataFrame, links: DataFrame, verify: Callable[[DataFrame], DataFrame], across: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
     """node, component of all nodes with a link, given buckets of candidates.
 
-    members: key, node of every bucket; tried: the pairs a < b of bucket and
-    least member; links: what is sure already.  The tried pairs are verified
-    first.  A bucket whose members then share a component has nothing left to
-    find, whatever its size.  In the others, ``pivots`` members drawn by hash are
-    tried against the rest (which joins up dense groups whose least member is
-    not their middle), and then the pairs across components are decided, so no
-    link is lost and copies cost a bounded number of pairs each.  ``across`` may
-    find the links of open buckets (rows key, lead, node, c) without making
-    pairs; else the pairs are joined and verified.
+    members: key, node of every bucket; tried: pairs a < b of every member and
+    one other of its bucket; links: what is sure already.  The tried pairs are
+    verified first, so a group of near copies costs a bounded number of pairs a
+    member.  What is left are the buckets with several components; ``across``
+    decides each of their members outside the bucket's largest component
+    against all members of other components (rows key, node, c, lead), so no
+    link is lost.
     """
     links = materialize(links.select("a", "b").unionByName(verify(tried)), f"{name}-links")
     label = materialize(components(links), f"{name}-labels")
-    left = _open(members, label, name)
-    if pivots and not left.isEmpty():
-        more = materialize(verify(_pivot_pairs(left, pivots)), f"{name}-pivots")
-        links = links.unionByName(more)
-        label = materialize(components(links), f"{name}-labels")
-        left = _open(left.select("key", "node"), label, name)
+    left = open_buckets(members, label, name)
     if left.isEmpty():
         return label
-    found = materialize(across(left) if across else verify(cross_pairs(left, tried)), f"{name}-cross")
-    if found.isEmpty():
-        return label
-    return materialize(components(links.unionByName(found)), f"{name}-labels")
-
-
-def _open(members: DataFrame, label: DataFrame, name: str) -> DataFrame:
-    """key, lead, node, c of the buckets of three or more whose members are in several components."""
-    named = members.join(label, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
-    mixed = named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("k"), F.min("node").alias("lead"))
-    mixed = mixed.filter("lo != hi and k > 2").select("key", "lead")  # the one pair of two members was tried
-    return materialize(named.join(mixed, "key").select("key", "lead", "node", "c").distinct(), f"{name}-open")
-
-
-def _pivot_pairs(left: DataFrame, pivots: int) -> DataFrame:
-    """Pairs of every member of an open group and each of its pivots in another component."""
-    group = left.select("lead", "node", "c").distinct()
-    drawn = [F.min(F.struct(F.xxhash64("node", F.lit(r)).alias("h"), F.col("node").alias("p"), F.col("c").alias("cp"))).alias(f"p{r}") for r in range(pivots)]
-    chosen = group.groupBy("lead").agg(*drawn).select("lead", F.explode(F.array(*(f"p{r}" for r in range(pivots)))).alias("x")).select("lead", "x.p", "x.cp").distinct()
-    pairs = group.join(chosen, "lead").filter("c != cp").select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b"))
-    return pairs.distinct()
-
-
-def cross_pairs(left: DataFrame, tried: DataFrame) -> DataFrame:
-    """Pairs of different components that share a bucket and were not tried."""
-    own = left.select("key", F.col("node").alias("a"), F.col("c").alias("ca"))
-    other = left.select("key", F.col("node").alias("b"), F.col("c").alias("cb"))
-    pairs = own.join(other, "key").filter("ca != cb and a < b").select("a", "b").distinct()
-    return pairs.join(tried, ["a", "b"], "left_anti")
+    found = materialize(across(left), f"{name}-cross")
+    return label if found.isEmpty() else join_components(label, found, name)

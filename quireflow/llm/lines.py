@@ -1,94 +1,160 @@
 """Fuzzy line dedup by MinHash (operator 8), in DataFrame functions alone.
 
-A line's set holds the hashes of the SHINGLE characters from the start of each
-word (fewer at the line's end) and, in a longer word, from each further place
-up to the last SHINGLE characters of the word, so every character is in the set
-and text without spaces is shingled throughout.  The set's sorted hashes lie on
-a circle; the MinHash of a point of the circle is the first hash from there on,
-so one sorted array gives all signatures, and two lines agree at a point with the probability of
-their Jaccard similarity.  In a small set one hash can fill the arcs of several
-points, so sets of at most SMALL hashes take the least of ROWS * BANDS
-independent hashes instead; sets within reach of both kinds get the keys of
-both, so every similar pair meets in one kind.  Bands of ROWS points propose candidates, the sets
-themselves decide, and of each component of similar lines the first (least
+A line's set holds the hashes of all its windows of SHINGLE characters (code
+points), one at every position; a shorter line is one window.  The windows of
+all lines are exploded inside one generated stage and folded by a grouped
+minimum into VALUES MinHashes a line, the j-th by ``(a + j * b) mod 2**32``
+from the halves a, b of a window's hash.  The values lie in a square of ROWS x
+ROWS; its rows, columns and diagonals are the bands.  Lines that share a band
+are candidates if two bits of every MinHash agree often enough, the sets of
+the lines decide, and of each component of similar lines the first (least
 doc_id, then line) stays.  Equal lines are one node from the start.
 
+Each member of a bucket is verified against one drawn from the bucket, another
+one in every band.  After union-find, the members outside the largest
+component of their bucket are verified against its other components; sizes,
+parity marks and then the sets are compared in the join's condition, so only
+links become rows.
+
 Defined results: blank lines are no candidates and always stay; a null text has
 no lines, an empty one has one blank line; lines of rows with a null doc_id
 come before all others; rows that share a doc_id and a line number share the
-line's fate.  Lines are what stands between line feeds.
+line's fate.  Lines are what stands between line feeds.  Columns of other names
+pass through, whatever they are called.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quireflow.llm.common import materialize
 from quireflow.llm.components import settle_buckets
 
-SHINGLE = 16
+SHINGLE = 5
 PERCENT = 80
-BANDS, ROWS = 6, 2
-#: Most hashes of a set with independent MinHashes; a set similar to a larger one has more than SMALL * PERCENT / 100.
-SMALL = 20
-#: Columns of band keys: of a small set, of the circle.
-KEYS = [f"{kind}{b}" for kind in "ik" for b in range(BANDS)]
-#: Longs of parity marks, and lines of one block of an open group.
-MARKS, BLOCK = 8, 1024
+ROWS = 5
+VALUES = ROWS * ROWS
+#: Values of each band: rows, columns and diagonals of the square; two bands share one value at most.
+BANDS = [
+    *([ROWS * r + c for c in range(ROWS)] for r in range(ROWS)),
+    *([ROWS * r + c for r in range(ROWS)] for c in range(ROWS)),
+    *([ROWS * r + (c + r) % ROWS for r in range(ROWS)] for c in range(ROWS)),
+]
+KEYS = [f"k{b}" for b in range(len(BANDS))]
+#: Of VALUES two-bit samples at least so many agree in a candidate pair; at the least similarity 21 are expected.
+AGREE = 13
+#: Members drawn from its buckets that a line is verified against before union-find.
+TRIED = 4
+#: Longs of parity marks.
+MARKS = 16
 NULL_ID = -(2**63)
-#: Stands for "no hash in this arc or a later one"; above any position.
-_FAR = 1 << 30
+#: Bytes of a character in the encoding that is cut into windows.
+_WIDE, _ENCODING = 4, "UTF-32"
 
 
-def shingle_hashes(line: Column) -> Column:
-    """Sorted distinct hashes of the characters from each word start, and at every place inside words of more than SHINGLE characters."""
-    parts = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(\S.{{0,{SHINGLE - 1}}}))(?:\S(?=\S{{{SHINGLE}}})|\S+)"), F.lit(1))
-    return F.sort_array(F.array_distinct(F.transform(parts, lambda x: F.xxhash64(x))))
+def _doc(df: DataFrame) -> DataFrame:
+    return df.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"), "text")
 
 
-def band_keys(s: Column, first: Column) -> list[Column]:
-    """One key per band.  first: for each arc the position of its first hash in s, or _FAR."""
-    points = BANDS * ROWS
-    at = lambda j: F.coalesce(F.try_element_at(s, F.array_min(F.slice(first, j + 1, points - j))), F.element_at(s, 1))
-    return [F.xxhash64(F.lit(b), *(at(b + r * BANDS) for r in range(ROWS))) for b in range(BANDS)]
+def _starts(line: Column) -> Column:
+    return F.sequence(F.lit(0), F.greatest(F.length(line) - SHINGLE, F.lit(0)))
 
 
-def small_keys(s: Column) -> list[Column]:
-    """One key per band from independent hashes of the members of s."""
-    least = lambda j: F.array_min(F.transform(s, lambda x: F.xxhash64(x, F.lit(j))))
-    return [F.xxhash64(F.lit(BANDS + b), *(least(b + r * BANDS) for r in range(ROWS))) for b in range(BANDS)]
+def _window(encoded: Column, start: Column) -> Column:
+    return F.xxhash64(F.substring(encoded, start * _WIDE + 1, F.lit(SHINGLE * _WIDE)))
+
+
+def shingle_hashes(line: Column) -> Column:
+    """Distinct hashes of all windows of a line."""
+    # a lambda binds the encoded line, which is made once and not once a window
+    return F.transform(F.array(F.encode(line, _ENCODING)), lambda e: F.array_distinct(F.transform(_starts(line), lambda i: _window(e, i))))[0]
 
 
 def split_lines(docs: DataFrame) -> DataFrame:
     """doc, ln, line of every line that is not blank."""
-    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"), "text")
-    return own.select("doc", F.posexplode(F.split("text", "\n")).alias("ln", "line")).filter(F.col("line").rlike(r"\S"))
+    return _doc(docs).select("doc", F.posexplode(F.split("text", "\n")).alias("ln", "line")).filter(F.col("line").rlike(r"\S"))
+
+
+def minhashes(lines: DataFrame) -> DataFrame:
+    """h1, h2 and the MinHashes m0, m1, ... of every distinct line."""
+    windows = lines.select("h1", "h2", F.encode("line", _ENCODING).alias("e"), _starts(F.col("line")).alias("starts"))
+    hashed = windows.select("h1", "h2", "e", F.explode("starts").alias("i")).select("h1", "h2", _window(F.col("e"), F.col("i")).alias("x"))
+    low = F.lit(0xFFFFFFFF)
+    halves = hashed.select("h1", "h2", F.shiftrightunsigned("x", 32).alias("a"), F.col("x").bitwiseAND(low).bitwiseOR(F.lit(1)).alias("b"))
+    return halves.groupBy("h1", "h2").agg(*(F.min((F.col("a") + F.lit(j) * F.col("b")).bitwiseAND(low)).alias(f"m{j}") for j in range(VALUES)))
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
-    """h1, h2 (the line), doc, ln (its first place) and the band keys KEYS of every distinct line; keys of a kind that it does without are null."""
-    points = BANDS * ROWS
-    sets = split_lines(docs).select("doc", "ln", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(8)).alias("h2"), shingle_hashes(F.col("line")).alias("s"))
-    arcs = sets.withColumn("arc", F.transform("s", lambda x: F.floor((F.shiftright(x, 40) + F.lit(1 << 23)) * F.lit(points) / F.lit(1 << 24)).cast("int")))
-    first = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda j: F.coalesce(F.nullif(F.array_position("arc", j), F.lit(0)), F.lit(_FAR)).cast("int"))
-    firsts = arcs.withColumn("first", first)
-    n = F.size("s")
-    keys = [F.when(n <= SMALL, k) for k in small_keys(F.col("s"))] + [F.when(n * 100 > SMALL * PERCENT, k) for k in band_keys(F.col("s"), F.col("first"))]
-    keyed = firsts.select("doc", "ln", "h1", "h2", *(k.alias(name) for k, name in zip(keys, KEYS, strict=True)))
-    place = F.min(F.struct("doc", "ln")).alias("place")
-    return keyed.groupBy("h1", "h2").agg(place, *(F.min(k).alias(k) for k in KEYS)).select("h1", "h2", "place.*", *KEYS)
+    """node, h1, h2 (the line), doc, ln (its first place), bits (two of each MinHash) and the band keys KEYS of every distinct line."""
+    lines = split_lines(docs).select("doc", "ln", "line", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(8)).alias("h2"))
+    place = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "ln")).alias("place"))
+    bits = reduce(Column.bitwiseOR, (F.shiftleft(F.col(f"m{j}").bitwiseAND(F.lit(3)), 2 * j) for j in range(VALUES)))
+    keys = [F.xxhash64(F.lit(b), *(F.col(f"m{j}") for j in band)).alias(name) for b, (band, name) in enumerate(zip(BANDS, KEYS, strict=True))]
+    both = minhashes(lines).join(place, ["h1", "h2"])
+    return both.select(F.monotonically_increasing_id().alias("node"), "h1", "h2", "place.*", bits.alias("bits"), *keys)
+
+
+def agree(x: Column, y: Column) -> Column:
+    """How many two-bit samples agree."""
+    differ = x.bitwiseXOR(y)
+    return F.lit(VALUES) - F.bit_count(differ.bitwiseOR(F.shiftright(differ, 1)).bitwiseAND(F.lit(0x5555555555555555)))
 
 
-def similar_lines(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def near_members(lines: DataFrame) -> DataFrame:
+    """key, node, bits of the members of buckets that are near another member of the bucket."""
+    keys = lines.select("node", F.explode(F.array(*KEYS)).alias("key"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1").select("key")
+    members = materialize(keys.join(shared, "key").join(lines.select("node", "bits"), "node"), "lines-members")
+    other = members.select(F.col("key").alias("okey"), F.col("node").alias("onode"), F.col("bits").alias("obits"))
+    met = (F.col("key") == F.col("okey")) & (F.col("node") != F.col("onode")) & (agree(F.col("bits"), F.col("obits")) >= AGREE)
+    return materialize(members.join(other, met, "left_semi"), "lines-near")
+
+
+def drawn_pairs(members: DataFrame) -> DataFrame:
+    """Pairs a < b of every member and up to TRIED members drawn from its buckets.
+
+    Each bucket draws one member.  Of those drawn for a node the first ones by
+    hash are tried, which joins a group of near copies around few members, and
+    the nearest one.
+    """
+    drawn = members.groupBy("key").agg(F.min(F.struct(F.col("node").bitwiseXOR(F.col("key")).alias("x"), "node", "bits")).alias("one"))
+    met = members.join(drawn.select("key", "one"), "key").withColumn("alike", agree(F.col("bits"), F.col("one.bits")))
+    met = met.filter((F.col("node") != F.col("one.node")) & (F.col("alike") >= AGREE))
+    one = F.collect_set(F.struct(F.xxhash64("one.node").alias("h"), F.col("one.node").alias("other"), "alike"))  # at most one a band
+    of = met.groupBy("node").agg(F.array_sort(one).alias("drawn"))
+    nearest = F.array_max(F.transform("drawn", lambda x: F.struct(x["alike"], x["other"].alias("other"))))["other"]
+    others = F.array_union(F.transform(F.slice("drawn", 1, TRIED - 1), lambda x: x["other"]), F.array(nearest))
+    pairs = of.select("node", F.explode(others).alias("other"))
+    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
+def texts_of(docs: DataFrame, lines: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, line, n (size of the set) of some distinct lines."""
+    wanted = lines.join(nodes, "node").groupBy("doc").agg(F.collect_list(F.struct("node", "ln", "h1", "h2")).alias("want"))
+    own = _doc(docs).join(wanted, "doc")
+    found = F.transform(F.array(F.split("text", "\n")), lambda own: F.transform("want", lambda w: F.struct(w["node"], w["h1"], w["h2"], F.get(own, w["ln"]).alias("line"))))[0]
+    out = own.select(F.inline(found)).filter((F.xxhash64("line") == F.col("h1")) & (F.xxhash64("line", F.lit(8)) == F.col("h2")))
+    return out.select("node", "line").dropDuplicates(["node"]).withColumn("n", F.size(shingle_hashes(F.col("line"))))
+
+
+def _similar(a: str, b: str) -> list[Column]:
+    """Conditions under which the lines of two sides are similar, the cheap one first."""
+    na, nb = F.col(f"n{a}"), F.col(f"n{b}")
+    both = F.size(F.array_intersect(shingle_hashes(F.col(f"line{a}")), shingle_hashes(F.col(f"line{b}"))))
+    return [F.least(na, nb) * 100 >= F.greatest(na, nb) * PERCENT, both * (100 + PERCENT) >= (na + nb) * PERCENT]
+
+
+def similar_lines(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose sets are similar enough."""
-    left = sets.select(F.col("node").alias("a"), F.col("s").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("s").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("sa", "sb")))
-    return both.filter(F.lit(100) * F.col("both") >= F.lit(PERCENT) * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b")
+    side = lambda x: texts.select(F.col("node").alias(x), F.col("line").alias(f"line{x}"), F.col("n").alias(f"n{x}"))
+    size, sets = _similar("a", "b")
+    return pairs.join(side("a"), "a").join(side("b"), "b").filter(size).filter(sets).select("a", "b")
 
 
-def parity_marks(s: Column) -> list[Column]:
+def parity_marks(s: Column) -> Column:
     """MARKS longs of parities: as many bits differ between two sets as they have odd cells, at most their differing hashes."""
     one = F.lit(1).cast("long")
 
@@ -96,46 +162,40 @@ def parity_marks(s: Column) -> list[Column]:
         own = F.filter(s, lambda x: F.pmod(x, F.lit(MARKS)) == k)
         return F.aggregate(own, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(F.call_function("shiftleft", one, F.pmod(F.shiftright(x, 8), F.lit(64)).cast("int"))))
 
-    return [mark(k) for k in range(MARKS)]
+    return F.array(*(mark(k) for k in range(MARKS)))
 
 
-def across_lines(left: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between components in open buckets.
+def across_lines(left: DataFrame, texts: DataFrame, lines: DataFrame) -> DataFrame:
+    """Links between components in open buckets (key, node, c, lead).
 
-    Buckets with one least line form a group; its lines fall into blocks by
-    hash and every two blocks meet by an equi-join of bounded size.  Parities
-    of the sets, which differ in no more places than the sets do, decide in the
-    join itself which pairs become rows.
+    Each member outside its bucket's largest component meets the members of
+    other components, in the first bucket that the two share.  The join's
+    condition verifies them, so a pair becomes a row only if it is a link.
     """
-    group = left.select(F.col("lead").alias("g"), "node", "c").distinct()
-    size = group.groupBy("g").agg(F.count("*").alias("k")).select("g", F.ceil(F.col("k") / BLOCK).cast("int").alias("nb"))
-    marks = sets.select("node", F.size("s").alias("n"), *(m.alias(f"m{k}") for k, m in enumerate(parity_marks(F.col("s")))))
-    placed = group.join(size, "g").join(marks, "node").withColumn("blk", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
-    own = placed.select("g", F.col("blk").alias("i"), F.explode(F.sequence("blk", F.col("nb") - 1)).alias("j"), F.col("node").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"), *(F.col(f"m{k}").alias(f"a{k}") for k in range(MARKS)))
-    other = placed.select("g", F.explode(F.sequence(F.lit(0), F.col("blk"))).alias("i"), F.col("blk").alias("j"), F.col("node").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"), *(F.col(f"m{k}").alias(f"b{k}") for k in range(MARKS)))
-    differ = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(MARKS)), F.lit(0))
-    both = F.col("na") + F.col("nb")
-    near = (F.col("ca") != F.col("cb")) & (differ * F.lit(100 + PERCENT) <= both * F.lit(100 - PERCENT)) & ((F.col("i") != F.col("j")) | (F.col("a") < F.col("b")))
-    pairs = own.join(other, ["g", "i", "j"]).filter(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return similar_lines(pairs, sets)
+    nodes = left.select("node").distinct()
+    marks = F.transform(F.array(shingle_hashes(F.col("line"))), parity_marks)[0]
+    marked = texts.join(nodes, "node", "left_semi").withColumn("marks", marks).join(lines.select("node", *KEYS), "node")
+    marked = materialize(marked.select("node", "line", "n", "marks", F.array(*KEYS).alias("keys")), "lines-marked")
+    named = left.join(marked, "node").withColumn("band", F.array_position("keys", F.col("key")))
+    side = lambda x: named.select("key", "lead", *(F.col(c).alias(f"{c}{x}") for c in ("node", "c", "line", "n", "marks", "keys", "band")))
+    own, other = side("a").filter("ca != lead").drop("lead"), side("b")
+    size, sets = _similar("a", "b")
+    once = (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("lead")) | (F.col("nodea") < F.col("nodeb")))
+    differ = reduce(Column.__add__, (F.bit_count(F.col("marksa")[k].bitwiseXOR(F.col("marksb")[k])) for k in range(MARKS)))
+    near = differ * (100 + PERCENT) <= (F.col("na") + F.col("nb")) * (100 - PERCENT)
+    first = reduce(Column.__and__, ((F.col("banda") <= k + 1) | (F.col("keysa")[k] != F.col("keysb")[k]) for k in range(len(KEYS) - 1)))
+    found = own.join(other, (own["key"] == other["key"]) & once & size & near & first & sets)
+    return found.select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")).distinct()
 
 
 def keepers(docs: DataFrame) -> DataFrame:
     """doc, ln of the lines that stay: the first line of each component."""
     lines = materialize(distinct_lines(docs), "lines-distinct")
-    keys = lines.select(F.col("h1").alias("node"), F.explode(F.array_compact(F.array(*KEYS))).alias("key"))
-    # each bucket draws its own member to try the others against, so a group of near copies gets one per band
-    mixed = F.col("node").bitwiseXOR(F.col("key"))
-    shared = keys.groupBy("key").agg(F.min(mixed).alias("lo"), F.max(mixed).alias("hi")).filter("lo != hi")
-    members = materialize(keys.join(shared.select("key", F.col("lo").bitwiseXOR(F.col("key")).alias("drawn")), "key"), "lines-members")
-    tried = members.filter("drawn != node").select(F.least("drawn", "node").alias("a"), F.greatest("drawn", "node").alias("b")).distinct()
-    wanted = lines.join(members.select(F.col("node").alias("h1")).distinct(), "h1", "left_semi").groupBy("doc").agg(F.collect_set("ln").alias("lns"))
-    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"), "text").join(wanted, "doc")
-    own = own.select(F.explode(F.transform("lns", lambda i: F.get(F.split("text", "\n"), i))).alias("line")).filter(F.col("line").isNotNull())
-    sets = own.select(F.xxhash64("line").alias("node"), shingle_hashes(F.col("line")).alias("s"))
-    sets = materialize(sets.dropDuplicates(["node"]), "lines-sets")
-    label = settle_buckets(members.select("key", "node"), tried, tried.limit(0), lambda pairs: similar_lines(pairs, sets), "lines", lambda left: across_lines(left, sets))
-    named = lines.join(label, F.col("h1") == F.col("node"), "left").select("doc", "ln", "h1", "h2", "component")
+    members = near_members(lines)
+    tried = drawn_pairs(members)
+    texts = materialize(texts_of(docs, lines, members.select("node").distinct()), "lines-texts")
+    label = settle_buckets(members.select("key", "node"), tried, tried.limit(0), lambda pairs: similar_lines(pairs, texts), lambda left: across_lines(left, texts, lines), "lines")
+    named = lines.select("node", "doc", "ln").join(label, "node", "left")
     place = F.min(F.struct("doc", "ln")).alias("place")
     linked = named.filter("component is not null").groupBy("component").agg(place).select("place.*")
     return named.filter("component is null").select("doc", "ln").unionByName(linked)
@@ -146,21 +206,36 @@ def kept_numbers(docs: DataFrame) -> DataFrame:
     return keepers(docs).groupBy("doc").agg(F.sort_array(F.collect_set("ln")).alias("kept"))
 
 
+def _numbers(lines: Column) -> Column:
+    """Numbers of the lines that are not blank."""
+    return F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(r"\S"), i)), lambda i: i.isNotNull())
+
+
 def line_report(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_blank, n_removed, kept_lines (numbers of lines that stay, blank ones left out) of each row."""
-    blank = F.size(F.filter(F.split("text", "\n"), lambda x: ~x.rlike(r"\S")))
-    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"), F.greatest(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"), F.greatest(blank, F.lit(0)).alias("n_blank"))
-    out = own.join(kept_numbers(docs), "doc", "left").withColumn("kept_lines", F.coalesce("kept", F.array().cast("array<int>")))
-    return out.select(F.when(F.col("doc") != NULL_ID, F.col("doc")).alias("doc_id"), "n_lines", "n_blank", (F.col("n_lines") - F.col("n_blank") - F.size("kept_lines")).alias("n_removed"), "kept_lines")
+    none = F.array().cast("array<int>")
+    own = _doc(docs).select("doc", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n"), F.coalesce(_numbers(F.split("text", "\n")), none).alias("own"))
+    out = own.join(kept_numbers(docs), "doc", "left").withColumn("kept_lines", F.array_intersect("own", F.coalesce("kept", none)))
+    n_lines = F.greatest("n", F.lit(0))
+    return out.select(F.when(F.col("doc") != NULL_ID, F.col("doc")).alias("doc_id"), n_lines.alias("n_lines"), (n_lines - F.size("own")).alias("n_blank"), (F.size("own") - F.size("kept_lines")).alias("n_removed"), "kept_lines")
+
+
+def _only_kept(text: Column, kept: Column) -> Column:
+    """The text with the lines numbered in kept and the blank ones; linear in the number of lines."""
+
+    def of(lines: Column) -> Column:
+        blank = F.filter(F.transform(lines, lambda x, i: F.when(~x.rlike(r"\S"), i)), lambda i: i.isNotNull())
+        stay = F.sort_array(F.array_union(blank, F.coalesce(kept, F.array().cast("array<int>"))))
+        return F.array_join(F.filter(F.transform(stay, lambda i: F.get(lines, i)), lambda x: x.isNotNull()), "\n")
+
+    return F.when(text.isNotNull(), F.transform(F.array(F.split(text, "\n")), of)[0])
 
 
 def drop_lines(docs: DataFrame) -> DataFrame:
     """The rows of documents, all columns, with only the lines that stay in text and n_chars (where there is one) to match."""
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
-    kept = kept_numbers(docs).select(F.col("doc").alias("__doc"), F.col("kept").alias("__kept"))
-    lines = F.split("text", "\n")
-    stay = F.filter(lines, lambda x, i: ~x.rlike(r"\S") | F.coalesce(F.array_contains("__kept", i), F.lit(False)))
-    out = docs.withColumn("__doc", key).join(kept, "__doc", "left").withColumn("text", F.array_join(stay, "\n"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*docs.columns)
+    kept = kept_numbers(docs).select(F.struct("doc", "kept").alias("own"))
+    row = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    doc = F.coalesce(F.col("row.doc_id").cast("long"), F.lit(NULL_ID))
+    both = row.join(kept, doc == F.col("own.doc"), "left").withColumn("text", _only_kept(F.col("row.text"), F.col("own.kept")))
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return both.select(*(new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
