@@ -6,6 +6,8 @@ dialect does not strip, knows a few more words, and falls back to null.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,6 +31,7 @@ def to_bool(c: Column, compat: bool = False) -> Column:
 
 
 def number_to_bool(c: Column) -> Column:
+    """True for a number other than 0; null is false."""
     return F.coalesce(c != 0, F.lit(False))
 
 
@@ -57,6 +60,34 @@ def judge_double(c: Column) -> Column:
     return to_double(c)
 
 
+class JsonField:
+    """A field of a JSON object with its type: numbers and booleans are read as such, text by a dialect's rule."""
+
+    def __init__(self, payload: Column, key: str):
+        self.text = F.get_json_object(payload, f"$.{key}")
+        kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(payload), f"$.{key}", "variant"))
+        self.is_number, self.is_bool = kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), kind == "BOOLEAN"
+        self.number = self.text.try_cast("double")
+
+    def boolean(self, rule: Callable[[Column], Column]) -> Column:
+        """A number is true unless it is 0."""
+        own = F.when(self.is_number, self.number != 0).when(self.is_bool, self.text == "true").otherwise(rule(self.text))
+        return F.coalesce(own, F.lit(False))
+
+    def integer(self, rule: Callable[[Column], Column]) -> Column:
+        """A number is cut towards zero, a boolean is 1 or 0."""
+        return F.when(self.is_number, self.number.try_cast("int")).when(self.is_bool, (self.text == "true").cast("int")).otherwise(rule(self.text))
+
+    def double(self, rule: Callable[[Column], Column]) -> Column:
+        return F.when(self.is_number, self.number).when(self.is_bool, (self.text == "true").cast("double")).otherwise(rule(self.text))
+
+
+def round_mean(c: Column, places: int = 3) -> Column:
+    """A double to ``places`` decimals; one that lies exactly between two goes to the even one."""
+    exact = c * 2.0 ** (places + 1)  # only multiples of this power of two can lie exactly between two decimals
+    return F.when(exact == F.floor(exact), F.bround(c, places)).otherwise(F.round(c, places))
+
+
 def as_flag_text(c: Column) -> Column:
     """The text form of a flag in JSON outputs."""
     return F.when(c, "True").otherwise("False")

@@ -54,19 +54,20 @@ def pretty_json(texts: pd.Series) -> pd.Series:
 
 
 def parse_ocr(df: DataFrame, response: str = "response") -> DataFrame:
-    """Adds extracted_text and note (ok, no_field, not_json) of each answer.
+    """Adds extracted_text and note (ok, no_field, not_json) of each answer, in one pass over the input.
 
-    Only answers that are JSON without the field meet Python (for the
-    indentation); the others stay in generated code.
+    The intermediate columns are projections of their own, which keeps each
+    generated method small.  Python only gets answers that are JSON without the
+    field (for the indentation); for the others it sees a null.
     """
-    body = valid_json(ocr_candidate(F.col(response)))
-    field = F.get_json_object(body, "$.extracted_text")
-    has = body.rlike(r'(?s)^\s*\{') & F.coalesce(F.array_contains(F.json_object_keys(body), "extracted_text"), F.lit(False))
-    own = df.withColumn("__body", body)
-    own = own.withColumn("note", F.when(F.col("__body").isNull(), "not_json").when(F.coalesce(has, F.lit(False)), "ok").otherwise("no_field"))
-    plain = own.filter("note != 'no_field'").withColumn("extracted_text", F.when(F.col("note") == "ok", field).otherwise(strip(F.col(response))))
-    printed = own.filter("note = 'no_field'").withColumn("extracted_text", pretty_json("__body"))
-    return plain.unionByName(printed).drop("__body")
+    own = df.withColumn("__text", strip(F.col(response))).withColumn("__candidate", ocr_candidate(F.col(response)))
+    own = own.withColumn("__body", valid_json(F.col("__candidate")))
+    keys = F.when(F.col("__body").rlike(r"(?s)^\s*\{"), F.json_object_keys("__body"))
+    own = own.withColumn("__has", F.coalesce(F.array_contains(keys, "extracted_text"), F.lit(False)))
+    own = own.withColumn("note", F.when(F.col("__body").isNull(), "not_json").when(F.col("__has"), "ok").otherwise("no_field"))
+    printed = pretty_json(F.when(F.col("note") == "no_field", F.col("__body")))
+    text = F.when(F.col("note") == "ok", F.get_json_object("__body", "$.extracted_text")).when(F.col("note") == "not_json", F.col("__text")).otherwise(printed)
+    return own.withColumn("extracted_text", text).drop("__text", "__candidate", "__body", "__has")
 
 
 def angle_bucket(degrees: Column) -> Column:

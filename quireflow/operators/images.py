@@ -12,17 +12,21 @@ from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quireflow.config import Dewarp
 from quireflow.schemas import IMAGE
 
-#: Images per Arrow batch of the pixel kernels.
+#: Images that a pixel kernel works on at once.
 IMAGES_PER_BATCH = 4
 
 
+class Skipped(Exception):
+    """Nothing to do for an image."""
+
+
 class Detector(Protocol):
     """Finds a document in pixels: (confidence, four corners clockwise from top left), or None."""
 
@@ -40,29 +44,49 @@ def pixels_of(row) -> np.ndarray:
     return np.frombuffer(row["data"], np.uint8).reshape(row["height"], row["width"], row["nChannels"])
 
 
+_FIELDS = [x.split()[0] for x in IMAGE.split(", ")]
+
+
 def _struct(row, pixels: np.ndarray) -> dict:
     return {"origin": row["origin"], "height": pixels.shape[0], "width": pixels.shape[1], "nChannels": pixels.shape[2], "mode": row["mode"], "data": pixels.tobytes()}
 
 
-def map_images(df: DataFrame, image: str, fn: Callable[[np.ndarray, pd.Series], np.ndarray], extra: list[str]) -> DataFrame:
-    """Replace an image column by fn(pixels, row); a failure keeps the image and fills ``error``."""
+def map_images(df: DataFrame, image: str, fn: Callable[[np.ndarray, dict], np.ndarray], extra: list[str]) -> DataFrame:
+    """Replace an image column by fn(pixels, the row's other columns); a failure keeps the image and fills ``error``.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            images, errors = [], []
-            for _, row in pdf.iterrows():
-                try:
-                    images.append(_struct(row[image], fn(pixels_of(row[image]), row)))
-                    errors.append(None)
-                except Exception as e:  # an error is a row, not a lost job
-                    images.append(row[image])
-                    errors.append(f"{type(e).__name__}: {e}")
-            yield pdf.assign(**{image: images, "error": errors})
+    Pixels are views of the Arrow buffers.  A null image passes as it is.
+    """
+    names = [*extra, image, "error"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, IMAGES_PER_BATCH):
+                batch = whole.slice(at, IMAGES_PER_BATCH)
+                own = batch.column(len(extra))
+                rows = batch.select(extra).to_pylist() if extra else [{}] * batch.num_rows
+                images, errors = [], []
+                for cell, row in zip(own, rows, strict=True):
+                    got, error = None, None
+                    if cell.is_valid:
+                        got = {k: cell["data"].as_buffer() if k == "data" and cell["data"].is_valid else cell[k].as_py() for k in _FIELDS}
+                        try:
+                            got = _struct(got, fn(pixels_of(got), row))
+                        except Exception as e:  # an error is a row, not a lost job
+                            got, error = cell.as_py(), f"{type(e).__name__}: {e}"
+                    images.append(got)
+                    errors.append(error)
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(extra)], pa.array(images, own.type), pa.array(errors, pa.string())], names)
 
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", IMAGES_PER_BATCH)
     own = df.select(*extra, image)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields if f.name != image)
-    return own.mapInPandas(run, f"{fields}, `{image}` struct<{IMAGE.replace(' int', ':int').replace(' string', ':string').replace(' binary', ':binary')}>, error string")
+    kind = IMAGE.replace(" int", ":int").replace(" string", ":string").replace(" binary", ":binary")
+    return own.mapInArrow(run, f"{fields + ', ' if fields else ''}`{image}` struct<{kind}>, error string")
+
+
+def cut_columns(df: DataFrame, image: str = "image", start: str = "start_x", end: str = "end_x") -> DataFrame:
+    """The columns [start, end) of each row's image, as the halves of a spread are cut; adds ``error``."""
+    extra = [c for c in df.columns if c != image]
+    return map_images(df, image, lambda px, row: px[:, row[start] : row[end]], extra)
 
 
 def bilinear(pixels: np.ndarray, x: np.ndarray, y: np.ndarray, border: int = 255) -> np.ndarray:
@@ -98,7 +122,11 @@ def turn(pixels: np.ndarray, angle: int, compat: bool = False) -> np.ndarray:
 
 
 def rotate_images(df: DataFrame, image: str = "image", angle: str = "angle", compat: bool = False, extra: list[str] | None = None) -> DataFrame:
-    """Rotate each image by its row's angle; rows with angle 0 or null never reach Python."""
+    """Rotate each image by its row's angle; rows with angle 0 or null never reach Python.
+
+    The input is read twice, by angle: what costs or is not repeatable above it
+    belongs in a table first.
+    """
     extra = [c for c in (extra or df.columns) if c != image]
     still = F.coalesce(F.col(angle), F.lit(0)) == 0
     turned = map_images(df.filter(~still), image, lambda px, row: turn(px, row[angle], compat), extra)
@@ -157,15 +185,21 @@ def dewarp(pixels: np.ndarray, detector: Detector, cfg: Dewarp = Dewarp(), compa
 
 
 def dewarp_images(df: DataFrame, detector: Callable[[], Detector], image: str = "image", cfg: Dewarp = Dewarp(), compat: bool = False) -> DataFrame:
-    """Dewarp each image; ``detector`` builds the model once per worker."""
+    """Dewarp each image; ``detector`` builds the model once per worker.  Adds error and skipped (left as it was)."""
     held: dict[str, Detector] = {}
+    extra = [c for c in df.columns if c != image]
 
-    def fn(px: np.ndarray, row: pd.Series) -> np.ndarray:
+    def fn(px: np.ndarray, row: dict) -> np.ndarray:
         if "d" not in held:
             held["d"] = detector()
-        return dewarp(px, held["d"], cfg, compat)[0]
-
-    return map_images(df, image, fn, [c for c in df.columns if c != image])
+        out, skipped = dewarp(px, held["d"], cfg, compat)
+        if skipped:
+            raise Skipped
+        return out
+
+    out = map_images(df, image, fn, extra)
+    skipped = F.coalesce(F.col("error").startswith(Skipped.__name__), F.lit(False))
+    return out.select(*extra, image, F.when(~skipped, F.col("error")).alias("error"), skipped.alias("skipped"))
 
 
 def bright_box(threshold: int = 128) -> Detector:

@@ -80,12 +80,13 @@ def with_backoff(call: Callable[[], Any], cfg: Ocr = Ocr(), sleep: Callable[[flo
 
 
 def judge_images(images: DataFrame, factory: Callable[[], PageJudge], image: str, keys: list[str], judge: str, cfg: Judge = Judge()) -> DataFrame:
-    """keys, judge, success, error, payload, raw_response, attempt of each image."""
+    """keys, judge, success, error, payload, raw_response, attempt of each image; a missing one is a failure without a call."""
+    missing = {"success": False, "error": "missing image", "payload": None, "raw_response": None, "attempt": 0}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = factory()
         for pdf in batches:
-            rows = [judge_once(own, x, cfg) for x in pdf[image]]
+            rows = [dict(missing) if x is None else judge_once(own, x, cfg) for x in pdf[image]]
             yield pd.concat([pdf[keys].reset_index(drop=True), pd.DataFrame(rows, columns=["success", "error", "payload", "raw_response", "attempt"])], axis=1).assign(judge=judge)[[*keys, *names]]
 
     names = ["judge", "success", "error", "payload", "raw_response", "attempt"]
@@ -100,15 +101,15 @@ def orientation_angles(images: DataFrame, factory: Callable[[], PageJudge] | Non
 
     if not enabled or factory is None:
         return images.select(*keys, F.lit(True).alias("success"), F.lit(None).cast("string").alias("error"), F.lit(0).alias("angle"))
-    gone = images.filter(F.col(image).isNull()).select(*keys, F.lit(False).alias("success"), F.lit("missing image").alias("error"), F.lit(0).alias("angle"))
-    judged = judge_images(images.filter(F.col(image).isNotNull()), factory, image, keys, "orientation")
-    return judged.select(*keys, "success", "error", F.when(F.col("success"), judged_angle(F.col("payload"))).otherwise(0).alias("angle")).unionByName(gone)
+    judged = judge_images(images, factory, image, keys, "orientation")
+    return judged.select(*keys, "success", "error", F.when(F.col("success"), judged_angle(F.col("payload"))).otherwise(0).alias("angle"))
 
 
 def recognize_groups(groups: DataFrame, factory: Callable[[], Recognizer], keys: list[str], engine: str = "llm", cfg: Ocr = Ocr(), sleep: Callable[[float], None] = time.sleep) -> DataFrame:
     """Raw answers for groups (images: ordered array of structs with ``image``); images that are null are left out.
 
-    At most max_concurrent_groups run at once: so many partitions call.
+    At most max_concurrent_groups run at once: so many partitions call.  ``image``
+    may be a path, so that no pixels travel to them.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -128,7 +129,10 @@ def recognize_groups(groups: DataFrame, factory: Callable[[], Recognizer], keys:
 
 
 def recognize_images(tiles: DataFrame, factory: Callable[[], ImageRecognizer], image: str, keys: list[str], cfg: Ocr = Ocr(), sleep: Callable[[float], None] = time.sleep) -> DataFrame:
-    """keys, image_type, split_index, success, error, text, confidence of every tile; types are the tiles' own."""
+    """keys, image_type, split_index, success, error, text, confidence of every tile; types are the tiles' own.
+
+    The same bound on concurrent calls as for groups.
+    """
     carried = [*keys, "image_type", "split_index"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -140,7 +144,7 @@ def recognize_images(tiles: DataFrame, factory: Callable[[], ImageRecognizer], i
                 rows.append((error is None, error, *(got or (None, 0.0))))
             yield pd.concat([pdf[carried].reset_index(drop=True), pd.DataFrame(rows, columns=["success", "error", "text", "confidence"])], axis=1)
 
-    src = tiles.select(*carried, image)
+    src = tiles.select(*carried, image).repartition(cfg.max_concurrent_groups)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.select(*carried).schema.fields)
     return src.mapInPandas(run, f"{fields}, success boolean, error string, text string, confidence double")
 
@@ -152,6 +156,13 @@ def document_ai_results(tiles: DataFrame, factory: Callable[[], ImageRecognizer]
     return document_ai_group(read.withColumn("place", place), keys, "place").withColumn("engine", F.lit("document_ai"))
 
 
+def individual_results(read: DataFrame, keys: list[str]) -> DataFrame:
+    """keys and individual_results (a list of struct per image, the original first, then strips by number) of each group."""
+    first = F.when(F.col("image_type") == "original", -1).otherwise(F.col("split_index")).alias("place")
+    rows = F.array_sort(F.collect_list(F.struct(first, "image_type", "split_index", "success", "error", "text", "confidence")))
+    return read.groupBy(*keys).agg(F.transform(rows, lambda x: x.dropFields("place")).alias("individual_results"))
+
+
 def write_once(results: DataFrame, path: str) -> DataFrame:
     """Results of paid calls as a table, read back: nothing calls again for a second use."""
     results.write.mode("errorifexists").parquet(path)

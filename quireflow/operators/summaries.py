@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -104,3 +104,17 @@ def extraction_status(results: DataFrame) -> DataFrame:
     groups = results.groupBy("group_key").agg(F.coalesce(F.bool_or(_ok()), F.lit(False)).alias("ok"))
     out = groups.agg(F.count("*").alias("total_groups"), F.count_if(F.col("ok")).alias("successful_groups"))
     return out.withColumn("success_rate", F.col("successful_groups") * 100.0 / F.greatest(F.col("total_groups"), F.lit(1)))
+
+
+def in_page_order(pages: DataFrame, page: str, tie: str) -> DataFrame:
+    """Rows with their place, from 1, by page number (a missing one counts as 0) and the tie's column.
+
+    Page numbers are counted first, so places follow from sums over few numbers
+    and a rank inside each, and no task orders the whole table.
+    """
+    number = F.coalesce(F.col(page), F.lit(0))
+    counts = pages.groupBy(number.alias("__page")).agg(F.count("*").alias("__n"))
+    before = counts.withColumn("__before", F.sum("__n").over(Window.orderBy("__page").rowsBetween(Window.unboundedPreceding, -1)))
+    inside = pages.withColumn("__page", number).withColumn("__rank", F.row_number().over(Window.partitionBy("__page").orderBy(tie)))
+    out = inside.join(before.select("__page", F.coalesce("__before", F.lit(0)).alias("__before")), "__page")
+    return out.withColumn("place", (F.col("__before") + F.col("__rank")).cast("long")).drop("__page", "__rank", "__before")

@@ -12,12 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quireflow.config import Integration, Ocr
+from quireflow.config import Integration, Ocr, Settings, overlay
 from quireflow.functions import coerce, geometry, names, parsing
 from quireflow.operators import images, integration, judgments, recognition, routing, summaries, tiles
-from quireflow.plans import stages
+from quireflow.plans import stages, stand_ins, whole
 from quireflow.sinks import outputs
-from quireflow.sources import texts
+from quireflow.sources import scans, texts
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -405,11 +405,11 @@ def judgment_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.select("event_id", *judgments.summary_columns(F.col("p"))).withColumn("confidence_score", F.round("confidence_score", 6))
 
 
-@query(f"""SELECT event_type, CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (event_id % 5 <> 0) AS BIGINT) AS successful, CAST(sum(CASE WHEN event_id % 5 <> 0 THEN {_K} ELSE 0 END) AS BIGINT) AS total_file_size_bytes,
-    sum(CASE WHEN event_id % 5 <> 0 THEN 2.0::DOUBLE ELSE 0 END) / greatest(1, count(*) FILTER (event_id % 5 <> 0)) AS average_scale_factor FROM events WHERE event_type = 'view' GROUP BY event_type""")
+@query(f"""SELECT CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (event_id % 5 <> 0) AS BIGINT) AS successful, CAST(sum(CASE WHEN event_id % 5 <> 0 THEN {_K} ELSE 0 END) AS BIGINT) AS total_file_size_bytes,
+    sum(CASE WHEN event_id % 5 <> 0 THEN 2.0::DOUBLE ELSE 0 END) / greatest(1, count(*) FILTER (event_id % 5 <> 0)) AS average_scale_factor FROM events""")
 def rerender_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = table(spark, sf_dir, "events").filter("event_type = 'view'").select((F.col("event_id") % 5 != 0).alias("success"), F.get_json_object("props", "$.k").cast("long").alias("file_size_bytes"), F.lit(2.0).alias("scale_factor"))
-    return summaries.rerender_summary(own).select(F.lit("view").alias("event_type"), "total", "successful", "total_file_size_bytes", "average_scale_factor")
+    own = table(spark, sf_dir, "events").select((F.col("event_id") % 5 != 0).alias("success"), F.get_json_object("props", "$.k").cast("long").alias("file_size_bytes"), F.lit(2.0).alias("scale_factor"))
+    return summaries.rerender_summary(own).select("total", "successful", "total_file_size_bytes", "average_scale_factor")
 
 
 @query("""SELECT CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (event_id % 5 <> 0 AND event_type <> 'view') AS BIGINT) AS successful, CAST(count(*) FILTER (event_id % 5 <> 0 AND event_type = 'view') AS BIGINT) AS skipped,
@@ -425,10 +425,26 @@ def rotation_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.rotation_summary(table(spark, sf_dir, "events").select((F.col("event_id") % 5 != 0).alias("success"), parsing.angle_bucket(d).alias("angle")))
 
 
-@query("""SELECT part, CAST(count(*) AS BIGINT) AS pages FROM (SELECT doc_id, unnest(generate_series(1, 1 + doc_id % 4)) AS part FROM documents) GROUP BY part""")
+def _laid_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: session_id, path and content, the text with ? for what is not ASCII."""
+    content = F.encode(F.regexp_replace("text", r"[^\x00-\x7f]", "?"), "utf-8")
+    name = F.format_string("doc_%d", "doc_id")
+    return table(spark, sf_dir, "documents").select(name.alias("session_id"), F.concat(name, F.lit(".pdf")).alias("path"), content.alias("content"))
+
+
+_TEXT_PAGES = r"""(SELECT doc_id, t, unnest(generate_series(0, (length(t) - 1) // 10000)) AS k FROM (SELECT doc_id, regexp_replace(text, '[^\x00-\x7f]', '?', 'g') AS t FROM documents) WHERE length(t) > 0)"""
+
+
+@query(f"""SELECT 'doc_' || doc_id AS session_id, CAST(k + 1 AS INTEGER) AS page_number, CAST((length(t) + 9999) // 10000 AS INTEGER) AS total_pages, 40.0::DOUBLE AS width,
+    ceil(length(substr(t, k * 10000 + 1, 10000)) / 40.0)::DOUBLE AS height FROM {_TEXT_PAGES}""")
 def page_enumeration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = table(spark, sf_dir, "documents").select(F.posexplode(F.sequence(F.lit(0), (F.col("doc_id") % 4).cast("int"))).alias("i", "x"))
-    return own.groupBy((F.col("i") + 1).cast("long").alias("part")).agg(F.count("*").alias("pages"))
+    return scans.pages(_laid_out(spark, sf_dir), stand_ins.TextDocument).filter("success").select("session_id", "page_number", "total_pages", "width", "height")
+
+
+@query(r"""SELECT 'doc_' || doc_id AS session_id, length(t) > 0 AS success, CASE WHEN length(t) > 0 THEN CAST(length(t) AS VARCHAR) ELSE '0' END AS bytes FROM (SELECT doc_id, regexp_replace(text, '[^\x00-\x7f]', '?', 'g') AS t FROM documents)""")
+def document_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scans.document_metadata(_laid_out(spark, sf_dir), stand_ins.TextDocument)
+    return out.select("session_id", (F.col("metadata")["bytes"] != "0").alias("success"), F.col("metadata")["bytes"].alias("bytes"))
 
 
 @query("""SELECT conv_id, CAST(CASE WHEN count(*) FILTER (role = 'user') = count(*) FILTER (role = 'assistant') THEN count(*) FILTER (role = 'user') ELSE 0 END AS INTEGER) AS pairs FROM conversations GROUP BY conv_id""")
@@ -447,15 +463,24 @@ def _images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", (F.element_at(F.array(*map(F.lit, [0, 90, -90, 180])), (F.col("doc_id") % 4 + 1).cast("int"))).alias("angle"), image.alias("image"))
 
 
-@query("""SELECT doc_id, CAST(i AS INTEGER) AS strip, md5(substr(t, 1 + i * 64, 64)) AS strip_md5 FROM
-    (SELECT doc_id, substr(rpad(substr(regexp_replace(text, '[^\\x00-\\x7f]', '?', 'g'), 1, 384), 384, ' '), 1, 384) AS t, unnest(generate_series(0, 5)) AS i FROM documents)""")
+#: The images of _images in SQL: doc_id, h, t (16 characters a row).
+_PIXELS = r"""(SELECT doc_id, h, rpad(substr(t, 1, h * 16), h * 16, ' ') AS t FROM (SELECT doc_id, regexp_replace(text, '[^\x00-\x7f]', '?', 'g') AS t, greatest(24, CAST(ceil(length(text) / 16.0) AS INTEGER)) AS h FROM documents))"""
+
+
+@query(f"""SELECT doc_id, CAST(i AS INTEGER) AS strip, md5(substr(t, 1 + i * 64, 64)) AS strip_md5 FROM (SELECT doc_id, t, unnest(generate_series(0, (h + 3) // 4 - 1)) AS i FROM {_PIXELS})""")
 def image_strips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = _images(spark, sf_dir).select("doc_id", "image", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("strip"))
-    cut = images.slice_rows(F.col("image"), F.col("strip") * 4, F.col("strip") * 4 + 4)
+    last = F.floor((F.col("image.height") + 3) / 4).cast("int") - 1
+    own = _images(spark, sf_dir).select("doc_id", "image", F.explode(F.sequence(F.lit(0), last)).alias("strip"))
+    cut = images.slice_rows(F.col("image"), F.col("strip") * 4, F.least(F.col("strip") * 4 + 4, F.col("image.height")))
     return own.select("doc_id", "strip", F.md5(cut["data"]).alias("strip_md5"))
 
 
-@query()
+# a quarter turn permutes bytes: its rows are the columns of the image, read from the other end
+@query(f"""WITH p AS (SELECT doc_id, h, t, [0, 90, -90, 180][CAST(doc_id % 4 + 1 AS INTEGER)] AS angle FROM {_PIXELS}),
+    c AS (SELECT doc_id, k, string_agg(substr(t, 1 + r * 16 + k, 1), '' ORDER BY r) AS col FROM (SELECT doc_id, t, r, unnest(generate_series(0, 15)) AS k FROM (SELECT doc_id, t, unnest(generate_series(0, h - 1)) AS r FROM p WHERE abs(angle) = 90)) GROUP BY doc_id, k),
+    q AS (SELECT doc_id, string_agg(reverse(col), '' ORDER BY k) AS right_, string_agg(col, '' ORDER BY 15 - k) AS left_ FROM c GROUP BY doc_id)
+    SELECT doc_id, angle, CASE WHEN abs(angle) = 90 THEN 16 ELSE h END AS height, CASE WHEN abs(angle) = 90 THEN h ELSE 16 END AS width,
+    md5(CASE angle WHEN 0 THEN t WHEN 180 THEN reverse(t) WHEN 90 THEN right_ ELSE left_ END) AS image_md5, CAST(NULL AS VARCHAR) AS error FROM p LEFT JOIN q USING (doc_id)""")
 def image_rotate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = images.rotate_images(_images(spark, sf_dir))
     return out.select("doc_id", "angle", "image.height", "image.width", F.md5("image.data").alias("image_md5"), "error")
@@ -484,11 +509,53 @@ def stub_ocr_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("engine", "files_count", F.md5("integrated_text").alias("text_md5"), "total_characters")
 
 
-@query("""SELECT conv_id, CAST(NULL AS VARCHAR) AS warning, text AS extracted_text, 'True' AS flag FROM conversations WHERE turn = 0""")
+@query("""SELECT conv_id, turn, CAST(NULL AS VARCHAR) AS warning, text AS extracted_text, 'True' AS flag FROM conversations""")
 def result_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = table(spark, sf_dir, "conversations").filter("turn = 0").select("conv_id", F.lit(True).alias("success"), F.col("text").alias("extracted_text"), F.lit("g").alias("group_key"), F.lit(1).alias("processed_images"), F.lit("ok").alias("note"), F.col("text").alias("response"))
+    own = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.lit(True).alias("success"), F.col("text").alias("extracted_text"), F.lit("g").alias("group_key"), F.lit(1).alias("processed_images"), F.lit("ok").alias("note"), F.col("text").alias("response"))
     body = own.withColumn("j", outputs.result_json(Ocr(), {"flag": coerce.as_flag_text(F.col("success"))}))
-    return body.select("conv_id", F.get_json_object("j", "$.warnings[0]").alias("warning"), F.get_json_object("j", "$.ocr_result.extracted_text").alias("extracted_text"), F.get_json_object("j", "$.flag").alias("flag"))
+    return body.select("conv_id", "turn", F.get_json_object("j", "$.warnings[0]").alias("warning"), F.get_json_object("j", "$.ocr_result.extracted_text").alias("extracted_text"), F.get_json_object("j", "$.flag").alias("flag"))
+
+
+# pages turned by 180 degrees or cut into halves of 22 dots, then strips of each height, all digests of bytes
+_WHOLE = rf"""WITH p AS (SELECT doc_id, k, ascii(raw) AS dot, CAST(ceil(length(raw) / 40.0) AS BIGINT) AS h, rpad(raw, CAST(ceil(length(raw) / 40.0) * 40 AS INTEGER), ' ') AS t
+      FROM (SELECT doc_id, k, substr(t, k * 10000 + 1, 10000) AS raw FROM {_TEXT_PAGES})),
+    r AS (SELECT doc_id, k, h, CASE WHEN dot % 4 = 1 THEN reverse(t) ELSE t END AS t FROM p),
+    d AS (SELECT *, ascii(t) % 2 = 0 AS spread FROM r),
+    s AS (SELECT doc_id, k, h, m, string_agg(substr(t, 1 + i * 40 + CASE WHEN m = 1 THEN 18 ELSE 0 END, w), '' ORDER BY i) AS t, w FROM
+      (SELECT doc_id, k, h, t, m, CASE WHEN spread THEN 22 ELSE 40 END AS w, unnest(generate_series(0, h - 1)) AS i FROM (SELECT *, unnest(generate_series(0, CASE WHEN spread THEN 1 ELSE 0 END)) AS m FROM d)) GROUP BY doc_id, k, h, m, w),
+    b AS (SELECT *, h // n AS base, CAST(floor((h // n) * 0.1::DOUBLE) AS BIGINT) AS lap FROM (SELECT *, greatest(1, h // 100) AS n FROM s)),
+    x AS (SELECT doc_id, k, m, i, CASE WHEN i < 0 THEN md5(t) ELSE md5(substr(t, 1 + w * greatest(0, i * base - lap), w * (CASE WHEN i = n - 1 THEN h ELSE least(h, (i + 1) * base + lap) END - greatest(0, i * base - lap)))) END AS f
+      FROM (SELECT *, unnest(generate_series(-1, n - 1)) AS i FROM b)),
+    g AS (SELECT doc_id, k, m, 'llm' AS engine, string_agg(f, chr(10) ORDER BY i) AS t FROM x GROUP BY doc_id, k, m UNION ALL SELECT doc_id, k, m, 'document_ai', string_agg(f, chr(10) || chr(10) ORDER BY i) FROM x GROUP BY doc_id, k, m)"""
+
+
+@query(f"""{_WHOLE} SELECT 'doc_' || doc_id AS session_id, engine, CAST(count(*) AS BIGINT) AS files_count, md5(string_agg(t, chr(10) || chr(10) || chr(10) ORDER BY k, m)) AS text_md5, CAST(sum(length(t)) + 3 * (count(*) - 1) AS INTEGER) AS total_characters FROM g GROUP BY doc_id, engine""")
+def whole_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All seven stages over synthetic pages: rendered, turned, cut, tiled, recognised by two engines, integrated."""
+    parts = whole.Components(stand_ins.TextDocument, orientation=stand_ins.FirstDot, page_count=stand_ins.FirstDot, llm=stand_ins.FingerprintRecognizer, document_ai=stand_ins.FingerprintImageRecognizer, sleep=_no_sleep)
+    got = whole.run(_laid_out(spark, sf_dir), parts, overlay(Settings(), {"steps": {"rotate": True}}))
+    return got.tables["integrate"].select("session_id", "engine", "files_count", F.md5("integrated_text").alias("text_md5"), "total_characters")
+
+
+@query(f"""SELECT user_id, count(*) AS images, bool_or({_K} % 5 = 1) AS has_table_elements, CAST(least(3, greatest(1, sum({_K} % 3))) AS INTEGER) AS page_count, round_even(avg(({_K} % 16) / 16.0::DOUBLE), 3) AS confidence_score FROM events GROUP BY user_id""")
+def merge_typed_judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judgments whose JSON holds numbers: flags as 0 and 1, counts as 2.7, confidences that tie in the third decimal."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    body = F.to_json(F.struct((k % 5 == 1).cast("int").alias("has_table_elements"), ((k % 3) + F.lit(0.7)).alias("page_count"), ((k % 16) / F.lit(16.0)).alias("confidence_score")))
+    own = table(spark, sf_dir, "events").select("user_id", "event_id", F.lit(True).alias("success"), *judgments.page_count_columns(body))
+    return judgments.merge_judgments(own, ["user_id"], "event_id").select("user_id", "images", "has_table_elements", "page_count", "confidence_score")
+
+
+@query("""SELECT doc_id, CAST(row_number() OVER (ORDER BY coalesce(CASE WHEN doc_id % 7 > 0 THEN doc_id % 97 END, 0), doc_id) AS BIGINT) AS place FROM documents""")
+def page_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 7 > 0, F.col("doc_id") % 97).alias("page_number"))
+    return summaries.in_page_order(own, "page_number", "doc_id").select("doc_id", "place")
+
+
+@query("""SELECT role AS session_id, CAST(count(*) AS INTEGER) AS file_count, md5(string_agg(f, ',' ORDER BY f)) AS files_md5 FROM (SELECT role, conv_id || '_' || turn || '.txt' AS f FROM conversations) GROUP BY role""")
+def file_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = table(spark, sf_dir, "conversations").select(F.col("role").alias("session_id"), F.array(F.concat_ws("_", "conv_id", F.concat("turn", F.lit(".txt")))).alias("files"))
+    return outputs.file_lists(own).select("session_id", "file_count", F.md5(F.array_join("files", ",")).alias("files_md5"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import io
+import os
+import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quireflow.config import Ocr
+from quireflow.functions.coerce import strip
+from quireflow.operators.images import pixels_of
 
 
 def result_json(cfg: Ocr = Ocr(), extra: dict[str, Column] | None = None) -> Column:
@@ -26,6 +33,8 @@ def document_ai_json(cfg: Ocr = Ocr(), extra: dict[str, Column] | None = None) -
     fields: dict[str, Column] = {"success": F.coalesce("success", F.lit(False)), "document_ai_result": inner}
     if cfg.include_metadata:
         fields["group_info"] = F.struct("group_key")
+        if cfg.include_individual_results:
+            fields["individual_results"] = F.col("individual_results")
     return F.to_json(F.struct(*(c.alias(k) for k, c in (fields | (extra or {})).items())))
 
 
@@ -39,6 +48,121 @@ def write_json(df: DataFrame, path: str, body: Column) -> None:
     df.select("session_id", body.alias("value")).write.mode("append").partitionBy("session_id").text(path)
 
 
+def group_info() -> Column:
+    """What a successful recognition result says about its group."""
+    return F.struct("group_key", "page_number", "source_mask_index", F.col("processed_images").alias("image_count"))
+
+
+def write_files(rows: DataFrame, folder: str) -> dict[str, str]:
+    """A file for each row (name, content: text or bytes) below a folder that driver and executors share; errors by name.
+
+    Tasks write; a file appears under its name when it is whole, so a task that
+    runs again leaves the same files.  The driver gets the errors only.
+    """
+    root = folder.removeprefix("file://")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, errors = [], []
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                try:
+                    path = os.path.join(root, name)
+                    os.makedirs(os.path.dirname(path), exist_ok=True)
+                    part = f"{path}.{uuid.uuid4().hex}.part"
+                    with open(part, "wb") as f:
+                        f.write(content)
+                    os.replace(part, path)
+                except Exception as e:
+                    names.append(name)
+                    errors.append(f"{type(e).__name__}: {e}")
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(errors, pa.string())], ["name", "error"])
+
+    failed = rows.select("name", F.col("content").cast("binary").alias("content")).filter("name is not null and content is not null")
+    return {r.name: r.error for r in failed.mapInArrow(run, "name string, error string").collect()}
+
+
+#: What the files of an engine's results are called after their group (fixed values).
+RESULT_SUFFIX = {"llm": "_ocr_result", "document_ai": "_documentai_result"}
+
+
+def result_files(results: DataFrame, engine: str, body: Column, cfg: Ocr = Ocr()) -> dict[str, DataFrame]:
+    """name and content of a file per group by format: ``session/group_suffix.txt`` with the text, ``.json`` with ``body``."""
+    stem = F.concat("session_id", F.lit("/"), "group_key", F.lit(RESULT_SUFFIX[engine]))
+    out = {}
+    if cfg.output_format in ("txt", "both"):
+        out["txt"] = results.filter("success").select(F.concat(stem, F.lit(".txt")).alias("name"), strip(F.coalesce("extracted_text", F.lit(""))).alias("content"))
+    if cfg.output_format in ("json", "both"):
+        out["json"] = results.filter("success").select(F.concat(stem, F.lit(".json")).alias("name"), body.alias("content"))
+    return out
+
+
+def write_result_files(results: DataFrame, folder: str, engine: str, body: Column, cfg: Ocr = Ocr()) -> dict[str, str | None]:
+    """Result files of one engine; per format an error or None."""
+
+    def job(rows: DataFrame) -> Callable[[], None]:
+        def write() -> None:
+            if errors := write_files(rows, folder):
+                raise OSError("; ".join(f"{k}: {v}" for k, v in sorted(errors.items())[:3]))
+
+        return write
+
+    return run_sinks({kind: job(rows) for kind, rows in result_files(results, engine, body, cfg).items()})
+
+
+def judgment_files(judgments: DataFrame, kind: str) -> DataFrame:
+    """name and content of a JSON file for every judgment that succeeded: a page's, or one of several images'."""
+    image = F.when(F.col("image_idx") > 0, F.format_string("_img%d", F.col("image_idx"))).otherwise("")
+    name = F.concat("session_id", F.lit("/"), F.format_string(f"page_%03d_{kind}", F.col("page_number")), image, F.lit(".json"))
+    return judgments.filter("success").select(name.alias("name"), F.col("payload").alias("content"))
+
+
+def jpeg(quality: int = 95) -> Callable[[np.ndarray], bytes]:
+    """An encoder of pixels as JPEG, where an imaging library is installed."""
+    from PIL import Image
+
+    def encode(pixels: np.ndarray) -> bytes:
+        out = io.BytesIO()
+        Image.fromarray(pixels[..., 0] if pixels.shape[2] == 1 else pixels[..., 2::-1]).save(out, "JPEG", quality=quality)
+        return out.getvalue()
+
+    return encode
+
+
+def netpbm(pixels: np.ndarray) -> bytes:
+    """Pixels as a binary PGM or PPM file, which needs no library."""
+    h, w, c = pixels.shape
+    return f"P{5 if c == 1 else 6} {w} {h} 255\n".encode() + np.ascontiguousarray(pixels if c == 1 else pixels[..., 2::-1]).tobytes()
+
+
+def image_files(images: DataFrame, name: Column, encoder: Callable[[], Callable[[np.ndarray], bytes]], image: str = "image") -> DataFrame:
+    """name and content of an encoded file for every image struct; what cannot be encoded has content null and an error."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder()
+        for batch in batches:
+            for at in range(batch.num_rows):
+                own, content, error = batch.column(1)[at], None, None
+                try:
+                    row = {k: own[k].as_py() for k in ("height", "width", "nChannels")}
+                    content = encode(pixels_of(row | {"data": own["data"].as_buffer()}))
+                except Exception as e:
+                    error = f"{type(e).__name__}: {e}"
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 1), pa.array([content], pa.binary()), pa.array([error], pa.string())], ["name", "content", "error"])
+
+    return images.select(name.alias("name"), image).mapInArrow(run, "name string, content binary, error string")
+
+
+def integrated_files(integrated: DataFrame) -> DataFrame:
+    """name and content of the integrated text of each session and engine; an empty text is no file."""
+    name = F.concat("session_id", F.lit("/"), "engine", F.lit("_integrated_"), "session_id", F.lit(".txt"))
+    return integrated.filter("total_characters > 0").select(name.alias("name"), F.col("integrated_text").alias("content"))
+
+
+def file_lists(results: DataFrame) -> DataFrame:
+    """session_id, files (sorted), file_count: the lists of names of all results of a session as one."""
+    return results.groupBy("session_id").agg(F.array_sort(F.flatten(F.collect_list("files"))).alias("files")).withColumn("file_count", F.size("files"))
+
+
 def write_results(results: DataFrame, path: str, body: Column, cfg: Ocr = Ocr()) -> dict[str, str | None]:
     """Results as txt, json or both below ``path``; per format an error or None."""
     jobs: dict[str, Callable[[], None]] = {}

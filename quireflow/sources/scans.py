@@ -63,6 +63,26 @@ def pages(docs: DataFrame, opener: Callable[[bytes], Document]) -> DataFrame:
     return docs.select("session_id", "path", "content").mapInPandas(run, "session_id string, path string, success boolean, error string, page_number int, total_pages int, width double, height double")
 
 
+def document_metadata(docs: DataFrame, opener: Callable[[bytes], Document]) -> DataFrame:
+    """session_id, path, success, error, metadata (the document's own entries, text by name)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows: list[tuple[Any, ...]] = []
+            for session, path, content in zip(pdf["session_id"], pdf["path"], pdf["content"], strict=True):
+                try:
+                    doc = opener(bytes(content))
+                    try:
+                        rows.append((session, path, True, None, {str(k): str(v) for k, v in doc.metadata().items()}))
+                    finally:
+                        doc.close()
+                except Exception as e:
+                    rows.append((session, path, False, f"{type(e).__name__}: {e}", None))
+            yield pd.DataFrame(rows, columns=["session_id", "path", "success", "error", "metadata"])
+
+    return docs.select("session_id", "path", "content").mapInPandas(run, "session_id string, path string, success boolean, error string, metadata map<string,string>")
+
+
 def document_info(docs: DataFrame, opener: Callable[[bytes], Document], cfg: Render = Render()) -> DataFrame:
     """Pages, size of the first page and the suggested resolution of each document; why it is not valid."""
     rows = pages(docs, opener)
@@ -71,25 +91,33 @@ def document_info(docs: DataFrame, opener: Callable[[bytes], Document], cfg: Ren
 
 
 def render_pages(docs: DataFrame, page_rows: DataFrame, opener: Callable[[bytes], Document], dpi: str = "dpi") -> DataFrame:
-    """Rendered images (output_path, width, height, image bytes) of page rows at their resolution; failures are rows."""
-    own = page_rows.select("path", "page_number", dpi).join(docs.select("path", "content"), "path")
+    """Rendered images (output_path, width, height, image bytes) of page rows at their resolution; failures are rows.
+
+    A document meets its pages once, is opened once, and gives one image at a time.
+    """
+    wanted = page_rows.groupBy("path").agg(F.array_sort(F.collect_list(F.struct(F.col("page_number").cast("int").alias("page_number"), F.col(dpi).cast("int").alias("dpi")))).alias("wanted"))
+    own = wanted.join(docs.select("path", "content"), "path").select("path", "content", F.transform("wanted", lambda x: x["page_number"]).alias("numbers"), F.transform("wanted", lambda x: x["dpi"]).alias("dpis"))
+    names = ["path", "page_number", "used_dpi", "success", "error", "width", "height", "image"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows: list[tuple[Any, ...]] = []
-            for path, page, res, content in zip(pdf["path"], pdf["page_number"], pdf[dpi], pdf["content"], strict=True):
+            for path, content, numbers, dpis in zip(pdf["path"], pdf["content"], pdf["numbers"], pdf["dpis"], strict=True):
+                doc, broken = None, None
                 try:
                     doc = opener(bytes(content))
-                    try:
-                        w, h, data = doc.render(int(page) - 1, int(res))
-                        rows.append((path, int(page), int(res), True, None, w, h, data))
-                    finally:
-                        doc.close()
                 except Exception as e:
-                    rows.append((path, int(page), int(res), False, f"{type(e).__name__}: {e}", None, None, None))
-            yield pd.DataFrame(rows, columns=names).astype({"width": "Int32", "height": "Int32"})
+                    broken = e
+                for page, res in zip(numbers, dpis, strict=True):
+                    try:
+                        if broken is not None:
+                            raise broken
+                        row = (True, None, *doc.render(int(page) - 1, int(res)))
+                    except Exception as e:
+                        row = (False, f"{type(e).__name__}: {e}", None, None, None)
+                    yield pd.DataFrame([(path, int(page), int(res), *row)], columns=names).astype({"width": "Int32", "height": "Int32"})
+                if doc is not None:
+                    doc.close()
 
-    names = ["path", "page_number", "used_dpi", "success", "error", "width", "height", "image"]
     out = own.mapInPandas(run, "path string, page_number int, used_dpi int, success boolean, error string, width int, height int, image binary")
     return out.withColumns({"output_path": page_image_name(F.col("path"), F.col("page_number")), "zoom_factor": F.col("used_dpi") / 72.0, "file_size_bytes": F.octet_length("image").cast("long")})
 

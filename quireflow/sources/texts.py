@@ -17,7 +17,7 @@ def text_parts(spark: SparkSession, path: str) -> DataFrame:
     """engine, filename, text, content_length of every non-empty result file below a path."""
     out = None
     for engine, glob in ENGINE_FILES.items():
-        df = spark.read.option("wholetext", "true").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path)
+        df = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path, wholetext=True)
         df = df.select(F.lit(engine).alias("engine"), basename(F.input_file_name()).alias("filename"), strip(F.col("value")).alias("text"))
         out = df if out is None else out.unionByName(df)
     return out.filter(has_text(F.col("text"))).withColumn("content_length", F.length("text"))
