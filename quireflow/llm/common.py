@@ -17,16 +17,22 @@ from pyspark.sql import functions as F
 #: Rows of one Arrow batch and text bytes handled at once; both only bound memory.
 ARROW_ROWS = 500
 CHUNK_BYTES = 4_000_000
+#: Text bytes whose hashes one task of an index holds at once.
+RANGE_BYTES = 128_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Where the setting is absent (local tests) a folder of this machine is used
-    and set as the session's checkpoint folder.
+    Where the setting is absent, a local master uses a folder of this machine and
+    sets it as the session's checkpoint folder; on a cluster that would lose
+    results, so it raises.
     """
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         at = "file://" + os.path.join(tempfile.gettempdir(), "quireflow-shared")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -53,6 +59,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ranges(docs: DataFrame) -> int:
+    """How many ranges of hashes an index over these texts is dealt to: one for RANGE_BYTES, the session's partitions at least."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_BYTES))
+
+
 def small_batches(spark: SparkSession) -> None:
     """Hold Arrow batches to a size that fits small Python workers."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)

@@ -18,10 +18,11 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quireflow.llm.common import chunks, small_batches
+from quireflow.llm.common import chunks, materialize, small_batches, work_path
 
 CHARS_PER_ERROR = 14
 #: Bytes of item texts sent to the executors at once; more items go in more blocks.
@@ -126,29 +127,32 @@ def _merged(at: list[int], gap: int) -> Iterator[tuple[int, int]]:
     yield lo, hi
 
 
-def item_blocks(items: DataFrame) -> list[list[tuple[int, str]]]:
-    """The items, normalised, in blocks of bounded size: a stated query set against all rows."""
+def item_blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
+    """The items, normalised, one block of bounded size after another: a stated query set against all rows."""
     own = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null and text is not null")
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = 1 + size // BLOCK_BYTES
     part = F.pmod(F.xxhash64("item_id"), F.lit(blocks))
-    return [[(i, normalize(t)) for i, t in own.filter(part == b).collect()] for b in range(blocks)]
+    for b in range(blocks):
+        yield [(i, normalize(t)) for i, t in own.filter(part == b).collect()]
 
 
 def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id, distance for every item found in a text.
 
     Each block of items is broadcast (its size is bounded) and met by one pass
-    over the documents; nothing is shuffled.
+    over the documents; nothing is shuffled.  Where there are several, the finds
+    of each are written before the next block is read, so the driver and the
+    executors hold one block.
     """
     spark = docs.sparkSession
     small_batches(spark)
     src = docs.selectExpr("cast(doc_id as long) doc_id", "text")
-    out = None
-    for block in item_blocks(items):
+
+    def finds(block: list[tuple[int, str]]) -> tuple[DataFrame, Broadcast]:
         shipped = spark.sparkContext.broadcast(block)
 
-        def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(shipped.value)
             for batch in chunks(batches):
                 found = [(d, i, e) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for i, e in matcher(t)]
@@ -156,19 +160,32 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
                     d, i, e = zip(*found, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(i, pa.int64()), pa.array(e, pa.int32())], ["doc_id", "item_id", "distance"])
 
-        part = src.mapInArrow(run, "doc_id long, item_id long, distance int")
-        out = part if out is None else out.unionByName(part)
+        return src.mapInArrow(run, "doc_id long, item_id long, distance int"), shipped
+
+    blocks = item_blocks(items)
+    out, shipped = finds(next(blocks))
+    for block in blocks:
+        path = work_path(spark, "leaks")
+        out.write.parquet(path)
+        shipped.unpersist()
+        more, shipped = finds(block)
+        out = spark.read.schema(out.schema).parquet(path).unionByName(more)
     return out
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of documents, all columns, whose text contains no item."""
-    small_batches(docs.sparkSession)
+    """The rows of documents, all columns, whose text contains no item; written after each block but the last."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    at = docs.columns.index("text")
+    shipped = None
     for block in item_blocks(items):
-        shipped = docs.sparkSession.sparkContext.broadcast(block)
-        at = docs.columns.index("text")
+        if shipped is not None:
+            docs = materialize(docs, "clean")
+            shipped.unpersist()
+        shipped = spark.sparkContext.broadcast(block)
 
-        def run(batches: Iterator[pa.RecordBatch], shipped=shipped, at=at) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(shipped.value)
             for batch in chunks(batches):
                 yield batch.filter(pa.array([not matcher(t) for t in batch.column(at).to_pylist()], pa.bool_()))

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quireflow.llm.common import WordHashes, chunks, materialize, mix, ngram_hashes, small_batches
+from quireflow.llm.common import WordHashes, chunks, materialize, mix, ngram_hashes, ranges, small_batches
 from quireflow.llm.components import settle_buckets
 from quireflow.llm.substrings import NULL_ID
 
@@ -51,8 +51,8 @@ SHINGLE = 4
 #: Similarity as a whole percentage: 100 * intersection >= PERCENT * union.
 PERCENT = 85
 GROUP = 1_500_000
-#: Compressed bytes of one block of an open group, and text bytes of one range of the index.
-BLOCK, RANGE = 2_000_000, 128_000_000
+#: Compressed bytes of one block of an open group.
+BLOCK = 2_000_000
 #: Kinds of rows: documents, sizes, pairs to try, members of shared buckets, delegates dealt by hash.
 ROW, SIZE, PAIR, MEMBER, DELEGATE = range(5)
 _NAMES = ["part", "kind", "payload"]
@@ -328,12 +328,6 @@ def across(left: DataFrame, texts: DataFrame, n: int = SHINGLE, percent: int = P
     return rows.mapInArrow(run, "a long, b long")
 
 
-def ranges(docs: DataFrame, least: int | None = None) -> int:
-    """How many ranges of hashes an index over these texts is dealt to: one for RANGE bytes, and the session's partitions at least."""
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(least or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE))
-
-
 def _grouped(docs: DataFrame, parts: int | None, n: int, percent: int, by_id: bool) -> DataFrame:
     """doc (NULL_ID for null), same, node, n_shingles, component (a node) of every row; by_id: rows of one doc_id are one document."""
     small_batches(docs.sparkSession)

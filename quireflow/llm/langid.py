@@ -9,7 +9,8 @@ cosine.
 Defined results: a text that is null or has no letter gets ``und`` and score 0;
 a negative cosine scores 0; ties go to the language that sorts first; texts of
 the training set with null lang are not learned from.  With no training text at
-all every text is ``und``.
+all every text is ``und``; a filter by language then raises, since it would drop
+every row.  Each letter has a vector of its own, upper and lower case the same.
 """
 
 from __future__ import annotations
@@ -22,12 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quireflow.llm.common import chunks, crc_split, small_batches
+from quireflow.llm.common import chunks, crc_split, mix, small_batches
+from quireflow.llm.sample import drawn
 
 DIMENSIONS = 512
 NGRAM = 3
-#: Symbols: 0 between words, then classes of letters.  Letters beyond the table share classes by code point.
-SYMBOLS = 128
+#: Symbols: 0 between words, else the code point of a letter in lower case; three of them fit a 64-bit code.
+SYMBOLS = 1 << 21
 #: A text of fewer n-grams has a low cosine with any language: the least score asked of it falls in proportion.
 FULL_NGRAMS = 100
 #: Training texts in expectation, drawn by a hash of doc_id over all training rows.
@@ -37,13 +39,12 @@ SEED = 20260101
 
 @cache
 def letter_classes() -> np.ndarray:
-    """Class of every code point: 0 for what is no letter; upper and lower case share one."""
-    out = np.zeros(0x110000, np.uint8)
+    """Symbol of every code point: 0 for what is no letter; upper and lower case share one."""
+    out = np.zeros(0x110000, np.uint32)
     for cp in range(0x110000):
         c = chr(cp)
         if c.isalpha():
-            low = ord(c.lower()[0])
-            out[cp] = low - 96 if 97 <= low < 123 else 27 + low % 97
+            out[cp] = ord(c.lower()[0])
     return out
 
 
@@ -51,17 +52,23 @@ class Profiles:
     """Vectors of letters and n-grams."""
 
     def __init__(self, dimensions: int = DIMENSIONS, ngram: int = NGRAM):
-        rng = np.random.default_rng(SEED)
-        self.letters = rng.choice(np.array([-1, 1], np.int8), size=(SYMBOLS, dimensions))
         self.ngram, self.dimensions = ngram, dimensions
         self.classes = letter_classes()
-        self.known: dict[int, np.ndarray] = {}
+        self.places = mix(np.arange(-(-dimensions // 64), dtype=np.uint64) + np.uint64(SEED))
+
+    def letters(self, symbols: np.ndarray) -> np.ndarray:
+        """One random bipolar row per symbol: the bits of hashes of symbol and place, the same in every process."""
+        with np.errstate(over="ignore"):
+            words = mix(mix(symbols.astype(np.uint64))[:, None] + self.places)
+        bits = np.unpackbits(words.view(np.uint8).reshape(len(symbols), -1), axis=1)[:, : self.dimensions]
+        return (2 * bits.astype(np.int8) - 1).astype(np.int8)
 
     def vectors(self, codes: np.ndarray) -> np.ndarray:
         """One bipolar row per n-gram code: letters' vectors, rotated by place, multiplied."""
         out = np.ones((len(codes), self.dimensions), np.int8)
         for place in range(self.ngram):
-            out *= np.roll(self.letters, place, axis=1)[codes // SYMBOLS**place % SYMBOLS]
+            symbols, which = np.unique(codes >> 21 * place & (SYMBOLS - 1), return_inverse=True)
+            out *= np.roll(self.letters(symbols), place, axis=1)[which]
         return out.astype(np.float32)
 
     def codes(self, text: str) -> np.ndarray:
@@ -70,10 +77,10 @@ class Profiles:
         cls = self.classes[points]
         if not cls.any():
             return np.empty(0, np.int64)
-        cls = np.concatenate([np.zeros(1, np.uint8), cls, np.zeros(1, np.uint8)])
+        cls = np.concatenate([np.zeros(1, np.uint32), cls, np.zeros(1, np.uint32)])
         cls = cls[(cls != 0) | np.concatenate([np.ones(1, bool), cls[:-1] != 0])].astype(np.int64)
         k = len(cls) - self.ngram + 1
-        return sum(cls[j : j + k] * SYMBOLS**j for j in range(self.ngram))
+        return sum(cls[j : j + k] << 21 * j for j in range(self.ngram))
 
     def bundle(self, texts: list[str | None]) -> np.ndarray:
         """One row per text; zero for a text without letters."""
@@ -104,9 +111,8 @@ def learn(docs: DataFrame, trainable: F.Column, sample_rows: int = SAMPLE_ROWS)
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.filter(trainable & F.col("lang").isNotNull())
-    total = max(rows.select("doc_id").count(), 1)  # reads two narrow columns
-    share = min(1.0, sample_rows / total)
-    rows = rows.filter(F.col("text").isNotNull()).filter(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1_000_000)) < int(share * 1_000_000))
+    total = rows.select("doc_id").count()  # reads two narrow columns
+    rows = rows.filter(F.col("text").isNotNull() & drawn("doc_id", SEED, sample_rows, total))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiles, sums = Profiles(), {}
@@ -166,8 +172,11 @@ def keep_identified(docs: DataFrame, least: float, modulus: int = 4, held: int =
     """The rows of documents, all columns, whose text has a language with at least this score.
 
     Of a text of fewer than FULL_NGRAMS n-grams only that share of the score is asked.
+    Raises where there are rows, but no language could be learned.
     """
     prototypes = learn(docs, ~crc_split(F.col("doc_id"), modulus, held))
+    if not prototypes and not docs.isEmpty():
+        raise ValueError("no text with a language to learn from: every document would go")
     matrix = np.array(list(prototypes.values()), np.float32).reshape(len(prototypes), DIMENSIONS)
     at = docs.columns.index("text")
 

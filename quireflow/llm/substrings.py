@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quireflow.llm.common import WordHashes, chunks, mix, small_batches
+from quireflow.llm.common import WordHashes, chunks, mix, ranges, small_batches
 
 WINDOW = 20
 PERIOD = 13
@@ -305,13 +305,13 @@ def kept_texts(rows: DataFrame, parts: int, keep_text: bool = False) -> DataFram
 def remove_repeats(docs: DataFrame, parts: int | None = None, keep_text: bool = False) -> DataFrame:
     """One row per document with what is left after removing every word of a window that starts earlier.
 
-    ``parts`` (the session's number of shuffle partitions by default) sets the
+    ``parts`` (by default one for RANGE_BYTES of text, the session's shuffle partitions at least) sets the
     ranges of hashes and the buckets of documents; a part is held in memory in
     packed form, so it should grow with the corpus.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or ranges(docs)
     own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), "text")
     texts = packed_texts(own, parts)
     marks = shared_anchors(anchors(own, parts), parts)

@@ -17,10 +17,12 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from functools import cache
-from itertools import accumulate
+from itertools import accumulate, repeat
 
 import pyarrow as pa
 import regex
@@ -30,8 +32,10 @@ from quireflow.llm.bpe import byte_alphabet
 from quireflow.llm.charclass import find_all, fold
 from quireflow.llm.common import chunks, small_batches
 
-#: What a worker remembers; forgetting costs time only.
-CACHE_ENTRIES, STATE_ENTRIES, PAIR_ENTRIES = 400_000, 1_200_000, 1_000_000
+#: What a worker remembers; forgetting costs time only.  Chunks of more than LONG characters are not remembered, nor
+#: are states beyond SHARED bytes of a word, so every entry is small; the cache is bounded by its characters.
+CACHE_CHARS, STATE_ENTRIES, PAIR_ENTRIES = 4_000_000, 1_200_000, 1_000_000
+LONG, SHARED = 64, 32
 
 
 class PrefixCounter:
@@ -66,8 +70,9 @@ class PrefixCounter:
         self.lengths = {e: tuple(sorted(n, reverse=True)) for e, n in ends.items()}
         self.stable: tuple[dict[int, bool], dict[int, bool]] = ({}, {})
         self.states: dict[str, tuple[int, int, int]] = {}
-        self.cache: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.cache: dict[str, Sequence[int]] = {}
+        self.older: dict[str, Sequence[int]] = {}
+        self.cached = 0
 
     def merge(self, symbols: list[str]) -> list[str]:
         """Merge the pair of lowest rank, leftmost first, until none is left."""
@@ -96,34 +101,44 @@ class PrefixCounter:
         ok = known[left << 20 | right] = self.merge(list(before) + self._symbols(token, last)) == want
         return ok
 
-    def word(self, word: str) -> tuple[int, ...]:
+    def word(self, word: str) -> Sequence[int]:
         """Token counts of all prefixes (1 to all characters) of one pre-token, each ended as a word."""
         if len(word) == 3 and word[0] == "'" and word[1:] in ("re", "ve", "ll"):  # cut short, these are two pre-tokens
             quote = self._run("'")[-1]
             return quote, quote + self._run(word[1])[-1], self._run(word)[-1]
         return self._run(word)
 
-    def _run(self, word: str) -> tuple[int, ...]:
+    def _run(self, word: str) -> Sequence[int]:
         mapped = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.table)
-        n = len(mapped)
-        states = self.states
+        n, states = min(len(mapped), SHARED), self.states
         known = n
         while known and mapped[:known] not in states:
             known -= 1
-        if known < n:
-            if len(states) + n - known > STATE_ENTRIES:
-                states.clear()
-                known = 0
-            self._extend(mapped, known)
-        ended = [states[mapped[:j]][2] for j in range(1, n + 1)]
-        return tuple(ended) if len(word) == n else tuple(ended[e - 1] for e in accumulate(len(c.encode()) for c in word))
-
-    def _extend(self, mapped: str, known: int) -> None:
-        """Fill the states of the prefixes longer than ``known``: last token, count, and count if ended there."""
+        if known < n and len(states) + n - known > STATE_ENTRIES:
+            states.clear()
+            known = 0
+        if known == len(mapped):
+            ended = [states[mapped[:j]][2] for j in range(1, n + 1)]
+        else:
+            ended = self._extend(mapped, known)
+        if len(word) == len(mapped):
+            return tuple(ended) if n == len(mapped) else ended
+        return array("q", (ended[e - 1] for e in accumulate(len(c.encode()) for c in word)))
+
+    def _extend(self, mapped: str, known: int) -> Sequence[int]:
+        """Counts of all prefixes if ended there, from the states of the first ``known``; remembers those up to SHARED.
+
+        A prefix's state is its last token, its count, and its count if ended
+        there: three numbers a position, however long the word is.
+        """
         states, kind, lengths, stable = self.states, self.kind.get, self.lengths.get, self._stable
         inner, final = self.stable
-        before = [(0, 0)]
-        before += [states[mapped[:j]][:2] for j in range(1, known + 1)]
+        tokens, counts, ends = array("q", [0]), array("q", [0]), array("q")
+        for j in range(1, known + 1):
+            token, count, end = states[mapped[:j]]
+            tokens.append(token)
+            counts.append(count)
+            ends.append(end)
         for j in range(known + 1, len(mapped) + 1):
             last = ended = None
             for length in lengths(mapped[max(0, j - 3) : j], (2, 1)):
@@ -131,7 +146,7 @@ class PrefixCounter:
                 k = kind(mapped[i:j]) if i >= 0 else None
                 if k is None:
                     continue
-                left, n = before[i]
+                left, n = tokens[i], counts[i]
                 token = k >> 2
                 key = left << 20 | token
                 if last is None and k & 1:
@@ -147,24 +162,28 @@ class PrefixCounter:
                         if last is not None:
                             break
             if last is None or ended is None:
-                raise ValueError(f"no stable last token for a prefix of {mapped!r}")
-            before.append(last)
-            states[mapped[:j]] = (*last, ended)
-
-    def chunk(self, chunk: str) -> tuple[int, ...]:
+                raise ValueError(f"no stable last token for a prefix of {mapped[:j][-80:]!r}")
+            tokens.append(last[0])
+            counts.append(last[1])
+            ends.append(ended)
+            if j <= SHARED:
+                states[mapped[:j]] = (*last, ended)
+        return ends
+
+    def chunk(self, chunk: str) -> Sequence[int]:
         """Counts at all prefixes of a chunk without white space, after normalisation."""
         text = fold(chunk)
         if text.isascii() and text.isalpha():
             return self._run(text)
-        out: list[int] = []
+        out = array("q")
         base = at = 0
         for start, word in find_all(self.pattern, text):
-            out.extend([base] * (start - at))
+            out.extend(repeat(base, start - at))
             counts = self.word(word)
-            out.extend([base + c for c in counts])
+            out.extend(base + c for c in counts)
             base, at = base + counts[-1], start + len(word)
-        out.extend([base] * (len(text) - at))
-        return tuple(out)
+        out.extend(repeat(base, len(text) - at))
+        return tuple(out) if len(out) <= LONG else out
 
     def _pieces(self, text: str) -> list[str | None]:
         """Chunks between white space; None for a special string."""
@@ -176,35 +195,34 @@ class PrefixCounter:
                 out.extend(regex.split(r"\s+", part) if self._SPACES.search(part) else part.split())
         return out
 
-    def _tables(self, pieces: list[str | None]) -> dict[str, tuple[int, ...]]:
-        new = set(pieces).difference(self.cache)
-        new.discard(None)
-        if new:
-            if len(self.cache) + len(new) > CACHE_ENTRIES:  # the entries of one generation more are kept
-                self.older, self.cache = self.cache, {}
-                new = set(pieces)
-                new.discard(None)
-            cache, older = self.cache, self.older
-            for p in new:
-                cache[p] = older.get(p) or self.chunk(p) or (0,)
-        return self.cache
+    def _table(self, piece: str) -> Sequence[int]:
+        """Counts at the prefixes of a chunk, remembered unless it is long."""
+        got = self.cache.get(piece)
+        if got is None:
+            got = self.older.get(piece) or self.chunk(piece) or (0,)
+            if len(piece) <= LONG:
+                if self.cached > CACHE_CHARS:  # the entries of one generation more are kept
+                    self.older, self.cache, self.cached = self.cache, {}, 0
+                self.cache[piece] = got
+                self.cached += len(piece) + 8
+        return got
 
     def count(self, text: str) -> int:
         """Tokens of the whole text: the table's last entry."""
-        pieces = self._pieces(text)
-        tables = self._tables(pieces)
-        return sum([1 if p is None else tables[p][-1] for p in pieces])
+        table, n = self._table, 0
+        for piece, times in Counter(self._pieces(text)).items():
+            n += times * (1 if piece is None else table(piece)[-1])
+        return n
 
     def table_of(self, text: str) -> PrefixTable:
         pieces = self._pieces(text)
-        tables = self._tables(pieces)
-        return PrefixTable(pieces, [(1,) if p is None else tables[p] for p in pieces])
+        return PrefixTable(pieces, [(1,) if p is None else self._table(p) for p in pieces])
 
 
 class PrefixTable:
     """Exact token counts at every prefix of one text, by chunk and position in the chunk."""
 
-    def __init__(self, pieces: list[str | None], counts: list[tuple[int, ...]]):
+    def __init__(self, pieces: list[str | None], counts: list[Sequence[int]]):
         self.pieces, self.counts = pieces, counts
         self.before = [0, *accumulate(c[-1] for c in counts)]
 

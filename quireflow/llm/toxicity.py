@@ -5,6 +5,9 @@ its character 4-grams (hashed).  Windows of words are read in both directions,
 states are pooled by attention, and a document's score is that of its worst
 window; windows start every STRIDE words to the text's end.  Training is plain numpy:
 first every window takes its document's label, then only the worst windows do.
+Windows to learn from are drawn on the executors, so the driver gets a bounded
+number of words; scores are calibrated on the worst of all windows of the
+sampled rows, as texts are scored.
 
 Defined results: a null text is scored as an empty one, which is a window of
 padding alone; with no training rows, or rows of one class only, every score is
@@ -24,11 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quireflow.llm import sample
-from quireflow.llm.common import chunks, crc_split, small_batches
+from quireflow.llm.common import chunks, crc_split, materialize, small_batches
 
-#: Labelled rows learned from by class, in expectation; windows of a row that training may see, and takes at first.
+#: Labelled rows learned from by class, in expectation; windows of a row that are learned from, by class, drawn by chance
+#: where a text has more; windows of a row that training takes at first.
 SAMPLE_ROWS = {0: 4000, 1: 1500}
-TRAIN_WINDOWS, FIRST_WINDOWS = 24, 6
+TRAIN_WINDOWS = {0: 24, 1: 1000}
+FIRST_WINDOWS = 6
 WINDOW, STRIDE = 32, 24
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 6, 8
 VOCABULARY, GRAMS = 4000, 8192
@@ -227,14 +232,17 @@ class Scorer:
             out[lo : lo + BLOCK] = self.net.run(self.table, index[lo : lo + BLOCK], mask[lo : lo + BLOCK])
         return out
 
-    def __call__(self, texts: list[str | None]) -> np.ndarray:
+    def worst(self, texts: list[str | None]) -> np.ndarray:
+        """Logit of the worst window of each text."""
         got = [words_of(t) for t in texts]
-        if not got:
-            return np.empty(0)
-        index, mask, owner = self.windows(got)
         worst = np.full(len(got), -np.inf, np.float32)
-        np.maximum.at(worst, owner, self.logits(index, mask))
-        return 1 / (1 + np.exp(-np.clip(self.net.slope * worst.astype(np.float64) + self.net.offset, -30, 30)))
+        if got:
+            index, mask, owner = self.windows(got)
+            np.maximum.at(worst, owner, self.logits(index, mask))
+        return worst
+
+    def __call__(self, texts: list[str | None]) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.net.slope * self.worst(texts).astype(np.float64) + self.net.offset, -30, 30)))
 
 
 class Adam:
@@ -265,12 +273,22 @@ def calibrate(logit: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return (float(beta[0]), float(beta[1])) if beta[0] > 0 else (1.0, 0.0)
 
 
-def fit(texts: list[str], labels: list[int]) -> Network:
-    """Train on whole documents with one label each."""
+def drawn_windows(text: str | None, label: int, seed: int) -> list[str]:
+    """Windows of a text to learn from, as words with spaces."""
+    words = words_of(text)
+    starts, most = window_starts(len(words)), TRAIN_WINDOWS[label]
+    if len(starts) > most:
+        starts = sorted(np.random.default_rng(seed).choice(starts, most, replace=False))
+    return [" ".join(words[s : s + WINDOW]) for s in starts]
+
+
+def fit(windows: list[list[str]], labels: list[int]) -> Network:
+    """Train on the windows of documents with one label each; uncalibrated."""
     y = np.array(labels, np.float32)
     share = (y.sum() + 1) / (len(y) + 2)
-    docs = [words_of(t) for t in texts]
-    seen = Counter(w for d in docs for w in set(d))
+    parts = [w.split() for own in windows for w in own]
+    of = np.repeat(np.arange(len(windows)), [len(own) for own in windows])
+    seen = Counter(w for own in windows for w in {x for part in own for x in part.split()})
     vocabulary = [w for w, n in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:VOCABULARY] if n > 1]
     net = Network(vocabulary, float(np.log(share / (1 - share))))
     if len(set(labels)) < 2:
@@ -278,16 +296,6 @@ def fit(texts: list[str], labels: list[int]) -> Network:
         return net
     rng = np.random.default_rng(SEED)
     adam = Adam(net.p)
-    parts: list[list[str]] = []
-    owner: list[int] = []
-    for k, d in enumerate(docs):
-        starts = window_starts(len(d))
-        if len(starts) > TRAIN_WINDOWS:
-            starts = sorted(rng.choice(starts, TRAIN_WINDOWS, replace=False))
-        parts += [d[s : s + WINDOW] for s in starts]
-        owner += [k] * len(starts)
-    of = np.array(owner)
-
     def train(chosen: np.ndarray, rate: float) -> None:
         rng.shuffle(chosen)
         for lo in range(0, len(chosen), BATCH):
@@ -314,18 +322,42 @@ def fit(texts: list[str], labels: list[int]) -> Network:
         order = np.lexsort((-window_logits(), of))
         worst = order[np.concatenate([[True], of[order][1:] != of[order][:-1]])]
         clean = np.flatnonzero(y[of] == 0)
-        others = rng.choice(clean, min(len(docs) // 2, len(clean)), replace=False)
+        others = rng.choice(clean, min(len(windows) // 2, len(clean)), replace=False)
         train(np.unique(np.concatenate([worst, others])), RATE * 0.5 ** (epoch // 3))
-    top = np.full(len(docs), -np.inf, np.float32)
-    np.maximum.at(top, of, window_logits())
-    net.slope, net.offset = calibrate(top.astype(np.float64), y)
     return net
 
 
 def train(docs: DataFrame, labels: DataFrame, trainable: F.Column, label: str = "toxic", rows: dict[int, int] | None = None) -> Network:
     ids = sample.labelled(labels, label, trainable, rows or SAMPLE_ROWS)
-    got = sorted((r.doc_id, r.y, r.text or "") for r in sample.with_text(docs, ids).collect()) if ids else []
-    return fit([t for _, _, t in got], [int(y > 0) for _, y, _ in got])
+    if not ids:
+        return fit([], [])
+    own = materialize(sample.with_text(docs, ids), "toxicity-sample")
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            doc, text, y = (c.to_pylist() for c in batch.columns)
+            got = [drawn_windows(t, int(v > 0), zlib.crc32(str(d).encode())) for d, t, v in zip(doc, text, y, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(got, pa.list_(pa.string()))], ["doc_id", "y", "windows"])
+
+    got = own.select("doc_id", "text", "y").mapInArrow(windows, "doc_id long, y int, windows array<string>").collect()
+    got = sorted((r.doc_id, int(r.y > 0), r.windows) for r in got)
+    net = fit([w for _, _, w in got], [y for _, y, _ in got])
+    if len({y for _, y, _ in got}) > 1:
+        worst = sorted(logits(own, net, "y").collect())
+        net.slope, net.offset = calibrate(np.array([r.logit for r in worst], np.float64), np.array([r.y > 0 for r in worst], np.float32))
+    return net
+
+
+def logits(docs: DataFrame, net: Network, keep: str) -> DataFrame:
+    """keep (an int) and the logit of the worst window of each row's text."""
+    shipped = docs.sparkSession.sparkContext.broadcast(net)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shipped.value)
+        for batch in chunks(batches):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scorer.worst(batch.column(1).to_pylist()).astype(np.float64))], [keep, "logit"])
+
+    return docs.select(F.col(keep).cast("int").alias(keep), "text").mapInArrow(run, f"{keep} int, logit double")
 
 
 def score(docs: DataFrame, net: Network) -> DataFrame:

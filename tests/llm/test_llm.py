@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from quireflow.llm import bpe, decontam, jaccard, langid, lines, media, quality, queries, substrings, token_counts, toxicity
+from quireflow.llm import bpe, decontam, jaccard, langid, lines, media, quality, queries, sample, substrings, token_counts, toxicity
 from quireflow.llm.components import components
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
@@ -114,6 +114,20 @@ def test_counts_of_documents(spark, reference_words):
         assert (got[i].n_bytes, got[i].n_tokens, got[i].over_limit) == (len((t or "").encode()), want, want > 2048)
 
 
+def test_long_words_need_linear_memory(counter, reference_words):
+    import resource
+
+    rng = random.Random(22)
+    letters = lambda n: "".join(rng.choice("etaoinshrdlu") for _ in range(n))
+    n = lambda t: len(reference_words.encode(t, add_special_tokens=False).ids)
+    for text in (letters(100_000), "".join(chr(0x4E00 + rng.randrange(2000)) for _ in range(12_000)), "ab" * 20_000 + " " + letters(33), letters(32) + " " + letters(64)):
+        assert counter.count(text) == n(text)
+        assert counter.count(text[: len(text) // 2]) == n(text[: len(text) // 2])
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert counter.count(letters(1_000_000)) > 100_000
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 500_000  # kilobytes
+
+
 # -- operator 7 ---------------------------------------------------------------
 def test_language(spark):
     rng = random.Random(3)
@@ -151,12 +165,50 @@ def test_bundles_are_sums_of_bound_vectors():
     for c in codes:
         v = np.ones(32)
         for place in range(3):
-            v *= np.roll(p.letters, place, axis=1)[c // langid.SYMBOLS**place % langid.SYMBOLS]
+            v *= np.roll(p.letters(np.array([c // langid.SYMBOLS**place % langid.SYMBOLS]))[0], place)
         want += v
     assert (p.bundle(["Ab, a"])[0] == want).all() and len(codes) == 4
     assert not p.bundle([None, "12"]).any()
 
 
+def test_prediction_is_the_largest_cosine(spark):
+    rng = random.Random(19)
+    words = {"aa": ["the", "thing", "with"], "bb": ["une", "que", "leur"], "ru": ["\u0436\u0443\u043a", "\u043c\u0438\u0440"], "ja": ["\u65e5\u672c", "\u6771\u4eac"]}
+    langs = [rng.choice(sorted(words)) for _ in range(120)]
+    texts = [prose(rng, 20, words[x]) for x in langs]
+    p = langid.Profiles()
+    vector = lambda t: sum((p.vectors(np.array([c]))[0].astype(float) for c in p.codes(t)), np.zeros(langid.DIMENSIONS))
+    unit = lambda v: v / np.linalg.norm(v)
+    learned = {x: unit(sum(unit(vector(t)) for i, (t, y) in enumerate(zip(texts, langs)) if y == x and zlib.crc32(str(i).encode()) % 4 != 2)) for x in sorted(words)}
+    got = {r.doc_id: r for r in langid.identify(docs_of(spark, texts, langs)).collect()}
+    for i, t in enumerate(texts):
+        cosine = {x: float(unit(vector(t)) @ v) for x, v in learned.items()}
+        assert got[i].lang_pred == max(cosine, key=cosine.get) and abs(got[i].score - max(cosine.values())) < 1e-4
+    long = prose(rng, 60_000, words["aa"])
+    assert langid.identify(docs_of(spark, [*texts, long], [*langs, None])).filter("doc_id = 120").first().lang_pred == "aa"
+
+
+def test_letters_have_vectors_of_their_own():
+    p = langid.Profiles()
+    rows = p.letters(np.arange(0x4E00, 0x4E00 + 500)).astype(np.float32)
+    near = rows @ rows.T / langid.DIMENSIONS - np.eye(len(rows))
+    assert abs(near).max() < 0.3 and (p.letters(np.array([97])) == p.letters(np.array([97]))).all()
+
+
+def test_samples_hold_at_any_size():
+    for total in (1, 10, 10**6, 10**11, 10**15):
+        share = (sample.hash_bound(6000, total) + 2**63 + 1) / 2**64
+        assert abs(share - min(1, 6000 / total)) <= 1e-6 * share
+    assert -(2**63) <= sample.hash_bound(1, 10**30) and sample.hash_bound(5, 0) == 2**63 - 1
+
+
+def test_nothing_to_learn_is_an_error(spark):
+    df = docs_of(spark, ["some text", "more text"]).withColumn("lang", F.lit(None).cast("string"))
+    with pytest.raises(ValueError, match="learn"):
+        langid.keep_identified(df, 0.2)
+    assert langid.keep_identified(df.limit(0), 0.2).count() == 0
+
+
 # -- operators 1 and 4 --------------------------------------------------------
 def test_quality(spark):
     rng = random.Random(4)
@@ -234,6 +286,76 @@ def test_toxicity(spark):
     assert {r.score for r in toxicity.classify(docs_of(spark, texts[:2]), labels.filter("toxic = 9")).collect()} == {0.5}
 
 
+def scored_by_hand(net, text):
+    """The network's score of a text, one word and one number at a time."""
+    words = re.findall(r"[^\W\d_]+", (text or "").lower())
+    sig = lambda x: 1 / (1 + np.exp(-x))
+    p, h_ = {k: v.astype(np.float64) for k, v in net.p.items()}, toxicity.HIDDEN
+
+    def vector(w):
+        s = f"<{w}>"
+        grams = [zlib.crc32(s[i : i + 4].encode()) % toxicity.GRAMS for i in range(max(1, len(s) - 3))]
+        return np.concatenate([p["word"][net.ids.get(w, 0)], np.mean([p["gram"][g] for g in grams], 0)])
+
+    def read(way, xs):
+        h, out = np.zeros(h_), []
+        for x in xs:
+            a, u = x @ p["wx"][way] + p["b"][way][0], h @ p["wh"][way]
+            z, r = sig(a[:h_] + u[:h_]), sig(a[h_ : 2 * h_] + u[h_ : 2 * h_])
+            h = (1 - z) * np.tanh(a[2 * h_ :] + r * u[2 * h_ :]) + z * h
+            out.append(h)
+        return out
+
+    logits = []
+    for at in [0] if len(words) <= 32 else [*range(0, len(words) - 32, 24), len(words) - 32]:
+        xs = [vector(w) for w in words[at : at + 32]]
+        if not xs:
+            return None
+        seq = np.concatenate([read(0, xs), read(1, xs[::-1])[::-1]], 1)
+        e = np.exp(seq @ p["att"])
+        logits.append((e / e.sum()) @ seq @ p["out"] + p["bias"][0])
+    return sig(net.slope * max(logits) + net.offset)
+
+
+def test_scores_are_those_of_the_network():
+    rng, net = random.Random(20), toxicity.Network(VOCABULARY[:50], -0.5)
+    net.slope, net.offset = 1.3, -0.2
+    texts = [prose(rng, n) for n in (1, 5, 31, 32, 33, 56, 57, 200)] + ["日本 été x_y 12 Straße", None, ""]
+    texts = [re.sub(r"w(\d+)", lambda m: "".join(chr(97 + int(c)) for c in m[1]), t) if t else t for t in texts]
+    net.ids = {"b": 1, "cd": 2, "bcd": 3}
+    for t, got in zip(texts, toxicity.Scorer(net)(texts)):
+        want = scored_by_hand(net, t)
+        assert want is None or abs(got - want) < 1e-4
+    assert toxicity.Scorer(net)([None])[0] == toxicity.Scorer(net)([""])[0]
+
+
+def test_toxic_passages_of_long_texts_are_learned(spark):
+    rng = random.Random(21)
+    assert toxicity.drawn_windows("a " * 5000, 1, 0) == [" ".join(["a"] * 32)] * 208 and len(toxicity.drawn_windows("a " * 5000, 0, 0)) == 24
+    empty = toxicity.classify(docs_of(spark, ["x"]).limit(0), spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    assert empty.count() == 0 and empty.columns == ["doc_id", "held_out", "score", "predicted"]
+    df = docs_of(spark, ["😀 \x00", prose(rng, 5), prose(rng, 5), None], ids=[1, 1, 2, None])
+    labels = spark.createDataFrame([(1, 1, 0), (1, 0, 1), (2, 1, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    for classify in (toxicity.classify, quality.classify):
+        assert sorted(str(r.doc_id) for r in classify(df, labels).collect()) == ["1", "1", "2", "None"]
+    assert quality.classify(df.limit(0), labels).count() == 0
+
+
+@pytest.mark.parametrize("make, label, least", [(lambda d, t: quality.classify(d, t), "quality", 0.9), (lambda d, t: toxicity.classify(d, t), "toxic", 0.9)])
+def test_held_out_quality_on_the_tables(spark, make, label, least):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    got = make(docs, labels).filter("held_out").join(labels.dropDuplicates(["doc_id"]), "doc_id").select("score", label, "predicted").collect()
+    yes, no = (np.array([r.score for r in got if (r[1] > 0) == v]) for v in (True, False))
+    auc = np.mean((yes[:, None] > no).astype(float) + 0.5 * (yes[:, None] == no))
+    assert auc >= least, auc
+
+
+def test_held_out_languages_on_the_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    got = langid.identify(docs).filter("held_out").join(docs.select("doc_id", "lang").dropDuplicates(["doc_id"]), "doc_id").filter("lang is not null and lang_pred != 'und'")
+    assert got.filter("lang = lang_pred").count() >= 0.97 * got.count()
+
+
 # -- operator 3 ---------------------------------------------------------------
 def groups_by_brute_force(texts, n=4, percent=85):
     sets = []
