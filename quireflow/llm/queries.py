@@ -58,5 +58,28 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality, op2_byte_bpe, op3_jaccard_join, op4_toxicity, op5_substring_dedup, op6_token_counts, op7_language_id, op8_line_dedup, op9_media_columns, op10_decontamination)}
 
 
+#: Words as the contracts of operators 3 and 5 have them.
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+#: Links of all pairs of documents that share a shingle, then the closure of the links.
+_JACCARD = rf"""WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+    s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS x FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 3))) AS i FROM d WHERE len(w) > 0)),
+    n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    l AS MATERIALIZED (SELECT a, b FROM (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS k FROM s p JOIN s q ON p.x = q.x AND p.doc_id < q.doc_id GROUP BY p.doc_id, q.doc_id) JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 85 * (na.n + nb.n - k)),
+    e AS MATERIALIZED (SELECT a, b FROM l UNION SELECT b, a FROM l),
+    r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+    c AS (SELECT a AS doc_id, min(b) AS b FROM r GROUP BY a)
+    SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(c.b, d.doc_id)) AS component_id FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)"""
+
+#: Every window of 20 words by its words; those that are not the first of their kind cover what goes.
+_REPEATS = rf"""WITH d AS MATERIALIZED (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+    v AS (SELECT doc_id, i, row_number() OVER (PARTITION BY x ORDER BY doc_id, i) AS k FROM (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 19), ' ') AS x FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM d WHERE len(w) >= 20))),
+    g AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(generate_series(i, i + 19)) AS p FROM v WHERE k > 1)),
+    t AS (SELECT doc_id, p, w[p] AS x FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS p FROM d)),
+    o AS (SELECT t.doc_id, count(*) AS kept, string_agg(x, ' ' ORDER BY t.p) AS own FROM t LEFT JOIN g ON g.doc_id = t.doc_id AND g.p = t.p WHERE g.p IS NULL GROUP BY t.doc_id)
+    SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(kept, 0) AS BIGINT) AS n_removed, sha256(coalesce(own, '')) AS kept_sha256 FROM d LEFT JOIN o USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of the exact relational operators; the others need a tokenizer, a model, pixels or edit distances, or miss by chance (8)."""
+    return {"op3_jaccard_join": _JACCARD, "op5_substring_dedup": _REPEATS}
