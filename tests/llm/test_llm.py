@@ -692,3 +692,42 @@ def test_pipeline_stages(spark, tmp_path):
     assert 2 in kept["jaccard_join"] and 2 not in kept["decontamination"]
     assert set(kept["decontamination"]) == set(kept["jaccard_join"]) - {2}
     assert {r.doc_id: r.ids_sha256 for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {i: r.ids_sha256 for i, r in kept["byte_bpe"].items()}
+
+
+def test_pipeline_on_odd_tables(spark, tmp_path):
+    rng = random.Random(23)
+    item, base = prose(rng, 30), prose(rng, 80)
+    texts = [base, prose(rng, 40), base, None, "", "123", "x" * 50_000, f"{prose(rng, 20)} {item}", base + "\n\n" + prose(rng, 30), prose(rng, 40), "日本 \x00 😀"]
+    ids = [1, 1, 2, 3, 4, 5, 6, None, None, 7, 8]
+    rows = [(i, t, "en" if k % 2 else None, None, None) for k, (i, t) in enumerate(zip(ids, texts))]
+    clash = {c: F.lit(7) for c in ["own", "row", "doc", "same", "key", "node", "score", "later"]}
+    names = ["doc_id", "text", "lang", "source", "n_chars", *clash]
+    spark.createDataFrame(rows, DOC).withColumns(clash).write.parquet(f"{tmp_path}/full/documents.parquet")
+    spark.createDataFrame([(1, item), (None, "y"), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/full/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/full/documents.parquet")
+    kept = []
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, f"{tmp_path}/full").write.parquet(f"{tmp_path}/full/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/full/{k}")
+        assert k == 4 or (docs.columns == names and docs.filter("not (row <=> 7)").count() == 0), name
+        kept.append(sorted(((r.doc_id or 0) for r in docs.collect())))
+    assert kept[0] == [0, 0, 1, 1, 2, 7, 8] and kept[1] == kept[0]  # one letter 50,000 times is no language
+    assert spark.read.parquet(f"{tmp_path}/full/1").filter("text = ''").count() == 1  # the line of a null id is the first; rows of doc_id 1 share a place
+    assert kept[2] == kept[0] and kept[3] == [0, 1, 1, 2, 7, 8]
+    for name in ("documents", "benchmark"):
+        spark.read.parquet(f"{tmp_path}/full/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/empty/{name}.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
+
+
+def test_leaks_of_repeated_rows_and_blocks(spark, monkeypatch):
+    rng = random.Random(24)
+    items = [(k, prose(rng, 25)) for k in range(12)] + [(3, "another text under a known number for an item")]
+    texts = [prose(rng, 20), f"a {items[2][1]} b", f"a {items[2][1]} b", items[11][1].upper(), f"{items[7][1][:-3]}", None]
+    df, table = docs_of(spark, texts, ids=[1, 2, 2, None, 4, 5]), spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(tuple, decontam.find_leaks(df, table).collect()), key=str)
+    assert [x[:2] for x in whole] == [(2, 2), (2, 2), (4, 7), (None, 11)]
+    clean = sorted(str(r.doc_id) for r in decontam.drop_leaks(df, table).collect())
+    assert clean == ["1", "5"]
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", 400)
+    assert sorted(map(tuple, decontam.find_leaks(df, table).collect()), key=str) == whole
+    assert sorted(str(r.doc_id) for r in decontam.drop_leaks(df, table).collect()) == clean
