@@ -41,7 +41,7 @@ EPOCHS_ALL, EPOCHS_WORST, BATCH, RATE = 2, 8, 256, 0.02
 #: Share of word vectors left out in training (their characters remain), and decay of the vectors of grams.
 WORD_DROPOUT, GRAM_DECAY = 0.5, 0.02
 #: Weight of label 0 against 1 when scores are calibrated.
-CLEAN_WEIGHT = 5.0
+CLEAN_WEIGHT = 2.0
 BLOCK, KNOWN_WORDS = 2048, 120_000
 SEED = 20260103
 _WORD = re.compile(r"[^\W\d_]+")
