@@ -69,16 +69,18 @@ def join_components(label: DataFrame, found: DataFrame, name: str) -> DataFrame:
     return materialize(known.join(over, "component", "left").select("node", F.coalesce("top", "component").alias("component")), f"{name}-labels")
 
 
-def open_buckets(members: DataFrame, label: DataFrame, name: str) -> DataFrame:
+def open_buckets(members: DataFrame, label: DataFrame, tried: DataFrame, name: str) -> DataFrame:
     """key, node, c, lead of the members of buckets in which a pair may still be undecided.
 
     c is the node's component and lead the component with most members of the
-    bucket.  In a bucket of one component nothing is left to find, whatever its size.
+    bucket.  In a bucket of one component nothing is left to find, whatever its
+    size, nor in one of two members that were tried.
     """
     named = members.join(label, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
-    counted = named.groupBy("key", "c").agg(F.count("*").alias("k"))
-    of = counted.groupBy("key").agg(F.max(F.struct("k", "c")).alias("top"), F.count("*").alias("parts"))
-    of = of.filter("parts > 1").select("key", F.col("top.c").alias("lead"))
+    counted = named.groupBy("key", "c").agg(F.count("*").alias("k"), F.min("node").alias("lo"), F.max("node").alias("hi"))
+    of = counted.groupBy("key").agg(F.max(F.struct("k", "c")).alias("top"), F.count("*").alias("parts"), F.sum("k").alias("all"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    of = of.filter("parts > 1").select("key", F.col("top.c").alias("lead"), F.when(F.col("all") == 2, F.col("lo")).alias("a"), F.when(F.col("all") == 2, F.col("hi")).alias("b"))
+    of = of.join(tried, ["a", "b"], "left_anti").select("key", "lead")
     return materialize(named.join(of, "key").select("key", "node", "c", "lead"), f"{name}-open")
 
 
@@ -95,7 +97,7 @@ def settle_buckets(members: DataFrame, tried: DataFrame, links: DataFrame, verif
     """
     links = materialize(links.select("a", "b").unionByName(verify(tried)), f"{name}-links")
     label = materialize(components(links), f"{name}-labels")
-    left = open_buckets(members, label, name)
+    left = open_buckets(members, label, tried, name)
     if left.isEmpty():
         return label
     found = materialize(across(left), f"{name}-cross")
