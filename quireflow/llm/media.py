@@ -36,6 +36,8 @@ ROW_BYTES, CHANNELS = 192, 3
 SHARD_BYTES = 64 << 20
 #: Signature and IHDR: all that the header columns need.
 HEADER_BYTES = 33
+#: Stored bytes that one task reads back.
+READ_BYTES = 32_000_000
 COMPRESSION = 6
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
 
@@ -208,13 +210,17 @@ def read_features(places: DataFrame, uri: str) -> DataFrame:
 def media_table(docs: DataFrame, uri: str | None = None) -> DataFrame:
     """One row per document: its sizes, place and what the stored bytes give when read back.
 
-    Only digests and places are shuffled, never payloads.  The join that spreads
+    Only digests and places are shuffled, never payloads; a task reads back about
+    READ_BYTES of neighbouring files at most, however small their rows are.  The join that spreads
     a digest's features over its documents is left to adaptive skew splitting.
     """
     spark = docs.sparkSession
     uri = uri or work_path(spark, "media")
     rows = materialize(write_media(docs, uri), "media-rows")
-    places = materialize(header_columns(manifest(rows).repartitionByRange("shard", "offset").sortWithinPartitions("shard", "offset"), uri), "media-places")
-    read = read_features(places, uri).drop("width", "height")
+    stored = rows.agg(F.sum("length")).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-stored // READ_BYTES))
+    near = lambda df: df.repartitionByRange(parts, "shard", "offset").sortWithinPartitions("shard", "offset")
+    places = materialize(header_columns(near(manifest(rows)), uri), "media-places")
+    read = read_features(near(places), uri).drop("width", "height")
     own = rows.select("doc_id", "n_bytes", "payload_bytes", "digest")
     return own.join(read.join(places, "digest"), "digest")
