@@ -71,7 +71,7 @@ class JsonField:
 
     def boolean(self, rule: Callable[[Column], Column]) -> Column:
         """A number is true unless it is 0."""
-        own = F.when(self.is_number, self.number != 0).when(self.is_bool, self.text == "true").otherwise(rule(self.text))
+        own = F.when(self.is_number, number_to_bool(self.number)).when(self.is_bool, self.text == "true").otherwise(rule(self.text))
         return F.coalesce(own, F.lit(False))
 
     def integer(self, rule: Callable[[Column], Column]) -> Column:

@@ -33,6 +33,31 @@ def render_summary(pages: DataFrame) -> DataFrame:
     return pages.agg(F.count("*").alias("total_pages"), F.count_if(_ok()).alias("successful_pages"), F.count_if(~_ok()).alias("failed_pages"), F.coalesce(F.bool_or(_ok()), F.lit(False)).alias("success"))
 
 
+def render_totals(pages: DataFrame) -> DataFrame:
+    """Totals of rendered pages (success, used_dpi, file_size_bytes): bytes and the mean resolution over successes."""
+    size, dpi = F.when(_ok(), F.col("file_size_bytes")), F.when(_ok(), F.col("used_dpi"))
+    out = pages.agg(F.count("*").alias("total"), F.count_if(_ok()).alias("successful"), F.coalesce(F.sum(size), F.lit(0)).alias("total_file_size_bytes"), F.coalesce(F.avg(dpi), F.lit(0.0)).alias("average_dpi"))
+    return out.withColumns({"failed": F.col("total") - F.col("successful"), "success_rate": ratio(F.col("successful"), F.col("total"))})
+
+
+def recognition_statistics(results: DataFrame, engines: tuple[str, str] = ("llm", "document_ai")) -> DataFrame:
+    """One row over results of both engines (engine, success, extracted_text, files): groups read and failed, files, texts.
+
+    files: how many files a result was written to.
+    """
+    aggs = []
+    for e in engines:
+        own, ok = F.col("engine") == e, (F.col("engine") == e) & _ok()
+        aggs += [
+            F.count_if(ok).alias(f"{e}_groups_processed"),
+            F.count_if(own & ~_ok()).alias(f"{e}_groups_failed"),
+            F.coalesce(F.sum(F.when(ok, F.col("files"))), F.lit(0)).cast("long").alias(f"{e}_files_created"),
+            F.coalesce(F.avg(F.when(ok, F.length(F.coalesce("extracted_text", F.lit(""))))), F.lit(0.0)).alias(f"{e}_average_text_length"),
+        ]
+    out = results.agg(F.count_distinct("group_key").alias("total_groups"), *aggs)
+    return out.withColumn("total_files_created", F.col(f"{engines[0]}_files_created") + F.col(f"{engines[1]}_files_created"))
+
+
 def quality_summary(pages: DataFrame) -> DataFrame:
     """Step summary of page states (success, needs_dewarping, reprocessed_at_scale, dewarping_applied)."""
     out = pages.agg(F.count("*").alias("total_pages"), F.count_if(_ok()).alias("successful_pages"), count_flag("needs_dewarping").alias("needs_dewarping_count"), count_flag("reprocessed_at_scale").alias("reprocessed_count"), count_flag("dewarping_applied").alias("dewarped_count"))

@@ -558,6 +558,24 @@ def file_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outputs.file_lists(own).select("session_id", "file_count", F.md5(F.array_join("files", ",")).alias("files_md5"))
 
 
+@query("""SELECT CAST(count(DISTINCT conv_id) AS BIGINT) AS total_groups, CAST(count(*) FILTER (role = 'user' AND turn % 5 <> 4) AS BIGINT) AS llm_groups_processed, CAST(count(*) FILTER (role = 'user' AND turn % 5 = 4) AS BIGINT) AS llm_groups_failed,
+    CAST(2 * count(*) FILTER (role = 'user' AND turn % 5 <> 4) AS BIGINT) AS llm_files_created, coalesce(avg(length(text)) FILTER (role = 'user' AND turn % 5 <> 4), 0) AS llm_average_text_length,
+    CAST(count(*) FILTER (role = 'assistant' AND turn % 5 <> 4) AS BIGINT) AS document_ai_groups_processed, CAST(count(*) FILTER (role = 'assistant' AND turn % 5 = 4) AS BIGINT) AS document_ai_groups_failed,
+    CAST(2 * count(*) FILTER (role = 'assistant' AND turn % 5 <> 4) AS BIGINT) AS document_ai_files_created, coalesce(avg(length(text)) FILTER (role = 'assistant' AND turn % 5 <> 4), 0) AS document_ai_average_text_length,
+    CAST(2 * count(*) FILTER (role IN ('user', 'assistant') AND turn % 5 <> 4) AS BIGINT) AS total_files_created FROM conversations""")
+def recognition_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    engine = F.when(F.col("role") == "user", "llm").when(F.col("role") == "assistant", "document_ai")
+    own = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("group_key"), engine.alias("engine"), (F.col("turn") % 5 != 4).alias("success"), F.col("text").alias("extracted_text"), F.lit(2).alias("files"))
+    return summaries.recognition_statistics(own)
+
+
+@query("""SELECT CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (doc_id % 9 <> 0) AS BIGINT) AS successful, CAST(count(*) FILTER (doc_id % 9 = 0) AS BIGINT) AS failed, CAST(coalesce(sum(n_chars) FILTER (doc_id % 9 <> 0), 0) AS BIGINT) AS total_file_size_bytes,
+    round(avg(50 + doc_id % 551) FILTER (doc_id % 9 <> 0), 6) AS average_dpi, count(*) FILTER (doc_id % 9 <> 0) / count(*)::DOUBLE AS success_rate FROM documents""")
+def render_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = table(spark, sf_dir, "documents").select((F.col("doc_id") % 9 != 0).alias("success"), (50 + F.col("doc_id") % 551).alias("used_dpi"), F.col("n_chars").alias("file_size_bytes"))
+    return summaries.render_totals(own).withColumn("average_dpi", F.round("average_dpi", 6))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 

@@ -53,6 +53,10 @@ class Components:
         """Which components there are, by name."""
         return {f.name: getattr(self, f.name) is not None for f in dataclasses.fields(self)}
 
+    def have(self, *names: str) -> bool:
+        """Are all of these there?  A stage without what it needs is left out."""
+        return all(self.ready()[n] for n in names)
+
 
 @dataclass
 class Run:
@@ -81,14 +85,32 @@ class Run:
         return {"success": self.success, "final_stage": self.final_stage, "stages": list(self.tables), "skipped": self.skipped, "errors": self.errors, "settings": dataclasses.asdict(self.settings)}
 
 
+class Prefixed(logging.Formatter):
+    """Lines that say where they come from; warnings and errors are marked."""
+
+    MARKS = {logging.WARNING: "! ", logging.ERROR: "!! ", logging.CRITICAL: "!!! "}
+
+    def __init__(self) -> None:
+        super().__init__("%(asctime)s %(levelname)s %(name)s: %(message)s")
+
+    def format(self, record: logging.LogRecord) -> str:
+        return self.MARKS.get(record.levelno, "") + super().format(record)
+
+
+#: Loggers that are chatty at INFO; they are held to warnings.
+QUIET = ("py4j", "py4j.clientserver", "urllib3")
+
+
 def set_up_logging(level: str = "INFO", path: str | None = None) -> logging.Logger:
     """The driver's log, to a file as well where one is named; setting it up again changes the level only."""
     own = logging.getLogger("quireflow")
     own.setLevel(getattr(logging, level.upper(), logging.INFO))
+    for name in QUIET:
+        logging.getLogger(name).setLevel(logging.WARNING)
     have = {getattr(h, "baseFilename", None) for h in own.handlers}
     for handler, name in ((logging.StreamHandler(), None), *([(logging.FileHandler(path, delay=True), path)] if path else [])):
         if (handler.baseFilename if name else None) not in have:
-            handler.setFormatter(logging.Formatter("%(asctime)s %(levelname)s %(name)s: %(message)s"))
+            handler.setFormatter(Prefixed())
             own.addHandler(handler)
     return own
 
@@ -225,7 +247,7 @@ def run(docs: DataFrame, components: Components, settings: Settings = Settings()
     pages = stage("render", True, lambda: render(docs, components, settings), None)
     if pages is None:
         return out
-    pages = stage("judge", steps.judge and components.distortion is not None, lambda: judge(pages, docs, components, settings, keep), pages)
+    pages = stage("judge", steps.judge and components.have("distortion"), lambda: judge(pages, docs, components, settings, keep), pages)
     pages = stage("rotate", steps.rotate, lambda: rotate(pages, components, settings, keep), pages)
     # the split numbers images, so it runs even where nothing is to be cut
     sources = stage("split", True, lambda: split(pages, components if steps.split else dataclasses.replace(components, page_count=None), settings, keep), None)
@@ -239,3 +261,25 @@ def failures(run_: Run) -> DataFrame | None:
     """session_id, page_number, error of pages that no later stage could use."""
     pages = run_.tables.get("render")
     return pages.filter(~F.coalesce("success", F.lit(False))).select("session_id", "page_number", "error") if pages is not None else None
+
+
+def session_summary(run_: Run) -> DataFrame | None:
+    """One row per session, of the same shape whatever failed: pages, failed pages, groups and characters by engine, error.
+
+    A session without any integrated text has counts of 0 and an error.
+    """
+    pages = run_.tables.get("render")
+    if pages is None:
+        return None
+    ok = F.coalesce(F.col("success"), F.lit(False))
+    out = pages.groupBy("session_id").agg(F.count_if(F.col("page_number") > 0).alias("total_pages"), F.count_if(~ok).alias("failed_pages"), F.min(F.when(~ok, F.col("error"))).alias("page_error"))
+    texts = run_.tables.get("integrate")
+    if texts is None:
+        none = {f"{e}_{x}": F.lit(0).cast("long") for e in ("llm", "document_ai") for x in ("files", "characters")}
+        return out.withColumns(none).withColumns({"success": F.lit(False), "error": F.coalesce("page_error", F.lit("no text"))}).drop("page_error")
+    own = integration.integration_summary(texts, keys=("session_id",)).drop("output_files", "total_errors", "success")
+    out = out.join(own, "session_id", "left")
+    counts = {c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in own.columns if c != "session_id"}
+    out = out.withColumns(counts)
+    some = F.col("llm_characters") + F.col("document_ai_characters") > 0
+    return out.withColumns({"success": some, "error": F.when(~some, F.coalesce("page_error", F.lit("no text")))}).drop("page_error")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quireflow.config import Render
 from quireflow.functions.geometry import optimal_dpi, scaled_dpi
 from quireflow.functions.names import page_image_name, session_id
-from quireflow.operators.routing import needs_rerender
+from quireflow.operators.routing import document_failure, needs_rerender
 
 
 class Document(Protocol):
@@ -87,7 +87,8 @@ def document_info(docs: DataFrame, opener: Callable[[bytes], Document], cfg: Ren
     """Pages, size of the first page and the suggested resolution of each document; why it is not valid."""
     rows = pages(docs, opener)
     first = rows.filter("page_number = 1 or not success")
-    return first.select("session_id", "path", F.col("success").alias("valid"), "error", "total_pages", "width", "height", optimal_dpi(F.col("width"), F.col("height"), cfg).alias("suggested_dpi"))
+    failure = document_failure(F.col("total_pages"), F.col("success"))
+    return first.select("session_id", "path", failure.isNull().alias("valid"), "error", failure.alias("failure"), "total_pages", "width", "height", optimal_dpi(F.col("width"), F.col("height"), cfg).alias("suggested_dpi"))
 
 
 def render_pages(docs: DataFrame, page_rows: DataFrame, opener: Callable[[bytes], Document], dpi: str = "dpi") -> DataFrame:

@@ -1,16 +1,18 @@
 """Whole documents: stages, flags, failures, paid calls, files written and read again."""
 
 import json
+import logging
 import sys
+import zlib
 
 import numpy as np
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from quireflow.config import Ocr, Settings, overlay
-from quireflow.functions import coerce
-from quireflow.operators import images, integration, judgments, recognition
+from quireflow.config import Ocr, Settings, full_prompt, overlay
+from quireflow.functions import coerce, geometry
+from quireflow.operators import images, integration, judgments, recognition, routing, summaries
 from quireflow.plans import stages, stand_ins, whole
 from quireflow.sinks import outputs
 from quireflow.sources import scans, texts
@@ -65,6 +67,8 @@ def test_each_stage_does_its_part(spark):
     assert run.tables["tile"].filter("session_id = 's0'").count() == 2 and run.tables["tile"].filter("session_id = 's1'").count() == 4
     got = {(r.session_id, r.engine): r.files_count for r in run.result.collect()}
     assert got == {("s0", "llm"): 1, ("s0", "document_ai"): 1, ("s1", "llm"): 2, ("s1", "document_ai"): 2}
+    sessions = {r.session_id: (r.total_pages, r.failed_pages, r.llm_files, r.success, r.error) for r in whole.session_summary(run).collect()}
+    assert sessions == {"s0": (1, 0, 1, True, None), "s1": (1, 0, 2, True, None), "s2": (0, 1, 0, False, "ValueError: no pages")}
     assert run.stats()["stages"] == ["render", "rotate", "split", "tile", "recognize", "integrate"]
 
 
@@ -97,6 +101,7 @@ def test_failures_go_on(spark, tmp_path):
     assert run.tables["rotate"].first().angle == 0 and run.tables["split"].count() == 1
     assert {r.engine for r in run.result.collect()} == {"document_ai"}
     nobody = whole.run(docs, components(llm=None, document_ai=None))
+    assert whole.session_summary(nobody).columns == whole.session_summary(run).columns and not whole.session_summary(nobody).first().success
     assert nobody.final_stage == "tile" and "no recognizer" in nobody.errors["recognize"]
     nothing = whole.run(docs, components(opener=None), store=f"file://{tmp_path}/y")
     assert not nothing.tables["render"].first().success or not nothing.success
@@ -208,7 +213,8 @@ def test_logging(tmp_path):
     n = len(log.handlers)
     assert log.level == 10 and whole.set_up_logging("nonsense", str(tmp_path / "run.log")).level == 20 and len(log.handlers) == n
     log.warning("seen")
-    assert "WARNING quireflow: seen" in (tmp_path / "run.log").read_text()
+    assert logging.getLogger("py4j").level == logging.WARNING and not components(llm=None).have("opener", "llm")
+    assert "! " in (tmp_path / "run.log").read_text() and "WARNING quireflow: seen" in (tmp_path / "run.log").read_text()
 
 
 @pytest.mark.parametrize("angle", [0, 90, -90, 180])
@@ -216,3 +222,34 @@ def test_image_columns_keep_nulls(spark, angle):
     df = spark.createDataFrame([(1, None, angle)], "k int, image struct<origin:string,height:int,width:int,nChannels:int,mode:int,data:binary>, angle int")
     row = images.rotate_images(df).first()
     assert row.image is None and row.error is None
+
+
+def png(width, height, data):
+    """A grey PNG of these bytes."""
+    part = lambda kind, body: len(body).to_bytes(4, "big") + kind + body + zlib.crc32(kind + body).to_bytes(4, "big")
+    head = width.to_bytes(4, "big") + height.to_bytes(4, "big") + bytes([8, 0, 0, 0, 0])
+    lines = b"".join(b"\0" + data[at : at + width] for at in range(0, len(data), width))
+    return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", head) + part(b"IDAT", zlib.compress(lines)) + part(b"IEND", b"")
+
+
+def test_image_files_are_read(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.png").write_bytes(png(3, 2, bytes(range(6))))
+    (tmp_path / "in/b.png").write_bytes(b"no image")
+    own = {r.path[-5:]: r for r in scans.images(spark, str(tmp_path / "in")).collect()}
+    assert own["a.png"].success and not own["b.png"].success and bytes(own["a.png"].image.data) == bytes(range(6))
+    info = {r.path[-5:]: r for r in scans.image_info(spark, str(tmp_path / "in")).collect()}
+    assert (info["a.png"].width, info["a.png"].height, info["a.png"].nChannels) == (3, 2, 1) and info["b.png"].length == 8
+    files = spark.read.format("binaryFile").load(str(tmp_path / "in/b.png"))
+    assert scans.encoded(files).first().base64 == "bm8gaW1hZ2U="
+
+
+def test_helpers(spark):
+    assert full_prompt({"system": "a", "user": "b"}) == "a\n\nb" and full_prompt({}) == "\n\n"
+    slope = spark.range(1).select(*(geometry.contour_slope(F.lit(10.0), F.lit(21.0), F.lit(r)) for r in (0.0, 0.5, 1.0))).first()
+    assert slope[0] == slope[2] == 0.0 and abs(slope[1] - (15.0 * 0.5 * 0.5 + 16.0 * 0.5 * 0.5)) < 1e-9
+    shape = spark.createDataFrame([(None, True), (0, True), (2, False), (2, True)], "n int, ok boolean").select(routing.document_failure(F.col("n"), F.col("ok"))).collect()
+    counts = spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "v string")
+    assert summaries.as_map(summaries.histogram(counts, F.col("v"), "none")).first().distribution == {"a": 1, "b": 2, "none": 1}
+    assert summaries.render_totals(counts.selectExpr("true success", "1 used_dpi", "2L file_size_bytes").limit(0)).first().average_dpi == 0.0
+    assert [r[0] for r in shape] == ["unreadable", "no pages", "first page does not load", None]
