@@ -34,7 +34,7 @@ from quireflow.llm.common import chunks, small_batches
 
 #: What a worker remembers; forgetting costs time only.  Chunks of more than LONG characters are not remembered, nor
 #: are states beyond SHARED bytes of a word, so every entry is small; the cache is bounded by its characters.
-CACHE_CHARS, STATE_ENTRIES, PAIR_ENTRIES = 4_000_000, 1_200_000, 1_000_000
+CACHE_CHARS, STATE_ENTRIES, PAIR_ENTRIES = 6_400_000, 1_200_000, 1_000_000
 LONG, SHARED = 64, 32
 
 
