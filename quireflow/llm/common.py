@@ -75,6 +75,20 @@ def crc_split(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % modulus == remainder, F.lit(False))
 
 
+#: Keys of rows with a null doc_id: NULL_SPAN values from NULL_ID on, below every doc_id in use.
+NULL_ID, NULL_SPAN = -(2**63), 2**40
+
+
+def known_id(doc_id: Column, text: Column) -> Column:
+    """doc_id as a key; rows without one come before all others and are told apart, and spread, by a hash of their text."""
+    return F.coalesce(doc_id.cast("long"), F.lit(NULL_ID) + F.pmod(F.xxhash64(text), F.lit(NULL_SPAN)))
+
+
+def shown_id(key: Column) -> Column:
+    """The doc_id of a key, null for rows without one."""
+    return F.when(key >= NULL_ID + NULL_SPAN, key)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each piece holds about CHUNK_BYTES of text (one row at least)."""
     for batch in batches:

@@ -43,9 +43,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quireflow.llm.common import WordHashes, chunks, materialize, mix, ngram_hashes, ranges, small_batches
+from quireflow.llm.common import NULL_ID, WordHashes, chunks, materialize, mix, ngram_hashes, ranges, small_batches
 from quireflow.llm.components import settle_buckets
-from quireflow.llm.substrings import NULL_ID
 
 SHINGLE = 4
 #: Similarity as a whole percentage: 100 * intersection >= PERCENT * union.

@@ -14,8 +14,8 @@ often than there were tasks; blocks are dealt by hash range and then back to
 the documents' buckets.  Nothing is broadcast or collected.
 
 Defined results: null or empty texts have no words; texts shorter than WINDOW
-words keep all; rows with a null doc_id count as one document before all
-others; rows that share a doc_id are versions of one document, and a start that
+words keep all; rows with a null doc_id come before all others, in the order of
+a hash of their text (with equal texts they count as one); rows that share a doc_id are versions of one document, and a start that
 is removed in one version is removed in each that is long enough.
 """
 
@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quireflow.llm.common import WordHashes, chunks, mix, ranges, small_batches
+from quireflow.llm.common import NULL_ID, NULL_SPAN, WordHashes, chunks, known_id, mix, ranges, small_batches
 
 WINDOW = 20
 PERIOD = 13
@@ -40,7 +40,6 @@ COVER = (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
 #: Delegates gathered by a task before it settles them; bounds memory only.
 GROUP = 1_500_000
-NULL_ID = -(2**63)
 _IN_COVER = np.isin(np.arange(PERIOD), COVER)
 _SCHEMA = "part int, kind int, doc_id long, payload binary"
 _NAMES = ["part", "kind", "doc_id", "payload"]
@@ -294,7 +293,7 @@ def kept_texts(rows: DataFrame, parts: int, keep_text: bool = False) -> DataFram
                     np.add.at(step, at + WINDOW, -1)
                     kept = [w for w, gone in zip(words, (np.cumsum(step[:-1]) > 0).tolist(), strict=True) if not gone]
                 text = b" ".join(kept)
-                out.append((None if doc == NULL_ID else doc, len(words), len(words) - len(kept), hashlib.sha256(text).hexdigest(), text.decode("utf-8", "replace")))
+                out.append((None if doc < NULL_ID + NULL_SPAN else doc, len(words), len(words) - len(kept), hashlib.sha256(text).hexdigest(), text.decode("utf-8", "replace")))
             cols = list(zip(*out, strict=True))[: 5 if keep_text else 4]
             types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=False)], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"][: len(cols)])
@@ -312,7 +311,7 @@ def remove_repeats(docs: DataFrame, parts: int | None = None, keep_text: bool =
     spark = docs.sparkSession
     small_batches(spark)
     parts = parts or ranges(docs)
-    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), "text")
+    own = docs.select(known_id(F.col("doc_id"), F.col("text")).alias("doc_id"), "text")
     texts = packed_texts(own, parts)
     marks = shared_anchors(anchors(own, parts), parts)
     starts = later_windows(repeated_windows(marks.unionByName(texts), parts), parts)
