@@ -18,8 +18,8 @@ links become rows.
 
 Defined results: blank lines are no candidates and always stay; a null text has
 no lines, an empty one has one blank line; lines of rows with a null doc_id
-come before all others; rows that share a doc_id and a line number share the
-line's fate.  Lines are what stands between line feeds.  Columns of other names
+come before all others, by a hash of the row's text; rows that share a doc_id
+(or have none and share the text) and a line number share the line's fate.  Lines are what stands between line feeds.  Columns of other names
 pass through, whatever they are called.
 """
 
@@ -30,7 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quireflow.llm.common import materialize
+from quireflow.llm.common import known_id, materialize, shown_id
 from quireflow.llm.components import settle_buckets
 
 SHINGLE = 5
@@ -50,13 +50,12 @@ AGREE = 13
 TRIED = 4
 #: Longs of parity marks.
 MARKS = 16
-NULL_ID = -(2**63)
 #: Bytes of a character in the encoding that is cut into windows.
 _WIDE, _ENCODING = 4, "UTF-32"
 
 
 def _doc(df: DataFrame) -> DataFrame:
-    return df.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"), "text")
+    return df.select(known_id(F.col("doc_id"), F.col("text")).alias("doc"), "text")
 
 
 def _starts(line: Column) -> Column:
@@ -113,8 +112,8 @@ def near_members(lines: DataFrame) -> DataFrame:
     return materialize(members.join(other, met, "left_semi"), "lines-near")
 
 
-def drawn_pairs(members: DataFrame) -> DataFrame:
-    """Pairs a < b of every member and up to TRIED members drawn from its buckets.
+def drawn_others(members: DataFrame) -> DataFrame:
+    """node, others: up to TRIED members drawn from each member's buckets.
 
     Each bucket draws one member.  Of those drawn for a node the first ones by
     hash are tried, which joins a group of near copies around few members, and
@@ -127,8 +126,7 @@ def drawn_pairs(members: DataFrame) -> DataFrame:
     of = met.groupBy("node").agg(F.array_sort(one).alias("drawn"))
     nearest = F.array_max(F.transform("drawn", lambda x: F.struct(x["alike"], x["other"].alias("other"))))["other"]
     others = F.array_union(F.transform(F.slice("drawn", 1, TRIED - 1), lambda x: x["other"]), F.array(nearest))
-    pairs = of.select("node", F.explode(others).alias("other"))
-    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    return of.select("node", others.alias("others"))
 
 
 def texts_of(docs: DataFrame, lines: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -165,13 +163,24 @@ def parity_marks(s: Column) -> Column:
     return F.array(*(mark(k) for k in range(MARKS)))
 
 
-def across_lines(left: DataFrame, texts: DataFrame, lines: DataFrame) -> DataFrame:
+def across_lines(left: DataFrame, texts: DataFrame, lines: DataFrame, drawn: DataFrame) -> DataFrame:
     """Links between components in open buckets (key, node, c, lead).
 
     Each member outside its bucket's largest component meets the members of
-    other components, in the first bucket that the two share.  The join's
-    condition verifies them, so a pair becomes a row only if it is a link.
+    other components, in the first bucket that the two share.  Members that
+    none of those is near, but for the ones they were tried with, go before
+    texts are fetched.  The join's condition verifies the others, so a pair
+    becomes a row only if it is a link.
     """
+    sketch = texts.select("node", "n").join(lines.select("node", "bits"), "node")
+    light = left.join(sketch, "node").join(drawn, "node", "left").withColumn("others", F.coalesce("others", F.array().cast("array<long>")))
+    light = materialize(light, "lines-light")
+    size = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * PERCENT
+    other = light.select(*(F.col(c).alias(f"o{c}") for c in ("key", "node", "c", "n", "bits", "others")))
+    met = (F.col("key") == F.col("okey")) & (F.col("c") != F.col("oc")) & size(F.col("n"), F.col("on")) & (agree(F.col("bits"), F.col("obits")) >= AGREE)
+    met &= ~F.array_contains("others", F.col("onode")) & ~F.array_contains("oothers", F.col("node"))
+    left = materialize(light.join(other, met, "left_semi").select("key", "node", "c", "lead"), "lines-apart")
+
     nodes = left.select("node").distinct()
     marks = F.transform(F.array(shingle_hashes(F.col("line"))), parity_marks)[0]
     marked = texts.join(nodes, "node", "left_semi").withColumn("marks", marks).join(lines.select("node", *KEYS), "node")
@@ -179,12 +188,12 @@ def across_lines(left: DataFrame, texts: DataFrame, lines: DataFrame) -> DataFra
     named = left.join(marked, "node").withColumn("band", F.array_position("keys", F.col("key")))
     side = lambda x: named.select("key", "lead", *(F.col(c).alias(f"{c}{x}") for c in ("node", "c", "line", "n", "marks", "keys", "band")))
     own, other = side("a").filter("ca != lead").drop("lead"), side("b")
-    size, sets = _similar("a", "b")
+    able, sets = _similar("a", "b")
     once = (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("lead")) | (F.col("nodea") < F.col("nodeb")))
     differ = reduce(Column.__add__, (F.bit_count(F.col("marksa")[k].bitwiseXOR(F.col("marksb")[k])) for k in range(MARKS)))
     near = differ * (100 + PERCENT) <= (F.col("na") + F.col("nb")) * (100 - PERCENT)
     first = reduce(Column.__and__, ((F.col("banda") <= k + 1) | (F.col("keysa")[k] != F.col("keysb")[k]) for k in range(len(KEYS) - 1)))
-    found = own.join(other, (own["key"] == other["key"]) & once & size & near & first & sets)
+    found = own.join(other, (own["key"] == other["key"]) & once & able & near & first & sets)
     return found.select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")).distinct()
 
 
@@ -192,9 +201,11 @@ def keepers(docs: DataFrame) -> DataFrame:
     """doc, ln of the lines that stay: the first line of each component."""
     lines = materialize(distinct_lines(docs), "lines-distinct")
     members = near_members(lines)
-    tried = drawn_pairs(members)
+    drawn = materialize(drawn_others(members), "lines-drawn")
+    pairs = drawn.select("node", F.explode("others").alias("other"))
+    tried = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
     texts = materialize(texts_of(docs, lines, members.select("node").distinct()), "lines-texts")
-    label = settle_buckets(members.select("key", "node"), tried, tried.limit(0), lambda pairs: similar_lines(pairs, texts), lambda left: across_lines(left, texts, lines), "lines")
+    label = settle_buckets(members.select("key", "node"), tried, tried.limit(0), lambda pairs: similar_lines(pairs, texts), lambda left: across_lines(left, texts, lines, drawn), "lines")
     named = lines.select("node", "doc", "ln").join(label, "node", "left")
     place = F.min(F.struct("doc", "ln")).alias("place")
     linked = named.filter("component is not null").groupBy("component").agg(place).select("place.*")
@@ -217,7 +228,7 @@ def line_report(docs: DataFrame) -> DataFrame:
     own = _doc(docs).select("doc", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n"), F.coalesce(_numbers(F.split("text", "\n")), none).alias("own"))
     out = own.join(kept_numbers(docs), "doc", "left").withColumn("kept_lines", F.array_intersect("own", F.coalesce("kept", none)))
     n_lines = F.greatest("n", F.lit(0))
-    return out.select(F.when(F.col("doc") != NULL_ID, F.col("doc")).alias("doc_id"), n_lines.alias("n_lines"), (n_lines - F.size("own")).alias("n_blank"), (F.size("own") - F.size("kept_lines")).alias("n_removed"), "kept_lines")
+    return out.select(shown_id(F.col("doc")).alias("doc_id"), n_lines.alias("n_lines"), (n_lines - F.size("own")).alias("n_blank"), (F.size("own") - F.size("kept_lines")).alias("n_removed"), "kept_lines")
 
 
 def _only_kept(text: Column, kept: Column) -> Column:
@@ -235,7 +246,7 @@ def drop_lines(docs: DataFrame) -> DataFrame:
     """The rows of documents, all columns, with only the lines that stay in text and n_chars (where there is one) to match."""
     kept = kept_numbers(docs).select(F.struct("doc", "kept").alias("own"))
     row = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
-    doc = F.coalesce(F.col("row.doc_id").cast("long"), F.lit(NULL_ID))
+    doc = known_id(F.col("row.doc_id"), F.col("row.text"))
     both = row.join(kept, doc == F.col("own.doc"), "left").withColumn("text", _only_kept(F.col("row.text"), F.col("own.kept")))
     new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
     return both.select(*(new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
