@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quireflow.llm import bpe, decontam, jaccard, langid, lines, media, quality, substrings, token_counts, toxicity
+from quireflow.llm import audit, bpe, decontam, jaccard, langid, lines, media, quality, substrings, token_counts, toxicity
 from quireflow.llm.common import table
 
 
@@ -54,8 +54,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_byte_bpe, op3_jaccard_join, op4_toxicity, op5_substring_dedup, op6_token_counts, op7_language_id, op8_line_dedup, op9_media_columns, op10_decontamination)}
+    return {f.__name__: f for f in (op1_quality, op2_byte_bpe, op3_jaccard_join, op4_toxicity, op5_substring_dedup, op6_token_counts, op7_language_id, op8_line_dedup, op9_media_columns, op10_decontamination, op13_filter_audit)}
 
 
 #: Words as the contracts of operators 3 and 5 have them.
@@ -80,6 +84,26 @@ _REPEATS = rf"""WITH d AS MATERIALIZED (SELECT doc_id, {_WORDS.format("coalesce(
     SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(kept, 0) AS BIGINT) AS n_removed, sha256(coalesce(own, '')) AS kept_sha256 FROM d LEFT JOIN o USING (doc_id)"""
 
 
+#: Bits of every document, counted by part and label, held against every step of every order.
+_AUDIT = rf"""WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+    b AS (SELECT doc_id, part, CASE WHEN len(w) < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
+        + CASE WHEN 100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 5 * length(x) THEN 4 ELSE 0 END + CASE WHEN regexp_matches(x, '[#$%&*|]') THEN 8 ELSE 0 END
+        + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY x) THEN 16 ELSE 0 END AS bits FROM t),
+    m AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+    c AS MATERIALIZED (SELECT part, bits, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (bad) AS h FROM b LEFT JOIN m USING (doc_id) GROUP BY part, bits),
+    f AS (SELECT k, 1 << k AS bit, chr(CAST(65 + k AS INTEGER)) AS letter FROM (SELECT unnest(generate_series(0, 4)) AS k)),
+    o AS (SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS q FROM f a, f b, f c, f d, f e
+        WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND (a.bit | b.bit | c.bit | d.bit | e.bit) = 31),
+    s AS (SELECT filter_order, step, q[step] AS own, CAST(coalesce(list_sum(q[1:step - 1]), 0) AS BIGINT) AS before FROM o, (SELECT unnest(generate_series(1, 5)) AS step)),
+    r AS (SELECT part, filter_order, step, own, sum(CASE WHEN (bits & (own + before)) = 0 THEN n ELSE 0 END) AS kept,
+        sum(CASE WHEN (bits & before) = 0 AND (bits & own) > 0 THEN n ELSE 0 END) AS removed, sum(CASE WHEN (bits & before) > 0 AND (bits & own) > 0 THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN bits = own THEN n ELSE 0 END) AS unique_fails, sum(CASE WHEN (bits & before) = 0 AND (bits & own) > 0 THEN g ELSE 0 END) AS good_lost,
+        sum(CASE WHEN (bits & before) = 0 AND (bits & own) > 0 THEN h ELSE 0 END) AS toxic_lost FROM c, s GROUP BY part, filter_order, step, own)
+    SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+        CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+        CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL of the exact relational operators; the others need a tokenizer, a model, pixels or edit distances, or miss by chance (8)."""
-    return {"op3_jaccard_join": _JACCARD, "op5_substring_dedup": _REPEATS}
+    return {"op3_jaccard_join": _JACCARD, "op5_substring_dedup": _REPEATS, "op13_filter_audit": _AUDIT}
