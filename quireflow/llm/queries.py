@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quireflow.llm import audit, bpe, decontam, jaccard, langid, lines, media, neighbours, quality, substrings, token_counts, toxicity
+from quireflow.llm import audit, bpe, decontam, jaccard, langid, lines, media, neighbours, phrases, quality, substrings, token_counts, toxicity
 from quireflow.llm.common import table
 
 
@@ -59,12 +59,16 @@ def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=10, inside=50, top=2000)
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_byte_bpe, op3_jaccard_join, op4_toxicity, op5_substring_dedup, op6_token_counts, op7_language_id, op8_line_dedup, op9_media_columns, op10_decontamination, op11_nearest_neighbours, op13_filter_audit)}
+    return {f.__name__: f for f in (op1_quality, op2_byte_bpe, op3_jaccard_join, op4_toxicity, op5_substring_dedup, op6_token_counts, op7_language_id, op8_line_dedup, op9_media_columns, op10_decontamination, op11_nearest_neighbours, op12_phrase_mining, op13_filter_audit)}
 
 
 #: Words as the contracts of operators 3 and 5 have them.
@@ -89,6 +93,19 @@ _REPEATS = rf"""WITH d AS MATERIALIZED (SELECT doc_id, {_WORDS.format("coalesce(
     SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(kept, 0) AS BIGINT) AS n_removed, sha256(coalesce(own, '')) AS kept_sha256 FROM d LEFT JOIN o USING (doc_id)"""
 
 
+#: Phrases of one to three words, the cuts of the frequent ones, and the longer ones that they stand in.
+_PHRASES = r"""WITH p AS MATERIALIZED (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+    f AS MATERIALIZED (SELECT lang, g, count(*) AS f FROM (SELECT lang, unnest(list_transform(generate_series(1, len(w) - k + 1), lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) AS g FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k) GROUP BY lang, g),
+    n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+    c AS MATERIALIZED (SELECT lang, g, f AS a, string_split(g, ' ') AS x FROM f WHERE f >= 10 AND contains(g, ' ')),
+    u AS (SELECT lang, g, a, k, array_to_string(x[:k], ' ') AS g1, array_to_string(x[k + 1:], ' ') AS g2 FROM c, (SELECT unnest([1, 2]) AS k) WHERE k < len(x)),
+    s AS (SELECT u.lang, u.g, u.a, k, h.f AS l, t.f AS r, (1000000::HUGEINT * u.a * u.a) // (h.f::HUGEINT * t.f) AS score FROM u JOIN f h ON h.lang = u.lang AND h.g = g1 JOIN f t ON t.lang = u.lang AND t.g = g2),
+    b AS (SELECT lang, g, a, l, r, score FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+    i AS (SELECT lang, g, max(a) AS a FROM (SELECT lang, array_to_string(x[:2], ' ') AS g, a FROM c WHERE len(x) = 3 UNION ALL SELECT lang, array_to_string(x[2:], ' '), a FROM c WHERE len(x) = 3) GROUP BY lang, g),
+    o AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, encode(b.g)) AS rank FROM b LEFT JOIN i ON i.lang = b.lang AND i.g = b.g WHERE i.a IS NULL OR 100 * i.a < 50 * b.a)
+    SELECT lang, rank, g AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM o JOIN n USING (lang) WHERE rank <= 2000"""
+
 #: Bits of every document, counted by part and label, held against every step of every order.
 _AUDIT = rf"""WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
     b AS (SELECT doc_id, part, CASE WHEN len(w) < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
@@ -111,4 +128,4 @@ _AUDIT = rf"""WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(t
 
 def oracle_sql() -> dict[str, str]:
     """SQL of the exact relational operators; the others need a tokenizer, a model, pixels or edit distances, or miss by chance (8)."""
-    return {"op3_jaccard_join": _JACCARD, "op5_substring_dedup": _REPEATS, "op13_filter_audit": _AUDIT}
+    return {"op3_jaccard_join": _JACCARD, "op5_substring_dedup": _REPEATS, "op12_phrase_mining": _PHRASES, "op13_filter_audit": _AUDIT}
