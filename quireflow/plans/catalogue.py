@@ -16,8 +16,8 @@ from quireflow.config import Integration, Ocr, Settings, overlay
 from quireflow.functions import coerce, geometry, names, parsing
 from quireflow.operators import images, integration, judgments, recognition, routing, summaries, tiles
 from quireflow.plans import stages, stand_ins, whole
-from quireflow.sinks import outputs
-from quireflow.sources import scans, texts
+from quireflow.sinks import committed, outputs
+from quireflow.sources import pdf, scans, texts
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -447,6 +447,45 @@ def document_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("session_id", (F.col("metadata")["bytes"] != "0").alias("success"), F.col("metadata")["bytes"].alias("bytes"))
 
 
+def _pdfs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as PDF files of five kinds, by doc_id: plain, packed, updated, damaged, and no PDF; the title is the source."""
+    own = _laid_out(spark, sf_dir).join(table(spark, sf_dir, "documents").select(F.format_string("doc_%d", "doc_id").alias("session_id"), (F.col("doc_id") % 5).cast("int").alias("kind"), F.col("source").alias("title")), "session_id")
+    return stand_ins.as_pdfs(own)
+
+
+_NO_PDF = r"""(SELECT doc_id FROM documents WHERE doc_id % 5 = 4 OR text = '')"""
+_LINES = "ceil(length(substr(t, k * 10000 + 1, 10000)) / 40.0)"
+
+
+@query(f"""SELECT 'doc_' || doc_id AS session_id, true AS success, CAST(k + 1 AS INTEGER) AS page_number, CAST((length(t) + 9999) // 10000 AS INTEGER) AS total_pages, 40.0::DOUBLE AS width, {_LINES}::DOUBLE AS height
+    FROM {_TEXT_PAGES} WHERE doc_id % 5 < 4 UNION ALL SELECT 'doc_' || doc_id, false, NULL, NULL, NULL, NULL FROM {_NO_PDF}""")
+def pdf_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of PDFs with their size, read from the documents' own structure; what is no PDF is a failure."""
+    return scans.pages(_pdfs(spark, sf_dir), pdf.PdfDocument).select("session_id", "success", "page_number", "total_pages", "width", "height")
+
+
+@query(f"""SELECT 'doc_' || doc_id AS session_id, true AS valid, NULL AS failure, CAST((length(t) + 9999) // 10000 AS INTEGER) AS total_pages, CAST(least(600, greatest(50, least(2048 * 72.0::DOUBLE / 40, 2560 * 72.0::DOUBLE / {_LINES}))) AS INTEGER) AS suggested_dpi,
+    source AS title, 'PDF 1.7' AS format FROM {_TEXT_PAGES} JOIN documents USING (doc_id) WHERE k = 0 AND doc_id % 5 < 4
+    UNION ALL SELECT 'doc_' || doc_id, false, 'unreadable', NULL, NULL, CASE WHEN doc_id % 5 < 4 THEN source END, CASE WHEN doc_id % 5 < 4 THEN 'PDF 1.7' END FROM {_NO_PDF} JOIN documents USING (doc_id)""")
+def pdf_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validity, pages, suggested resolution and entries of PDFs."""
+    docs = _pdfs(spark, sf_dir)
+    info = scans.document_info(docs, pdf.PdfDocument).select("session_id", "valid", "failure", "total_pages", F.when(F.col("valid"), F.col("suggested_dpi")).alias("suggested_dpi"))
+    entries = scans.document_metadata(docs, pdf.PdfDocument).select("session_id", F.col("metadata")["title"].alias("title"), F.col("metadata")["format"].alias("format"))
+    return info.join(entries, "session_id")
+
+
+@query(f"""SELECT 'doc_' || doc_id || '.pdf' AS file, CAST(k + 1 AS INTEGER) AS page_number, 40 AS width, CAST({_LINES} AS INTEGER) AS height, md5(CASE WHEN doc_id % 5 = 1 THEN reverse(p) ELSE p END) AS image_md5
+    FROM (SELECT *, rpad(substr(t, k * 10000 + 1, 10000), CAST(40 * {_LINES} AS INTEGER), ' ') AS p FROM {_TEXT_PAGES}) WHERE doc_id % 5 < 4""")
+def pdf_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PDFs written as files that are committed together, listed, and rendered by ranges of pages from where they are."""
+    folder = committed.shared_folder(spark, "pdf-files")
+    committed.write_named(_pdfs(spark, sf_dir).select(F.col("path").alias("name"), "content"), folder)
+    sized = scans.pages(scans.documents(spark, folder), pdf.PdfDocument).filter("success").withColumn("dpi", F.lit(72))
+    drawn = scans.render_files(sized, pdf.PdfDocument, size=4)
+    return drawn.select(names.basename(F.col("path")).alias("file"), "page_number", "width", "height", F.md5("image").alias("image_md5"))
+
+
 @query("""SELECT conv_id, CAST(CASE WHEN count(*) FILTER (role = 'user') = count(*) FILTER (role = 'assistant') THEN count(*) FILTER (role = 'user') ELSE 0 END AS INTEGER) AS pairs FROM conversations GROUP BY conv_id""")
 def paired_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     of = lambda r: F.collect_list(F.when(F.col("role") == r, F.col("turn")))

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import io
-import os
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,6 +13,7 @@ from pyspark.sql import functions as F
 from quireflow.config import Ocr
 from quireflow.functions.coerce import strip
 from quireflow.operators.images import pixels_of
+from quireflow.sinks.committed import write_named
 
 
 def result_json(cfg: Ocr = Ocr(), extra: dict[str, Column] | None = None) -> Column:
@@ -54,31 +53,15 @@ def group_info() -> Column:
 
 
 def write_files(rows: DataFrame, folder: str) -> dict[str, str]:
-    """A file for each row (name, content: text or bytes) below a folder that driver and executors share; errors by name.
+    """A file for each row (name, content: text or bytes) below a folder of any file system, all of them or none.
 
-    Tasks write; a file appears under its name when it is whole, so a task that
-    runs again leaves the same files.  The driver gets the errors only.
+    The result is empty; what keeps the job from writing is raised as OSError.
     """
-    root = folder.removeprefix("file://")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, errors = [], []
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                try:
-                    path = os.path.join(root, name)
-                    os.makedirs(os.path.dirname(path), exist_ok=True)
-                    part = f"{path}.{uuid.uuid4().hex}.part"
-                    with open(part, "wb") as f:
-                        f.write(content)
-                    os.replace(part, path)
-                except Exception as e:
-                    names.append(name)
-                    errors.append(f"{type(e).__name__}: {e}")
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(errors, pa.string())], ["name", "error"])
-
-    failed = rows.select("name", F.col("content").cast("binary").alias("content")).filter("name is not null and content is not null")
-    return {r.name: r.error for r in failed.mapInArrow(run, "name string, error string").collect()}
+    try:
+        write_named(rows, folder)
+    except Exception as e:
+        raise OSError(f"{folder}: {e}") from e
+    return {}
 
 
 #: What the files of an engine's results are called after their group (fixed values).
@@ -101,8 +84,7 @@ def write_result_files(results: DataFrame, folder: str, engine: str, body: Colum
 
     def job(rows: DataFrame) -> Callable[[], None]:
         def write() -> None:
-            if errors := write_files(rows, folder):
-                raise OSError("; ".join(f"{k}: {v}" for k, v in sorted(errors.items())[:3]))
+            write_files(rows, folder)
 
         return write
 

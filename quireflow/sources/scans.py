@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 from typing import Any, Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from quireflow.config import Render
 from quireflow.functions.geometry import optimal_dpi, scaled_dpi
 from quireflow.functions.names import page_image_name, session_id
 from quireflow.operators.routing import document_failure, needs_rerender
+from quireflow.sinks.committed import read_bytes
 
 
 class Document(Protocol):
@@ -91,38 +93,70 @@ def document_info(docs: DataFrame, opener: Callable[[bytes], Document], cfg: Ren
     return first.select("session_id", "path", failure.isNull().alias("valid"), "error", failure.alias("failure"), "total_pages", "width", "height", optimal_dpi(F.col("width"), F.col("height"), cfg).alias("suggested_dpi"))
 
 
-def render_pages(docs: DataFrame, page_rows: DataFrame, opener: Callable[[bytes], Document], dpi: str = "dpi") -> DataFrame:
-    """Rendered images (output_path, width, height, image bytes) of page rows at their resolution; failures are rows.
+#: Pages of a document that one task renders at a time.
+PAGES_PER_RANGE = 64
+_RENDERED = "path string, page_number int, used_dpi int, success boolean, error string, width int, height int, image binary"
 
-    A document meets its pages once, is opened once, and gives one image at a time.
-    """
-    wanted = page_rows.groupBy("path").agg(F.array_sort(F.collect_list(F.struct(F.col("page_number").cast("int").alias("page_number"), F.col(dpi).cast("int").alias("dpi")))).alias("wanted"))
-    own = wanted.join(docs.select("path", "content"), "path").select("path", "content", F.transform("wanted", lambda x: x["page_number"]).alias("numbers"), F.transform("wanted", lambda x: x["dpi"]).alias("dpis"))
-    names = ["path", "page_number", "used_dpi", "success", "error", "width", "height", "image"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for path, content, numbers, dpis in zip(pdf["path"], pdf["content"], pdf["numbers"], pdf["dpis"], strict=True):
+def _wanted(page_rows: DataFrame, keys: list[str], dpi: str) -> DataFrame:
+    """The keys with the numbers and resolutions of their pages, in order."""
+    one = F.struct(F.col("page_number").cast("int").alias("page_number"), F.col(dpi).cast("int").alias("dpi"))
+    own = page_rows.groupBy(*keys).agg(F.array_sort(F.collect_list(one)).alias("wanted"))
+    return own.select(*keys, F.col("wanted.page_number").alias("numbers"), F.col("wanted.dpi").alias("dpis"))
+
+
+def _rendered(opener: Callable[[bytes], Document], read: Callable[[pa.Scalar], bytes], given: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (path, numbers, dpis and the column to read bytes from) as one batch a page; an error is a row."""
+    kinds = [pa.string(), pa.int32(), pa.int32(), pa.bool_(), pa.string(), pa.int32(), pa.int32(), pa.binary()]
+    names = [x.split()[0] for x in _RENDERED.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [batch.column(c).to_pylist() for c in ("path", "numbers", "dpis")]
+            for at, (path, numbers, dpis) in enumerate(zip(*lists, strict=True)):
                 doc, broken = None, None
                 try:
-                    doc = opener(bytes(content))
+                    doc = opener(read(batch.column(given)[at]))
                 except Exception as e:
                     broken = e
-                for page, res in zip(numbers, dpis, strict=True):
+                for page, dpi in zip(numbers, dpis, strict=True):
                     try:
                         if broken is not None:
                             raise broken
-                        row = (True, None, *doc.render(int(page) - 1, int(res)))
+                        row = (True, None, *doc.render(page - 1, dpi))
                     except Exception as e:
                         row = (False, f"{type(e).__name__}: {e}", None, None, None)
-                    yield pd.DataFrame([(path, int(page), int(res), *row)], columns=names).astype({"width": "Int32", "height": "Int32"})
+                    yield pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in zip((path, page, dpi, *row), kinds, strict=True)], names)
                 if doc is not None:
                     doc.close()
 
-    out = own.mapInPandas(run, "path string, page_number int, used_dpi int, success boolean, error string, width int, height int, image binary")
+    return run
+
+
+def _with_names(out: DataFrame) -> DataFrame:
     return out.withColumns({"output_path": page_image_name(F.col("path"), F.col("page_number")), "zoom_factor": F.col("used_dpi") / 72.0, "file_size_bytes": F.octet_length("image").cast("long")})
 
 
+def render_pages(docs: DataFrame, page_rows: DataFrame, opener: Callable[[bytes], Document], dpi: str = "dpi") -> DataFrame:
+    """Rendered images (output_path, width, height, image bytes) of page rows at their resolution; failures are rows.
+
+    A document meets its pages once, is opened once, and gives one image at a time.
+    """
+    own = _wanted(page_rows, ["path"], dpi).join(docs.select("path", "content"), "path")
+    return _with_names(own.mapInArrow(_rendered(opener, lambda x: x.as_py(), "content"), _RENDERED))
+
+
+def render_files(page_rows: DataFrame, opener: Callable[[bytes], Document], dpi: str = "dpi", size: int = PAGES_PER_RANGE) -> DataFrame:
+    """As :func:`render_pages`, of files: only paths and page numbers travel, and a long document is shared by tasks.
+
+    The pages of a document are dealt by ranges of ``size``; a range reads the
+    file once, from where its path says it is.
+    """
+    at = F.floor((F.col("page_number") - 1) / size).alias("page_range")
+    own = _wanted(page_rows.select("path", "page_number", F.col(dpi).alias("dpi"), at), ["path", "page_range"], "dpi")
+    return _with_names(own.mapInArrow(_rendered(opener, lambda x: read_bytes(x.as_py()), "path"), _RENDERED))
+
+
 def rerender(docs: DataFrame, states: DataFrame, opener: Callable[[bytes], Document], cfg: Render = Render()) -> DataFrame:
     """Pages judged hardly readable, rendered again at a higher resolution under a name of their own."""
     own = states.filter(needs_rerender(F.col("success"), F.col("readability_issues"))).withColumn("dpi", scaled_dpi(F.col("used_dpi"), cfg=cfg))
