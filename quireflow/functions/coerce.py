@@ -83,9 +83,22 @@ class JsonField:
 
 
 def round_mean(c: Column, places: int = 3) -> Column:
-    """A double to ``places`` decimals; one that lies exactly between two goes to the even one."""
-    exact = c * 2.0 ** (places + 1)  # only multiples of this power of two can lie exactly between two decimals
-    return F.when(exact == F.floor(exact), F.bround(c, places)).otherwise(F.round(c, places))
+    """The decimal of ``places`` (7 at most) nearest to the exact value of a double; one exactly between two goes to the even one.
+
+    The scaled value is kept as a double and the error of its product, which is
+    a double, too: the number's halves of 26 bits multiply without error.  Numbers of
+    2^52 and more when scaled stay as they are.
+    """
+    if not 0 <= places <= 7:
+        raise ValueError("0 to 7 places")
+    scale = float(10**places)
+    high = c * 134217729.0 - (c * 134217729.0 - c)
+    scaled = c * scale
+    error = (c - high) * scale - (scaled - high * scale)
+    low = F.floor(scaled).cast("double")
+    beyond = (scaled - (low + 0.5)) + error
+    whole = F.when((beyond > 0) | ((beyond == 0) & (low % 2 != 0)), low + 1).otherwise(low)
+    return F.when(F.abs(scaled) < 2.0**52, whole / scale).otherwise(c)
 
 
 def as_flag_text(c: Column) -> Column:

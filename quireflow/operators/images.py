@@ -202,6 +202,26 @@ def dewarp_images(df: DataFrame, detector: Callable[[], Detector], image: str =
     return out.select(*extra, image, F.when(~skipped, F.col("error")).alias("error"), skipped.alias("skipped"))
 
 
+def differences(df: DataFrame, left: str, right: str, keys: list[str]) -> DataFrame:
+    """The keys, mean and most: how far the samples of two images of one shape are apart; null where the shapes differ."""
+    names = [*keys, "mean", "most"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mean, most = [], []
+            for a, b in zip(batch.column(len(keys)), batch.column(len(keys) + 1), strict=True):
+                sides = [np.frombuffer(x.as_buffer(), np.uint8).astype(np.int16) if x.is_valid else np.empty(0) for x in (a, b)]
+                far = np.abs(sides[0] - sides[1]) if sides[0].shape == sides[1].shape and sides[0].size else None
+                mean.append(None if far is None else float(far.mean()))
+                most.append(None if far is None else int(far.max()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], pa.array(mean, pa.float64()), pa.array(most, pa.int32())], names)
+
+    same = (F.col(f"{left}.height") == F.col(f"{right}.height")) & (F.col(f"{left}.nChannels") == F.col(f"{right}.nChannels"))
+    own = df.select(*keys, F.when(same, F.col(f"{left}.data")).alias("a"), F.when(same, F.col(f"{right}.data")).alias("b"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[: len(keys)])
+    return own.mapInArrow(run, f"{fields}, mean double, most int")
+
+
 def bright_box(threshold: int = 128) -> Detector:
     """A stand-in detector: the bounding box of bright pixels."""
 

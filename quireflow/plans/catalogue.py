@@ -525,6 +525,17 @@ def image_rotate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "angle", "image.height", "image.width", F.md5("image.data").alias("image_md5"), "error")
 
 
+@query(f"""SELECT doc_id, h AS height, 16 AS width, true AS close FROM {_PIXELS}""")
+def image_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images encoded as JPEG files that are committed together, decoded by Spark's image source, and held against the originals: close is a mean of at most 3 of 255."""
+    folder, own = committed.shared_folder(spark, "image-jpeg"), _images(spark, sf_dir)
+    outputs.write_files(outputs.image_files(own, F.format_string("doc_%d.jpg", "doc_id"), outputs.jpeg), folder)
+    number = F.regexp_extract("path", r"doc_(\d+)\.jpg$", 1).cast("long").alias("doc_id")
+    read = scans.images(spark, folder).filter("success").select(number, F.col("image").alias("decoded"))
+    apart = images.differences(own.join(read, "doc_id").withColumns({"height": F.col("decoded.height"), "width": F.col("decoded.width")}), "image", "decoded", ["doc_id", "height", "width"])
+    return apart.select("doc_id", "height", "width", F.coalesce(F.col("mean") <= 3, F.lit(False)).alias("close"))
+
+
 @query()
 def image_dewarp(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = images.dewarp_images(_images(spark, sf_dir), lambda: images.bright_box(100))
@@ -585,6 +596,16 @@ def merge_typed_judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judgments.merge_judgments(own, ["user_id"], "event_id").select("user_id", "images", "has_table_elements", "page_count", "confidence_score")
 
 
+# 2^70 times a double of at least 2^-17 is whole, so the side of the tie that it lies on is decided without error
+@query("""SELECT event_id, CASE WHEN k % 2 = 0 THEN k / 2 WHEN k < 1 THEN 0 WHEN m * 2000 > k * one OR m * 2000 = k * one AND k % 4 = 3 THEN k // 2 + 1 ELSE k // 2 END / 1000.0::DOUBLE AS confidence_score
+    FROM (SELECT event_id, CAST(event_id % 2001 AS HUGEINT) AS k, CAST((event_id % 2001) / 2000.0::DOUBLE * 1180591620717411303424.0::DOUBLE AS HUGEINT) AS m, 1180591620717411303424::HUGEINT AS one FROM events)""")
+def exact_rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confidences of k / 2000, every second of which is nearly between two decimals, rounded by their exact value."""
+    body = F.to_json(F.struct(((F.col("event_id") % 2001) / F.lit(2000.0)).alias("confidence_score")))
+    own = table(spark, sf_dir, "events").select("event_id", F.lit(0).alias("image_idx"), F.lit(True).alias("success"), *judgments.page_count_columns(body))
+    return judgments.merge_judgments(own, ["event_id"], "image_idx").select("event_id", "confidence_score")
+
+
 @query("""SELECT doc_id, CAST(row_number() OVER (ORDER BY coalesce(CASE WHEN doc_id % 7 > 0 THEN doc_id % 97 END, 0), doc_id) AS BIGINT) AS place FROM documents""")
 def page_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 7 > 0, F.col("doc_id") % 97).alias("page_number"))

@@ -79,7 +79,7 @@ class PdfWriter:
     def __init__(self, content: bytes, kind: int, title: str):
         self.kind, self.title = kind, title
         self.parts = [content[at : at + PAGE_BYTES] for at in range(0, len(content), PAGE_BYTES)]
-        self.out, self.places = b"%PDF-1.7\n%\xe2\xe3\xcf\xd3\n", {}
+        self.out, self.places = bytearray(b"%PDF-1.7\n%\xe2\xe3\xcf\xd3\n"), {}
 
     def add(self, number: int, body: bytes) -> None:
         self.places[number] = len(self.out)
@@ -134,7 +134,7 @@ class PdfWriter:
         if self.kind == UPDATED:
             self.add(3, b"<< /Title (%s) >>" % self.escaped())
             self.out += self.table(b"/Prev %d" % start, {3: self.places[3]})
-        return self.out.replace(b"startxref\n", b"startxref\n7") if self.kind == DAMAGED else self.out
+        return bytes(self.out.replace(b"startxref\n", b"startxref\n7") if self.kind == DAMAGED else self.out)
 
     def _packed(self, packed: list[tuple[int, bytes]]) -> bytes:
         heads, bodies = [], b""
@@ -152,7 +152,7 @@ class PdfWriter:
         entries = b"/Type /XRef /Size %d /W [1 4 2] /Index [%s] /Root 1 0 R /Info 3 0 R /DecodeParms << /Predictor 12 /Columns 7 >>" % (numbers[-1] + 1, index)
         at = len(self.out)
         self.add(5, self.stream(entries, b"".join(up)))
-        return self.out + b"startxref\n%d\n%%%%EOF\n" % at
+        return bytes(self.out + b"startxref\n%d\n%%%%EOF\n" % at)
 
 
 def as_pdfs(docs: DataFrame) -> DataFrame:

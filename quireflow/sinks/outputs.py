@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import io
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quireflow.config import Ocr
 from quireflow.functions.coerce import strip
+from quireflow.functions.jpeg import encoder
 from quireflow.operators.images import pixels_of
 from quireflow.sinks.committed import write_named
 
@@ -99,15 +99,8 @@ def judgment_files(judgments: DataFrame, kind: str) -> DataFrame:
 
 
 def jpeg(quality: int = 95) -> Callable[[np.ndarray], bytes]:
-    """An encoder of pixels as JPEG, where an imaging library is installed."""
-    from PIL import Image
-
-    def encode(pixels: np.ndarray) -> bytes:
-        out = io.BytesIO()
-        Image.fromarray(pixels[..., 0] if pixels.shape[2] == 1 else pixels[..., 2::-1]).save(out, "JPEG", quality=quality)
-        return out.getvalue()
-
-    return encode
+    """An encoder of pixels as JPEG."""
+    return encoder(quality)
 
 
 def netpbm(pixels: np.ndarray) -> bytes:

@@ -150,10 +150,14 @@ def render_files(page_rows: DataFrame, opener: Callable[[bytes], Document], dpi:
     """As :func:`render_pages`, of files: only paths and page numbers travel, and a long document is shared by tasks.
 
     The pages of a document are dealt by ranges of ``size``; a range reads the
-    file once, from where its path says it is.
+    file once, from where its path says it is.  There are as many tasks as the
+    session has shuffle partitions: by the few bytes of its keys adaptive
+    execution would give all work to one.
     """
     at = F.floor((F.col("page_number") - 1) / size).alias("page_range")
-    own = _wanted(page_rows.select("path", "page_number", F.col(dpi).alias("dpi"), at), ["path", "page_range"], "dpi")
+    tasks = int(page_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = page_rows.select("path", "page_number", F.col(dpi).alias("dpi"), at).repartition(tasks, "path", "page_range")
+    own = _wanted(dealt, ["path", "page_range"], "dpi")
     return _with_names(own.mapInArrow(_rendered(opener, lambda x: read_bytes(x.as_py()), "path"), _RENDERED))
 
 

@@ -1,5 +1,7 @@
 """Column functions against vectors worked out by hand."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,3 +109,14 @@ def test_names(spark):
     df = spark.createDataFrame([("/a_rot.d/scan.v1.PDF", 1000, 9)], "p string, n int, k int")
     row = df.select(names.stem(F.col("p")), names.page_image_name(F.col("p"), F.col("n")), names.group_key(F.col("n"), F.col("k")), names.with_suffix(F.col("p")), names.media_type(F.col("p"))).first()
     assert tuple(row) == ("scan.v1", "scan.v1_page_1000.jpg", "page_1000_mask10", "/a_rot.d/scan.v1_rot.jpg", "application/pdf")
+
+
+def test_means_round_by_their_exact_value(spark):
+    rng = random.Random(7)
+    inputs = [k / 2000 for k in range(-3000, 3001)] + [rng.uniform(-5, 5) for _ in range(3000)] + [(2 * k + 1) / 2**n for n in range(1, 14) for k in range(40)]
+    inputs += [rng.uniform(-1, 1) * 10.0**e for e in range(-12, 12) for _ in range(10)] + [0.0, 1e300, -1e300, 5e-324, 2.0**52 + 0.5, None]
+    got = values(spark, coerce.round_mean, inputs, "double")
+    assert [x for x, y in zip(inputs, got, strict=True) if (None if x is None else round(x, 3)) != y] == []
+    assert values(spark, lambda c: coerce.round_mean(c, 1), inputs, "double") == [None if x is None else round(x, 1) for x in inputs]
+    odd = values(spark, coerce.round_mean, [float("inf"), float("-inf"), float("nan")], "double")
+    assert odd[:2] == [float("inf"), float("-inf")] and odd[2] != odd[2]
