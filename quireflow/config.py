@@ -7,6 +7,8 @@ import os
 from dataclasses import dataclass, field, fields, is_dataclass, replace
 from typing import Any
 
+from quireflow.functions import plain_yaml
+
 
 @dataclass(frozen=True)
 class Render:
@@ -131,16 +133,10 @@ def apply_options(settings: Settings, options: dict[str, bool] | None) -> Settin
 
 
 def read_mapping(path: str) -> dict:
-    """A settings or prompt file: JSON, or YAML where a parser is installed."""
+    """A settings or prompt file: JSON, or YAML as far as such files use it."""
     with open(path, encoding="utf-8") as f:
         text = f.read()
-    if path.endswith(".json"):
-        return json.loads(text)
-    try:
-        import yaml
-    except ModuleNotFoundError as e:
-        raise RuntimeError("reading YAML needs a YAML parser; use a .json file instead") from e
-    return yaml.safe_load(text) or {}
+    return json.loads(text) if path.endswith(".json") else plain_yaml.loads(text) or {}
 
 
 def load_settings(path: str | None = None, options: dict[str, bool] | None = None) -> Settings:
