@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quireflow.config import Dewarp
+from quireflow.operators.corners import bends
 from quireflow.schemas import IMAGE
 
 #: Images that a pixel kernel works on at once.
@@ -105,6 +106,32 @@ def bilinear(pixels: np.ndarray, x: np.ndarray, y: np.ndarray, border: int = 255
     return np.rint(top * (1 - fy) + low * fy).astype(np.uint8)
 
 
+#: Side of the output tiles that are sampled at once.
+TILE = 256
+
+
+def remap(pixels: np.ndarray, shape: tuple[int, int], source: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], border: int = 255, tile: int = TILE) -> np.ndarray:
+    """An image of this shape whose pixel (x, y) is sampled at source(x, y).
+
+    Worked tile by tile, each from the window of pixels that it needs, so what
+    is held beside both images is bounded by the tile.
+    """
+    h, w = shape
+    out = np.empty((h, w, pixels.shape[2]), np.uint8)
+    for top in range(0, h, tile):
+        for left in range(0, w, tile):
+            y, x = np.mgrid[top : min(top + tile, h), left : min(left + tile, w)].astype(float)
+            x, y = source(x, y)
+            x0, y0 = (int(np.clip(np.floor(v.min()), 0, n)) for v, n in ((x, pixels.shape[1]), (y, pixels.shape[0])))
+            x1, y1 = (int(np.clip(np.floor(v.max()) + 2, 0, n)) for v, n in ((x, pixels.shape[1]), (y, pixels.shape[0])))
+            part = out[top : top + tile, left : left + tile]
+            if x0 >= x1 or y0 >= y1:
+                part[:] = border
+            else:
+                part[:] = bilinear(pixels[y0:y1, x0:x1], x - x0, y - y0, border)
+    return out
+
+
 def turn(pixels: np.ndarray, angle: int, compat: bool = False) -> np.ndarray:
     """Rotate by an angle, 90 meaning clockwise (``compat``: the other way); other angles enlarge the canvas, white."""
     angle = int(angle)
@@ -117,8 +144,12 @@ def turn(pixels: np.ndarray, angle: int, compat: bool = False) -> np.ndarray:
     a = math.radians(angle if compat else -angle)
     cos, sin = abs(math.cos(a)), abs(math.sin(a))
     nw, nh = int(h * sin + w * cos), int(h * cos + w * sin)
-    xs, ys = np.meshgrid(np.arange(nw) - nw / 2, np.arange(nh) - nh / 2)
-    return bilinear(pixels, math.cos(a) * xs - math.sin(a) * ys + w // 2, math.sin(a) * xs + math.cos(a) * ys + h // 2)
+
+    def source(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        x, y = x - nw / 2, y - nh / 2
+        return math.cos(a) * x - math.sin(a) * y + w // 2, math.sin(a) * x + math.cos(a) * y + h // 2
+
+    return remap(pixels, (nh, nw), source)
 
 
 def rotate_images(df: DataFrame, image: str = "image", angle: str = "angle", compat: bool = False, extra: list[str] | None = None) -> DataFrame:
@@ -155,23 +186,41 @@ def edge_shift(corners: np.ndarray, width: int, points: int) -> tuple[np.ndarray
     return along(corners[0], corners[1]), along(corners[3], corners[2])
 
 
-def dewarp_maps(shape: tuple[int, int], corners: np.ndarray, cfg: Dewarp = Dewarp(), compat: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Sampling maps (x, y).  The documented intent applies the corners' homography; ``compat`` keeps the identity.
+def dewarp_source(shape: tuple[int, int], corners: np.ndarray, cfg: Dewarp = Dewarp(), compat: bool = False, edges: tuple[np.ndarray, np.ndarray] | None = None) -> Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """Where pixels (x, y) of the straightened page come from.
 
-    The edge correction is one outer product over rows and columns.
+    The documented intent applies the corners' homography and takes back how the
+    edges bend (``edges``: polynomials of the upper and the lower one); ``compat``
+    keeps the identity and shifts by the formula of the original.
     """
     h, w = shape
-    x, y = np.meshgrid(np.arange(w, dtype=float), np.arange(h, dtype=float))
-    if not compat:
-        box = np.array([[0, 0], [w - 1, 0], [w - 1, h - 1], [0, h - 1]], float)
-        m = homography(box, corners)
+
+    def share(v: np.ndarray, n: int) -> np.ndarray:
+        return v / max(n - 1, 1)
+
+    if compat:
+        upper, lower = edge_shift(corners, w, cfg.num_grid_lines) if cfg.enable_strong_correction and w > 1 and h > 1 else (np.zeros(w), np.zeros(w))
+
+        def shifted(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            at = x.astype(int)
+            return x, y + (upper[at] * (1 - share(y, h)) + lower[at] * share(y, h)) * cfg.threshold_coefficient
+
+        return shifted
+    m = homography(np.array([[0, 0], [w - 1, 0], [w - 1, h - 1], [0, h - 1]], float), corners)
+    upper, lower = edges or (np.zeros(1), np.zeros(1))
+
+    def straight(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         d = m[2, 0] * x + m[2, 1] * y + m[2, 2]
-        x, y = (m[0, 0] * x + m[0, 1] * y + m[0, 2]) / d, (m[1, 0] * x + m[1, 1] * y + m[1, 2]) / d
-    elif cfg.enable_strong_correction and w > 1 and h > 1:
-        upper, lower = edge_shift(corners, w, cfg.num_grid_lines)
-        share = (np.arange(h) / (h - 1))[:, None]
-        y = y + (upper[None] * (1 - share) + lower[None] * share) * cfg.threshold_coefficient
-    return x, y
+        bent = np.polynomial.polynomial.polyval(share(x, w), upper) * (1 - share(y, h)) + np.polynomial.polynomial.polyval(share(x, w), lower) * share(y, h)
+        return (m[0, 0] * x + m[0, 1] * y + m[0, 2]) / d, (m[1, 0] * x + m[1, 1] * y + m[1, 2]) / d + bent
+
+    return straight
+
+
+def dewarp_maps(shape: tuple[int, int], corners: np.ndarray, cfg: Dewarp = Dewarp(), compat: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """The sampling maps (x, y) of a whole page."""
+    y, x = np.mgrid[0 : shape[0], 0 : shape[1]].astype(float)
+    return dewarp_source(shape, corners, cfg, compat)(x, y)
 
 
 def dewarp(pixels: np.ndarray, detector: Detector, cfg: Dewarp = Dewarp(), compat: bool = False) -> tuple[np.ndarray, bool]:
@@ -179,7 +228,9 @@ def dewarp(pixels: np.ndarray, detector: Detector, cfg: Dewarp = Dewarp(), compa
     found = detector(pixels)
     if found is None or found[0] < cfg.confidence_threshold:
         return pixels, True
-    out = bilinear(pixels, *dewarp_maps(pixels.shape[:2], np.asarray(found[1], float), cfg, compat))
+    corners = np.asarray(found[1], float)
+    edges = bends(pixels, corners, cfg.num_grid_lines) if cfg.enable_strong_correction and not compat else None
+    out = remap(pixels, pixels.shape[:2], dewarp_source(pixels.shape[:2], corners, cfg, compat, edges))
     m = cfg.crop_margin_px
     return (out[m : out.shape[0] - m, m : out.shape[1] - m] if m else out), False
 

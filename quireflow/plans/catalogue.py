@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quireflow.config import Integration, Ocr, Settings, overlay
+from quireflow.config import Dewarp, Integration, Ocr, Settings, overlay
 from quireflow.functions import coerce, geometry, names, parsing
 from quireflow.operators import images, integration, judgments, recognition, routing, summaries, tiles
 from quireflow.plans import stages, stand_ins, whole
@@ -536,9 +536,13 @@ def image_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apart.select("doc_id", "height", "width", F.coalesce(F.col("mean") <= 3, F.lit(False)).alias("close"))
 
 
-@query()
+# a shift by whole pixels moves the middle of a row along
+@query(f"""WITH p AS (SELECT doc_id, h, t, ascii(t) % 5 - 2 AS dx, ascii(substr(t, 2, 1)) % 5 - 2 AS dy FROM {_PIXELS}),
+    r AS (SELECT doc_id, k, substr(t, CAST(1 + (k + dy) * 16 + 2 + dx AS BIGINT), 12) AS line FROM (SELECT *, unnest(generate_series(2, h - 3)) AS k FROM p))
+    SELECT doc_id, CAST(count(*) AS INTEGER) AS height, 12 AS width, md5(string_agg(line, '' ORDER BY k)) AS image_md5, CAST(NULL AS VARCHAR) AS error FROM r GROUP BY doc_id""")
 def image_dewarp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = images.dewarp_images(_images(spark, sf_dir), lambda: images.bright_box(100))
+    """Images straightened to corners that lie whole pixels beside their own, cut by the margin that may come from outside."""
+    out = images.dewarp_images(_images(spark, sf_dir), stand_ins.Shifted, cfg=Dewarp(enable_strong_correction=False, crop_margin_px=2))
     return out.select("doc_id", "image.height", "image.width", F.md5("image.data").alias("image_md5"), "error")
 
 
