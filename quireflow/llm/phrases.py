@@ -25,7 +25,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,7 +32,7 @@ from pyspark.sql import functions as F
 from quireflow.llm.common import materialize, small_batches
 
 #: Text bytes of a chunk, and places of one of its rows.
-CHUNK_TEXT, ROW_PLACES = 24_000_000, 500_000
+CHUNK_TEXT, ROW_PLACES = 20_000_000, 500_000
 #: Marks between pieces and between words; A to Z become small, tabs blanks.
 _ENDS, _GAP, _NONE = b".,;:!?\x0a\x0b\x0c\x0d", -1, -2
 _TABLE = bytes.maketrans(_ENDS + b"\t" + bytes(range(65, 91)), b"\n" * len(_ENDS) + b" " + bytes(range(97, 123)))
@@ -43,7 +42,6 @@ HALF = 32
 RANK_PARTS = 64
 
 _CHUNKS = "kind int, chunk long, seq int, code int, lang string, word string, n long, codes binary"
-_KEYS = ["chunk", "level", "key", "id", "seq", "codes"]
 
 
 class Codes(dict):
@@ -127,51 +125,62 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     return own.withColumn("p", part).join(before, "p").withColumn("id", F.when(at < 1 << 31, at).otherwise(full.cast("long"))).drop("p", "m", "before")
 
 
-def _found(keys: np.ndarray, of: np.ndarray) -> np.ndarray:
-    """True where a key is among ``of``, which is sorted."""
-    if not len(of):
-        return np.zeros(len(keys), bool)
-    return of[np.minimum(np.searchsorted(of, keys), len(of) - 1)] == keys
+def _place(keys: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Where each key is in ``of``, which is sorted; -1 for one that isn't."""
+    at = np.searchsorted(of, keys).astype(np.int32)
+    at[at == len(of)] = 0
+    return np.where(of[at] == keys, at, np.int32(-1)) if len(of) else np.full(len(keys), -1, np.int32)
 
 
 def extended(table: pa.Table, length: int) -> pa.Table:
-    """chunk, prefix, word, n: how often a chunk has each phrase of ``length`` words all of whose shorter parts are frequent.
+    """chunk, key, word, n: how often a chunk has each phrase of ``length`` words (2 or 3) whose shorter parts are frequent.
 
     The chunk's rows are its occurrences (level 0), the numbers of its frequent
-    words (level 1) and the keys of its frequent pairs (level 2).
+    words by place (one row of level 1) and the keys of its frequent pairs (one of
+    level 2).  A pair's key
+    holds the numbers of both words; a phrase of three is its first pair's key
+    and the third word.
     """
-    level, key, number = (pc.fill_null(table.column(c), 0).to_numpy() for c in ("level", "key", "id"))
+    chunk, level = table.column("chunk")[0].as_py(), table.column("level").to_numpy()
     rows = np.nonzero(level == 0)[0]
     rows = rows[np.argsort(table.column("seq").take(rows).to_numpy())]
     codes = np.concatenate([np.frombuffer(x.as_buffer(), "<i4") for x in table.column("codes").take(rows)])
-    known = np.full(max(int(codes.max()), 0) + 2, -1, np.int64)  # the last place stands for the gap
-    known[key[level == 1]] = number[level == 1]
+    known = np.full(max(int(codes.max()), 0) + 2, -1, np.int32)  # the last place stands for the gap
+    pairs = np.empty(0, np.int64)
+    for row in np.nonzero(level)[0]:
+        keys = table.column("keys")[row].values.to_numpy()
+        if level[row] == 1:
+            known[keys] = table.column("ids")[row].values.to_numpy()
+        else:
+            pairs = np.sort(keys)
     word = known[codes]
-    prefix, alive = word, word >= 0
-    for k in range(2, length + 1):
-        prefix, last = prefix[:-1], word[k - 1 :]
-        alive = alive[:-1] & alive[1:]  # a phrase goes on only where both of its longest parts are frequent
-        if k < length:
-            joined = prefix << HALF | last
-            alive &= _found(joined, np.sort(key[level == k]))
-            prefix = joined
-    prefix, last = prefix[alive], last[alive]
-    order = np.lexsort((last, prefix))
-    prefix, last = prefix[order], last[order]
-    starts = np.nonzero(np.concatenate([[True], (np.diff(prefix) != 0) | (np.diff(last) != 0)]))[0] if len(order) else order
-    counts = np.diff(np.append(starts, len(order)))
-    chunk = pa.array(np.full(len(starts), table.column("chunk")[0].as_py()), pa.int64())
-    return pa.table([chunk, pa.array(prefix[starts], pa.int64()), pa.array(last[starts], pa.int64()), pa.array(counts, pa.int64())], ["chunk", "prefix", "word", "n"])
-
-
-def _asked(df: DataFrame, level: int, **columns: Column) -> DataFrame:
+    del codes, known, table  # a chunk is most of a task's memory
+    starts = np.nonzero((word[:-1] >= 0) & (word[1:] >= 0))[0]
+    joined = word[starts].astype(np.int64) << HALF | word[starts + 1]
+    if length == 3:  # an occurrence goes on where the pair that begins at its second word is frequent, too
+        own = np.full(len(word), -1, np.int32)
+        own[starts] = _place(joined, pairs)
+        starts = np.nonzero((own[:-1] >= 0) & (own[1:] >= 0))[0]
+        joined = own[starts].astype(np.int64) << HALF | word[starts + 2]
+    del word
+    joined.sort()
+    ends = np.nonzero(np.append(joined[1:] != joined[:-1], True))[0] if len(joined) else starts
+    joined, counts = joined[ends], np.diff(ends, prepend=-1)
+    if length == 3:
+        joined, last = pairs[joined >> HALF] if len(joined) else joined, joined & ((1 << HALF) - 1)
+    else:
+        last = np.zeros(len(joined), np.int64)
+    return pa.table([pa.array(np.full(len(joined), chunk), pa.int64()), pa.array(joined), pa.array(last), pa.array(counts, pa.int32())], ["chunk", "key", "word", "n"])
+
+
+def _rows(df: DataFrame, level: int, **columns: Column) -> DataFrame:
     """Rows for ``extended``, of one level."""
-    kinds = {"key": "long", "id": "long", "seq": "int", "codes": "binary"}
-    return df.select("chunk", F.lit(level).alias("level"), *(columns.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items())).select(*_KEYS)
+    kinds = {"keys": "array<long>", "ids": "array<long>", "seq": "int", "codes": "binary"}
+    return df.select("chunk", F.lit(level).alias("level"), *(columns.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items()))
 
 
 def extend(rows: DataFrame, length: int) -> DataFrame:
-    return rows.groupBy("chunk").applyInArrow(lambda t: extended(t, length), "chunk long, prefix long, word long, n long")
+    return rows.groupBy("chunk").applyInArrow(lambda t: extended(t, length), "chunk long, key long, word long, n int")
 
 
 def floored_score(a: str, first: str, rest: str) -> Column:
@@ -191,22 +200,23 @@ def collocations(docs: DataFrame, least: int = 10, inside: int = 50, top: int =
     small_batches(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text").filter("text is not null")
     store = materialize(texts.mapInArrow(chunks_of, _CHUNKS), "phrase-chunks")
-    vocabulary, places = store.filter("kind = 0"), _asked(store.filter("kind = 1"), 0, seq=F.col("seq"), codes=F.col("codes"))
+    vocabulary, places = store.filter("kind = 0"), _rows(store.filter("kind = 1"), 0, seq=F.col("seq"), codes=F.col("codes"))
     totals = vocabulary.groupBy("lang").agg(F.sum("n").alias("n"))
     words = numbered(vocabulary.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least), "phrase-words")
     words = materialize(words, "phrase-numbers")
     back = vocabulary.join(words.select("lang", "word", "id"), ["lang", "word"])
-    known = materialize(_asked(back, 1, key=F.col("code"), id=F.col("id")), "phrase-known")
+    back = back.groupBy("chunk").agg(F.collect_list(F.col("code").cast("long")).alias("keys"), F.collect_list("id").alias("ids"))
+    known = materialize(_rows(back, 1, keys=F.col("keys"), ids=F.col("ids")), "phrase-known")
 
-    key = F.shiftleft("prefix", HALF).bitwiseOR(F.col("word"))
     of_key = Window.partitionBy("key")
-    pairs = extend(places.unionByName(known), 2).select("chunk", key.alias("key"), "n")
+    pairs = extend(places.unionByName(known), 2)
     pairs = pairs.select("chunk", "key", F.sum("n").over(of_key).alias("f"), (F.min("chunk").over(of_key) == F.col("chunk")).alias("one"))
     pairs = materialize(pairs.filter(F.col("f") >= least), "phrase-pairs")
-    triples = extend(places.unionByName(known).unionByName(_asked(pairs, 2, key=F.col("key"))), 3)
-    triples = triples.groupBy("prefix", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    second = F.shiftleft(F.col("prefix").bitwiseAND((1 << HALF) - 1), HALF).bitwiseOR(F.col("word")).alias("second")
-    triples = materialize(triples.select(F.col("prefix").alias("key"), second, "f"), "phrase-triples")
+    again = _rows(pairs.groupBy("chunk").agg(F.collect_list("key").alias("keys")), 2, keys=F.col("keys"))
+    triples = extend(places.unionByName(known).unionByName(again), 3)
+    triples = triples.groupBy("key", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
+    second = F.shiftleft(F.col("key").bitwiseAND((1 << HALF) - 1), HALF).bitwiseOR(F.col("word")).alias("second")
+    triples = materialize(triples.select("key", second, "f"), "phrase-triples")
 
     own = lambda at: words.select(F.col("id").alias(at), F.col("word").alias(f"w{at}"), F.col("f").alias(f"f{at}"), "lang")
     two = pairs.filter("one").select("key", "f", F.shiftright("key", HALF).alias("1"), F.col("key").bitwiseAND((1 << HALF) - 1).alias("2"))
