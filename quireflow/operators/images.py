@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from quireflow.config import Dewarp
 from quireflow.operators.corners import bends
 from quireflow.schemas import IMAGE
+from quireflow.sinks.committed import read_bytes
 
 #: Images that a pixel kernel works on at once.
 IMAGES_PER_BATCH = 4
@@ -41,6 +42,23 @@ def slice_rows(image: Column, start: Column, end: Column) -> Column:
     return F.struct(image["origin"].alias("origin"), (end - start).cast("int").alias("height"), image["width"].alias("width"), image["nChannels"].alias("nChannels"), image["mode"].alias("mode"), data.alias("data"))
 
 
+#: End of the names of files with raw pixels.
+RAW_SUFFIX = ".pixels"
+
+
+def raw_bytes(image: Column) -> Column:
+    """An image struct as the bytes of a file: height, width and channels on a line, then the pixels."""
+    head = F.concat(F.concat_ws(" ", image["height"], image["width"], image["nChannels"]), F.lit("\n"))
+    return F.concat(F.encode(head, "utf-8"), image["data"])
+
+
+def read_raw(path: str) -> dict:
+    """The image of such a file, read where it is needed."""
+    head, _, data = read_bytes(path).partition(b"\n")
+    height, width, channels = map(int, head.split())
+    return {"origin": path, "height": height, "width": width, "nChannels": channels, "mode": 0, "data": data}
+
+
 def pixels_of(row) -> np.ndarray:
     return np.frombuffer(row["data"], np.uint8).reshape(row["height"], row["width"], row["nChannels"])
 

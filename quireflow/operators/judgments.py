@@ -46,6 +46,14 @@ def page_count_columns(payload: Column) -> list[Column]:
     ]
 
 
+def one_image(success: Column, payload: Column) -> dict[str, Column]:
+    """What :func:`merge_judgments` makes of a page with one image: page_count from 1 to 3, and the flags; of no answer the defaults."""
+    own = F.struct(*page_count_columns(payload))
+    flag = lambda c: F.coalesce(F.when(success, own[c]), F.lit(False))
+    count = F.least(F.lit(3), F.greatest(F.lit(1), F.coalesce(F.when(success, own["page_count"]), F.lit(0))))
+    return {"page_count": count.cast("int")} | {c: flag(c) for c in ("has_table_elements", "has_handwritten_notes_or_marks")}
+
+
 def merge_judgments(images: DataFrame, keys: list[str], order: str) -> DataFrame:
     """One judgment per page from those of its images.
 

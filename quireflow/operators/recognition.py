@@ -13,7 +13,7 @@ import time
 from collections.abc import Callable, Iterator
 from typing import Any, Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,20 +79,43 @@ def with_backoff(call: Callable[[], Any], cfg: Ocr = Ocr(), sleep: Callable[[flo
     return None, error, cfg.max_retries + 1
 
 
-def judge_images(images: DataFrame, factory: Callable[[], PageJudge], image: str, keys: list[str], judge: str, cfg: Judge = Judge()) -> DataFrame:
-    """keys, judge, success, error, payload, raw_response, attempt of each image; a missing one is a failure without a call."""
-    missing = {"success": False, "error": "missing image", "payload": None, "raw_response": None, "attempt": 0}
+#: What a judge adds to a row, and a recognizer of groups or of images.
+_JUDGED = {"success": pa.bool_(), "error": pa.string(), "payload": pa.string(), "raw_response": pa.string(), "attempt": pa.int32()}
+_ANSWERED = {"success": pa.bool_(), "error": pa.string(), "response": pa.string(), "processed_images": pa.int32(), "calls": pa.int32()}
+_READ = {"success": pa.bool_(), "error": pa.string(), "text": pa.string(), "confidence": pa.float64()}
+_SQL = {pa.bool_(): "boolean", pa.string(): "string", pa.int32(): "int", pa.float64(): "double"}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _per_row(src: DataFrame, column: str, start: Callable[[], Callable[[Any], tuple]], made: dict[str, pa.DataType], label: tuple[str, str] | None = None, keep: bool = False) -> DataFrame:
+    """The columns of ``src`` but ``column``, a label, and what a function makes of each value of ``column``, which may be kept.
+
+    ``start`` builds the function once a partition.  One value is a Python
+    object at a time; the others stay in their Arrow buffers.
+    """
+    carried = [c for c in src.columns if c != column]
+    names = [*carried, *([label[0]] if label else []), *made, *([column] if keep else [])]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = start()
+        for batch in batches:
+            rows = [own(x.as_py() if x.is_valid else None) for x in batch.column(column)]
+            columns = [batch.column(c) for c in carried] + ([pa.array([label[1]] * len(rows), pa.string())] if label else [])
+            columns += [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(made.values())]
+            yield pa.RecordBatch.from_arrays([*columns, *([batch.column(column)] if keep else [])], names)
+
+    kinds = {f.name: f.dataType.simpleString() for f in src.schema.fields}
+    kinds |= {k: _SQL[v] for k, v in made.items()} | ({label[0]: "string"} if label else {})
+    return src.mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in names))
+
+
+def judge_images(images: DataFrame, factory: Callable[[], PageJudge], image: str, keys: list[str], judge: str, cfg: Judge = Judge(), keep: bool = False) -> DataFrame:
+    """keys, judge, success, error, payload, raw_response, attempt of each image, which ``keep`` keeps; a missing one is a failure without a call."""
+
+    def start() -> Callable[[Any], tuple]:
         own = factory()
-        for pdf in batches:
-            rows = [dict(missing) if x is None else judge_once(own, x, cfg) for x in pdf[image]]
-            yield pd.concat([pdf[keys].reset_index(drop=True), pd.DataFrame(rows, columns=["success", "error", "payload", "raw_response", "attempt"])], axis=1).assign(judge=judge)[[*keys, *names]]
+        return lambda x: (False, "missing image", None, None, 0) if x is None else tuple(judge_once(own, x, cfg)[k] for k in _JUDGED)
 
-    names = ["judge", "success", "error", "payload", "raw_response", "attempt"]
-    src = images.select(*keys, image)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.select(*keys).schema.fields)
-    return src.mapInPandas(run, f"{fields}, judge string, success boolean, error string, payload string, raw_response string, attempt int")
+    return _per_row(images.select(*keys, image), image, start, _JUDGED, ("judge", judge), keep)
 
 
 def orientation_angles(images: DataFrame, factory: Callable[[], PageJudge] | None, image: str, keys: list[str], enabled: bool = True) -> DataFrame:
@@ -105,48 +128,47 @@ def orientation_angles(images: DataFrame, factory: Callable[[], PageJudge] | Non
     return judged.select(*keys, "success", "error", F.when(F.col("success"), judged_angle(F.col("payload"))).otherwise(0).alias("angle"))
 
 
-def recognize_groups(groups: DataFrame, factory: Callable[[], Recognizer], keys: list[str], engine: str = "llm", cfg: Ocr = Ocr(), sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+def recognize_groups(groups: DataFrame, factory: Callable[[], Recognizer], keys: list[str], engine: str = "llm", cfg: Ocr = Ocr(), sleep: Callable[[float], None] = time.sleep, load: Callable[[Any], Any] | None = None) -> DataFrame:
     """Raw answers for groups (images: ordered array of structs with ``image``); images that are null are left out.
 
-    At most max_concurrent_groups run at once: so many partitions call.  ``image``
-    may be a path, so that no pixels travel to them.
+    At most max_concurrent_groups run at once: so many partitions call.  Where
+    ``image`` is a path that ``load`` reads in the task, no pixels travel to them.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start() -> Callable[[Any], tuple]:
         own = factory()
-        for pdf in batches:
-            rows = []
-            for images in pdf["images"]:
-                present = [x["image"] for x in images if x["image"] is not None]
-                raw, error, calls = with_backoff(lambda present=present: own(present), cfg, sleep) if present else (None, "no images", 0)
-                rows.append((error is None, error, raw, len(present), calls))
-            yield pd.concat([pdf[keys].reset_index(drop=True), pd.DataFrame(rows, columns=["success", "error", "response", "processed_images", "calls"])], axis=1).assign(engine=engine)[[*keys, *names]]
 
-    names = ["engine", "success", "error", "response", "processed_images", "calls"]
-    src = groups.select(*keys, "images").repartition(cfg.max_concurrent_groups)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.select(*keys).schema.fields)
-    return src.mapInPandas(run, f"{fields}, engine string, success boolean, error string, response string, processed_images int, calls int")
+        def answer(images: list[dict] | None) -> tuple:
+            present = [x["image"] for x in images or [] if x["image"] is not None]
+            if not present:
+                return False, "no images", None, 0, 0
+            raw, error, calls = with_backoff(lambda: own([load(x) for x in present] if load else present), cfg, sleep)
+            return error is None, error, raw, len(present), calls
+
+        return answer
+
+    return _per_row(groups.select(*keys, "images").repartition(cfg.max_concurrent_groups), "images", start, _ANSWERED, ("engine", engine))
 
 
-def recognize_images(tiles: DataFrame, factory: Callable[[], ImageRecognizer], image: str, keys: list[str], cfg: Ocr = Ocr(), sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+def recognize_images(tiles: DataFrame, factory: Callable[[], ImageRecognizer], image: str, keys: list[str], cfg: Ocr = Ocr(), sleep: Callable[[float], None] = time.sleep, load: Callable[[Any], Any] | None = None) -> DataFrame:
     """keys, image_type, split_index, success, error, text, confidence of every tile; types are the tiles' own.
 
-    The same bound on concurrent calls as for groups.
+    The same bound on concurrent calls as for groups; a missing image is a
+    failure without a call.
     """
-    carried = [*keys, "image_type", "split_index"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start() -> Callable[[Any], tuple]:
         own = factory()
-        for pdf in batches:
-            rows = []
-            for x in pdf[image]:
-                got, error, _ = with_backoff(lambda x=x: own(x), cfg, sleep)
-                rows.append((error is None, error, *(got or (None, 0.0))))
-            yield pd.concat([pdf[carried].reset_index(drop=True), pd.DataFrame(rows, columns=["success", "error", "text", "confidence"])], axis=1)
-
-    src = tiles.select(*carried, image).repartition(cfg.max_concurrent_groups)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.select(*carried).schema.fields)
-    return src.mapInPandas(run, f"{fields}, success boolean, error string, text string, confidence double")
+
+        def read(x: Any) -> tuple:
+            if x is None:
+                return False, "missing image", None, 0.0
+            got, error, _ = with_backoff(lambda: own(load(x) if load else x), cfg, sleep)
+            return error is None, error, *(got or (None, 0.0))
+
+        return read
+
+    return _per_row(tiles.select(*keys, "image_type", "split_index", image).repartition(cfg.max_concurrent_groups), image, start, _READ)
 
 
 def document_ai_results(tiles: DataFrame, factory: Callable[[], ImageRecognizer], image: str, keys: list[str], cfg: Ocr = Ocr(), sleep: Callable[[float], None] = time.sleep) -> DataFrame:

@@ -571,9 +571,11 @@ def result_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # pages turned by 180 degrees or cut into halves of 22 dots, then strips of each height, all digests of bytes
-_WHOLE = rf"""WITH p AS (SELECT doc_id, k, ascii(raw) AS dot, CAST(ceil(length(raw) / 40.0) AS BIGINT) AS h, rpad(raw, CAST(ceil(length(raw) / 40.0) * 40 AS INTEGER), ' ') AS t
+_WHOLE = rf"""WITH o AS (SELECT doc_id, k, ascii(raw) AS dot, CAST(ceil(length(raw) / 40.0) AS BIGINT) AS h, rpad(raw, CAST(ceil(length(raw) / 40.0) * 40 AS INTEGER), ' ') AS t
       FROM (SELECT doc_id, k, substr(t, k * 10000 + 1, 10000) AS raw FROM {_TEXT_PAGES})),
-    r AS (SELECT doc_id, k, h, CASE WHEN dot % 4 = 1 THEN reverse(t) ELSE t END AS t FROM p),
+    f AS (SELECT doc_id, k, dot, CASE WHEN dot % 7 = 0 THEN h + 1 ELSE h END AS h, CASE WHEN dot % 7 = 0 THEN t || repeat('#', 40) ELSE t END AS t FROM o),
+    p AS (SELECT doc_id, k, h, CASE WHEN dot % 5 = 0 AND h > 1 THEN reverse(t) ELSE t END AS t FROM f),
+    r AS (SELECT doc_id, k, h, CASE WHEN ascii(t) % 4 = 1 THEN reverse(t) ELSE t END AS t FROM p),
     d AS (SELECT *, ascii(t) % 2 = 0 AS spread FROM r),
     s AS (SELECT doc_id, k, h, m, string_agg(substr(t, 1 + i * 40 + CASE WHEN m = 1 THEN 18 ELSE 0 END, w), '' ORDER BY i) AS t, w FROM
       (SELECT doc_id, k, h, t, m, CASE WHEN spread THEN 22 ELSE 40 END AS w, unnest(generate_series(0, h - 1)) AS i FROM (SELECT *, unnest(generate_series(0, CASE WHEN spread THEN 1 ELSE 0 END)) AS m FROM d)) GROUP BY doc_id, k, h, m, w),
@@ -585,9 +587,19 @@ _WHOLE = rf"""WITH p AS (SELECT doc_id, k, ascii(raw) AS dot, CAST(ceil(length(r
 
 @query(f"""{_WHOLE} SELECT 'doc_' || doc_id AS session_id, engine, CAST(count(*) AS BIGINT) AS files_count, md5(string_agg(t, chr(10) || chr(10) || chr(10) ORDER BY k, m)) AS text_md5, CAST(sum(length(t)) + 3 * (count(*) - 1) AS INTEGER) AS total_characters FROM g GROUP BY doc_id, engine""")
 def whole_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All seven stages over synthetic pages: rendered, turned, cut, tiled, recognised by two engines, integrated."""
-    parts = whole.Components(stand_ins.TextDocument, orientation=stand_ins.FirstDot, page_count=stand_ins.FirstDot, llm=stand_ins.FingerprintRecognizer, document_ai=stand_ins.FingerprintImageRecognizer, sleep=_no_sleep)
-    got = whole.run(_laid_out(spark, sf_dir), parts, overlay(Settings(), {"steps": {"rotate": True}}))
+    """All seven stages over synthetic pages: rendered, judged, some rendered again or straightened, turned, cut, tiled, recognised by two engines, integrated."""
+    parts = whole.Components(
+        stand_ins.FinerDocument,
+        distortion=stand_ins.FirstDot,
+        orientation=stand_ins.FirstDot,
+        page_count=stand_ins.FirstDot,
+        detector=stand_ins.UpsideDown,
+        llm=stand_ins.FingerprintRecognizer,
+        document_ai=stand_ins.FingerprintImageRecognizer,
+        sleep=_no_sleep,
+    )
+    settings = overlay(Settings(), {"steps": {"judge": True, "rotate": True}, "dewarp": {"enable_strong_correction": False}})
+    got = whole.run(_laid_out(spark, sf_dir), parts, settings)
     return got.tables["integrate"].select("session_id", "engine", "files_count", F.md5("integrated_text").alias("text_md5"), "total_characters")
 
 

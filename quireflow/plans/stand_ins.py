@@ -40,12 +40,34 @@ class TextDocument:
         self.parts = []
 
 
+class FinerDocument(TextDocument):
+    """A text laid out on letter pages; drawn at a high resolution, a page has a line of # more."""
+
+    FINE = 400
+
+    def page_size(self, index: int) -> tuple[float, float]:
+        self.parts[index]
+        return 612.0, 792.0
+
+    def render(self, index: int, dpi: int) -> tuple[int, int, bytes]:
+        width, height, data = super().render(index, dpi)
+        return (width, height + 1, data + b"#" * width) if dpi >= self.FINE else (width, height, data)
+
+
+class UpsideDown:
+    """A detector that finds every page of two lines and more, upside down."""
+
+    def __call__(self, pixels: np.ndarray) -> tuple[float, np.ndarray] | None:
+        h, w = pixels.shape[:2]
+        return (1.0, np.array([[w - 1, h - 1], [0, h - 1], [0, 0], [w - 1, 0]], float)) if h > 1 else None
+
+
 class FirstDot:
-    """A judge that answers by the first dot of an image: upside down for 1 modulo 4, a spread for an even one."""
+    """A judge that answers by the first dot of an image: upside down for 1 modulo 4, a spread for an even one, warped for a multiple of 5, hardly readable for one of 7."""
 
     def __call__(self, image: Any) -> str:
         dot = image["data"][0]
-        return json.dumps({"recommended_angle": 180 if dot % 4 == 1 else 0, "page_count": 2.0 if dot % 2 == 0 else "1", "has_table_elements": dot % 3, "confidence_score": 0.5})
+        return json.dumps({"recommended_angle": 180 if dot % 4 == 1 else 0, "page_count": 2.0 if dot % 2 == 0 else "1", "has_table_elements": dot % 3, "confidence_score": 0.5, "needs_dewarping": dot % 5 == 0, "readability_issues": "major" if dot % 7 == 0 else "none"})
 
 
 class Shifted:

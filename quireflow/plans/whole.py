@@ -2,9 +2,11 @@
 
 Every stage takes the page records of the one before and gives them back with
 its own columns.  A stage that is off, has no component or fails passes its
-records on; only rendering is fatal.  What a stage returns is written as a table
-where ``store`` names a folder, so that a paid call is made once and a lost
-executor costs a re-read.
+records on; only rendering is fatal.  What a stage returns is written as a
+table before the next begins: a stage fails where it runs, a paid call is made
+once, a lost executor costs a re-read, and a run into the same folder goes on
+after the last stage that was finished.  Pixels pass through a judge beside its
+answer and meet no join; only pages rendered again join their records.
 """
 
 from __future__ import annotations
@@ -19,11 +21,13 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quireflow.config import Settings, apply_options
+from quireflow.config import Judge, Settings, apply_options
 from quireflow.functions.geometry import optimal_dpi, scaled_dpi, spread_regions
 from quireflow.functions.names import group_key
-from quireflow.functions.parsing import parse_ocr
+from quireflow.functions.parsing import judged_angle, parse_ocr
 from quireflow.operators import images, integration, judgments, recognition, routing, tiles
+from quireflow.plans.store import Store, fingerprint
+from quireflow.sinks import committed
 from quireflow.sources import scans
 
 log = logging.getLogger(__name__)
@@ -66,6 +70,8 @@ class Run:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     errors: dict[str, str] = field(default_factory=dict)
     skipped: list[str] = field(default_factory=list)
+    #: Tables that an earlier run into the same store had finished.
+    reused: list[str] = field(default_factory=list)
 
     @property
     def success(self) -> bool:
@@ -115,14 +121,14 @@ def set_up_logging(level: str = "INFO", path: str | None = None) -> logging.Logg
     return own
 
 
-def render(docs: DataFrame, components: Components, settings: Settings) -> DataFrame:
+def render(docs: DataFrame, components: Components, settings: Settings, keep: Store) -> DataFrame:
     """Page records with their image, one a page; pages that fail are records without one."""
-    sized = scans.pages(docs, components.opener)
+    sized = keep(scans.pages(docs, components.opener), "sized")
     wanted = sized.filter("success").withColumn("dpi", optimal_dpi(F.col("width"), F.col("height"), settings.render))
-    drawn = scans.render_pages(docs, wanted, components.opener).select("path", "page_number", "used_dpi", "success", "error", "image", F.col("width").alias("w"), F.col("height").alias("h"))
+    drawn = scans.render_pages(docs, wanted, components.opener, carry=["session_id"])
+    drawn = drawn.select("session_id", "path", "page_number", "success", "error", "used_dpi", _image("width", "height", "image").alias("image"))
     failed = sized.filter("not success").select("session_id", "path", F.coalesce("page_number", F.lit(0)).alias("page_number"), "success", "error")
-    pages = sized.filter("success").select("session_id", "path", "page_number").join(drawn, ["path", "page_number"])
-    return pages.select("session_id", "path", "page_number", "success", "error", "used_dpi", _image("w", "h", "image").alias("image")).unionByName(failed, allowMissingColumns=True)
+    return drawn.unionByName(failed, allowMissingColumns=True)
 
 
 def _image(width: str, height: str, data: str) -> F.Column:
@@ -132,18 +138,35 @@ def _image(width: str, height: str, data: str) -> F.Column:
     return F.when(F.col(data).isNotNull() & F.coalesce(channels > 0, F.lit(False)), own)
 
 
-def judge(pages: DataFrame, docs: DataFrame, components: Components, settings: Settings, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+def _judged(pages: DataFrame, factory: Callable[[], recognition.PageJudge], kind: str, cfg: Judge, keep: Store, name: str) -> DataFrame:
+    """The records with ``answered`` and ``payload`` of a judge; records that failed are not judged."""
+    aside = {"success": "page_success", "error": "page_error"}
+    own = pages.filter("success").withColumnsRenamed(aside)
+    seen = recognition.judge_images(own, factory, "image", [c for c in own.columns if c != "image"], kind, cfg, keep=True)
+    seen = seen.withColumnRenamed("success", "answered").drop("judge", "error", "raw_response", "attempt").withColumnsRenamed({v: k for k, v in aside.items()})
+    rest = pages.filter(~F.coalesce("success", F.lit(False))).withColumns({"answered": F.lit(False), "payload": F.lit(None).cast("string")})
+    return keep(seen.unionByName(rest), name)
+
+
+def judge(pages: DataFrame, docs: DataFrame, components: Components, settings: Settings, keep: Store) -> DataFrame:
     """Distortion judged; hardly readable pages rendered at a higher resolution, warped ones straightened."""
-    seen = keep(recognition.judge_images(pages.filter("success"), components.distortion, "image", PAGE, "distortion", settings.judge), "judged")
-    flat = seen.filter("success").select(*PAGE, F.lit(True).alias("judged"), *judgments.distortion_columns(F.col("payload")))
-    own = pages.join(flat, PAGE, "left").withColumns({"judged": F.coalesce("judged", F.lit(False))})
-    again = own.filter(F.col("success") & routing.needs_rerender(F.col("judged"), F.col("readability_issues"))).withColumn("dpi", scaled_dpi(F.col("used_dpi"), cfg=settings.render))
-    better = scans.render_pages(docs, again, components.opener).filter("success").select("path", "page_number", F.col("used_dpi").alias("new_dpi"), _image("width", "height", "image").alias("new"))
-    own = own.join(better, ["path", "page_number"], "left").withColumns({"reprocessed_at_scale": F.col("new").isNotNull(), "image": F.coalesce("new", "image"), "used_dpi": F.coalesce("new_dpi", "used_dpi")}).drop("new", "new_dpi")
-    own = own.withColumn("dewarping_applied", F.lit(False))
+    seen = _judged(pages, components.distortion, "distortion", settings.judge, keep, "judged")
+    flat = {c: F.when(F.col("answered"), F.col(f"payload.{c}")) for c in ("needs_dewarping", "readability_issues", "has_out_of_document")}
+    own = seen.withColumn("payload", F.struct(*judgments.distortion_columns(F.col("payload")))).withColumns(flat)
+    own = own.withColumnRenamed("answered", "judged").drop("payload")
+    own = own.withColumns({"reprocessed_at_scale": F.lit(False), "dewarping_applied": F.lit(False)})
+    hard = F.col("success") & routing.needs_rerender(F.col("judged"), F.col("readability_issues"))
+    again = own.filter(hard).select(*PAGE, "path", scaled_dpi(F.col("used_dpi"), cfg=settings.render).alias("dpi"))
+    better = scans.render_pages(docs, again, components.opener, carry=["session_id"]).filter("success")
+    better = better.select("session_id", "path", "page_number", F.col("used_dpi").alias("new_dpi"), _image("width", "height", "image").alias("new"))
+    better = keep(better.filter("new is not null"), "rerendered")
+    new = own.filter(hard).drop("image").join(better, [*PAGE, "path"])
+    new = new.withColumns({"image": F.col("new"), "used_dpi": F.col("new_dpi"), "reprocessed_at_scale": F.lit(True)}).drop("new", "new_dpi")
+    kept = own.filter(hard).join(better.select(*PAGE, "path"), [*PAGE, "path"], "left_anti")
+    own = own.filter(~F.coalesce(hard, F.lit(False))).unionByName(kept).unionByName(new)
     if not settings.dewarp.enabled or components.detector is None:
         return own
-    own = keep(own, "rerendered")
+    own = keep(own, "refined")
     warped = F.coalesce(F.col("success") & F.col("judged") & F.col("needs_dewarping"), F.lit(False))
     done = F.col("warp_error").isNull() & ~F.col("skipped")
     flat = _dewarped(own.filter(warped), components, settings).withColumn("dewarping_applied", done)
@@ -156,29 +179,29 @@ def _dewarped(own: DataFrame, components: Components, settings: Settings) -> Dat
     return out.withColumnRenamed("error", "warp_error").withColumnRenamed("page_error", "error")
 
 
-def rotate(pages: DataFrame, components: Components, settings: Settings, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+def rotate(pages: DataFrame, components: Components, settings: Settings, keep: Store) -> DataFrame:
     """Each image turned by its judged angle; a judgment or a turn that fails leaves the image."""
-    on = settings.orientation.enabled and settings.orientation.use_llm
-    angles = keep(recognition.orientation_angles(pages.filter("success"), components.orientation, "image", PAGE, on), "angles")
-    own = pages.join(angles.select(*PAGE, "angle"), PAGE, "left").withColumn("angle", F.coalesce("angle", F.lit(0)))
-    turned = images.rotate_images(keep(own, "angled").withColumnRenamed("error", "page_error"), compat=settings.compat)
+    if settings.orientation.enabled and settings.orientation.use_llm and components.orientation is not None:
+        own = _judged(pages, components.orientation, "orientation", Judge(), keep, "angles")
+        own = own.withColumn("angle", F.coalesce(F.when(F.col("answered"), judged_angle(F.col("payload"))), F.lit(0))).drop("answered", "payload")
+    else:
+        own = pages.withColumn("angle", F.lit(0))
+    turned = images.rotate_images(own.withColumnRenamed("error", "page_error"), compat=settings.compat)
     return turned.withColumn("rotated_count", (F.col("angle") != 0).cast("int")).drop("error").withColumnRenamed("page_error", "error")
 
 
-def split(pages: DataFrame, components: Components, settings: Settings, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+def split(pages: DataFrame, components: Components, settings: Settings, keep: Store) -> DataFrame:
     """Pages judged, spreads cut into two images; one record an image, numbered from 0 in a page."""
     own = pages.withColumn("page_count", F.lit(1))
     if components.page_count is not None:
-        seen = keep(recognition.judge_images(pages.filter("success"), components.page_count, "image", PAGE, "page_count", settings.judge), "counted")
-        rows = seen.select(*PAGE, F.lit(0).alias("image_idx"), "success", *judgments.page_count_columns(F.col("payload")))
-        merged = judgments.merge_judgments(rows, PAGE, "image_idx").select(*PAGE, "page_count", "has_table_elements", "has_handwritten_notes_or_marks")
-        own = pages.join(merged, PAGE, "left").withColumn("page_count", F.coalesce("page_count", F.lit(1)))
+        own = _judged(pages, components.page_count, "page_count", settings.judge, keep, "counted")
+        own = own.withColumns(judgments.one_image(F.col("answered"), F.col("payload"))).drop("answered", "payload")
     width = F.col("image.width")
     whole = F.array(F.struct(F.lit("whole").alias("side"), F.lit(0).alias("start"), width.alias("end")))
     spread = routing.should_split(F.col("page_count"), F.lit(False), F.array("image")) & F.col("success") & F.lit(settings.steps.split)
     parts = F.when(spread, spread_regions(width, settings.tiling.overlap_ratio)).otherwise(whole)
     own = own.select("*", F.posexplode(parts).alias("source_mask_index", "part")).select(*own.columns, "source_mask_index", F.col("part.side").alias("side"), F.col("part.start").alias("start_x"), F.col("part.end").alias("end_x"))
-    own = keep(own, "sides").withColumnRenamed("error", "page_error")
+    own = own.withColumnRenamed("error", "page_error")
     cut = images.cut_columns(own.filter("side != 'whole'"))
     left = own.filter("side = 'whole'").withColumn("error", F.lit(None).cast("string"))
     return left.unionByName(cut).withColumn("error", F.coalesce("page_error", "error")).drop("page_error")
@@ -191,23 +214,33 @@ def tile(pages: DataFrame, settings: Settings) -> DataFrame:
     return rows.withColumn("image", images.slice_rows(F.col("image"), F.col("start_y"), F.col("end_y")))
 
 
-def recognize(rows: DataFrame, components: Components, settings: Settings, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """engine, success, error, extracted_text, note and counts of every group, in long form."""
+def recognize(rows: DataFrame, components: Components, settings: Settings, keep: Store, folder: str) -> DataFrame:
+    """engine, success, error, extracted_text, note and counts of every group, in long form.
+
+    Images are files below ``folder``; only their paths travel to the few
+    partitions that call, which read them.
+    """
+    if components.llm is None and components.document_ai is None:
+        raise recognition.Unavailable("no recognizer")
     out = []
     none = F.lit(None)
+    kind = F.concat_ws("_", F.col("image_type"), F.col("split_index").cast("string"))
+    named = rows.withColumn("name", F.concat_ws("/", F.md5("session_id"), "group_key", F.concat(kind, F.lit(images.RAW_SUFFIX))))
+    paths = named.select(*[c for c in rows.columns if c != "image"], F.concat(F.lit(f"{folder}/"), "name").alias("image"))
+    if "paths" not in keep.there:
+        committed.write_named(named.select("name", images.raw_bytes(F.col("image")).alias("content")), folder)
+    paths = keep(paths, "paths")
     if components.llm is not None:
-        groups = tiles.ocr_groups(rows, "image", ("session_id",))
-        answers = keep(recognition.recognize_groups(groups, components.llm, GROUP, cfg=settings.ocr, sleep=components.sleep), "answers")
+        groups = tiles.ocr_groups(paths, "image", ("session_id",))
+        answers = keep(recognition.recognize_groups(groups, components.llm, GROUP, cfg=settings.ocr, sleep=components.sleep, load=images.read_raw), "answers")
         parsed = parse_ocr(answers.withColumn("response", F.coalesce("response", F.lit(""))))
         ok = lambda c: F.when(F.col("success"), F.col(c)).alias(c)
         out.append(parsed.select(*GROUP, "engine", "success", "error", ok("extracted_text"), ok("note"), "response", "processed_images", none.cast("double").alias("average_confidence")))
     if components.document_ai is not None:
-        read = keep(recognition.recognize_images(rows, components.document_ai, "image", GROUP, settings.ocr, components.sleep), "read")
+        read = keep(recognition.recognize_images(paths, components.document_ai, "image", GROUP, settings.ocr, components.sleep, load=images.read_raw), "read")
         place = F.when(F.col("image_type") == "original", -1).otherwise(F.col("split_index"))
         fan = recognition.document_ai_group(read.withColumn("place", place), GROUP, "place")
         out.append(fan.select(*GROUP, F.lit("document_ai").alias("engine"), "success", none.cast("string").alias("error"), F.when(F.col("success"), F.col("combined_text")).alias("extracted_text"), none.cast("string").alias("note"), none.cast("string").alias("response"), F.col("processed_images").cast("int").alias("processed_images"), "average_confidence"))
-    if not out:
-        raise recognition.Unavailable("no recognizer")
     return out[0] if len(out) == 1 else out[0].unionByName(out[1])
 
 
@@ -222,15 +255,16 @@ def run(docs: DataFrame, components: Components, settings: Settings = Settings()
     """All stages over documents (session_id, path, content).  Errors are in the result, never raised.
 
     ``options`` are the three skip options.  Super resolution has no stage: the
-    option is accepted and changes the setting only.  Without a store nothing
-    runs until a table of the result is used.
+    option is accepted and changes the setting only.  ``store`` is a folder that
+    driver and executors share, by default a new one below
+    ``spark.checkpoint.dir``; a second run of the same documents and settings
+    with the same store reads the stages that are finished there.
     """
     settings = apply_options(settings, options)
     out = Run(settings)
     steps = settings.steps
-
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        return recognition.write_once(df, f"{store}/{name}") if store else df
+    keep = Store(docs.sparkSession, store, fingerprint(docs, settings, components.ready()))
+    out.reused = keep.reused
 
     def stage(name: str, on: bool, make: Callable[[], DataFrame], before: DataFrame | None) -> DataFrame | None:
         if not on:
@@ -244,7 +278,7 @@ def run(docs: DataFrame, components: Components, settings: Settings = Settings()
             log.warning("stage %s failed, going on with what there is: %s", name, out.errors[name])
             return before
 
-    pages = stage("render", True, lambda: render(docs, components, settings), None)
+    pages = stage("render", True, lambda: render(docs, components, settings, keep), None)
     if pages is None:
         return out
     pages = stage("judge", steps.judge and components.have("distortion"), lambda: judge(pages, docs, components, settings, keep), pages)
@@ -252,7 +286,7 @@ def run(docs: DataFrame, components: Components, settings: Settings = Settings()
     # the split numbers images, so it runs even where nothing is to be cut
     sources = stage("split", True, lambda: split(pages, components if steps.split else dataclasses.replace(components, page_count=None), settings, keep), None)
     rows = stage("tile", sources is not None, lambda: tile(sources, settings), None)
-    results = stage("recognize", rows is not None and steps.recognize and settings.ocr.enabled, lambda: recognize(rows, components, settings, keep), None)
+    results = stage("recognize", rows is not None and steps.recognize and settings.ocr.enabled, lambda: recognize(rows, components, settings, keep, f"{keep.folder}/tile-images"), None)
     stage("integrate", results is not None and steps.integrate, lambda: integrate(results, settings), None)
     return out
 

@@ -105,7 +105,7 @@ def _wanted(page_rows: DataFrame, keys: list[str], dpi: str) -> DataFrame:
     return own.select(*keys, F.col("wanted.page_number").alias("numbers"), F.col("wanted.dpi").alias("dpis"))
 
 
-def _rendered(opener: Callable[[bytes], Document], read: Callable[[pa.Scalar], bytes], given: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _rendered(opener: Callable[[bytes], Document], read: Callable[[pa.Scalar], bytes], given: str, carry: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows (path, numbers, dpis and the column to read bytes from) as one batch a page; an error is a row."""
     kinds = [pa.string(), pa.int32(), pa.int32(), pa.bool_(), pa.string(), pa.int32(), pa.int32(), pa.binary()]
     names = [x.split()[0] for x in _RENDERED.split(", ")]
@@ -126,7 +126,8 @@ def _rendered(opener: Callable[[bytes], Document], read: Callable[[pa.Scalar], b
                         row = (True, None, *doc.render(page - 1, dpi))
                     except Exception as e:
                         row = (False, f"{type(e).__name__}: {e}", None, None, None)
-                    yield pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in zip((path, page, dpi, *row), kinds, strict=True)], names)
+                    own = [batch.column(c).slice(at, 1) for c in carry]
+                    yield pa.RecordBatch.from_arrays([*own, *(pa.array([x], kind) for x, kind in zip((path, page, dpi, *row), kinds, strict=True))], [*carry, *names])
                 if doc is not None:
                     doc.close()
 
@@ -137,13 +138,16 @@ def _with_names(out: DataFrame) -> DataFrame:
     return out.withColumns({"output_path": page_image_name(F.col("path"), F.col("page_number")), "zoom_factor": F.col("used_dpi") / 72.0, "file_size_bytes": F.octet_length("image").cast("long")})
 
 
-def render_pages(docs: DataFrame, page_rows: DataFrame, opener: Callable[[bytes], Document], dpi: str = "dpi") -> DataFrame:
+def render_pages(docs: DataFrame, page_rows: DataFrame, opener: Callable[[bytes], Document], dpi: str = "dpi", carry: list[str] | None = None) -> DataFrame:
     """Rendered images (output_path, width, height, image bytes) of page rows at their resolution; failures are rows.
 
-    A document meets its pages once, is opened once, and gives one image at a time.
+    A document meets its pages once, is opened once, and gives one image at a
+    time.  ``carry`` are columns of the documents that each page gets.
     """
-    own = _wanted(page_rows, ["path"], dpi).join(docs.select("path", "content"), "path")
-    return _with_names(own.mapInArrow(_rendered(opener, lambda x: x.as_py(), "content"), _RENDERED))
+    carry = carry or []
+    own = _wanted(page_rows, ["path"], dpi).join(docs.select("path", "content", *carry), "path")
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*carry).schema.fields)
+    return _with_names(own.mapInArrow(_rendered(opener, lambda x: x.as_py(), "content", carry), fields + _RENDERED))
 
 
 def render_files(page_rows: DataFrame, opener: Callable[[bytes], Document], dpi: str = "dpi", size: int = PAGES_PER_RANGE) -> DataFrame:
@@ -158,7 +162,7 @@ def render_files(page_rows: DataFrame, opener: Callable[[bytes], Document], dpi:
     tasks = int(page_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = page_rows.select("path", "page_number", F.col(dpi).alias("dpi"), at).repartition(tasks, "path", "page_range")
     own = _wanted(dealt, ["path", "page_range"], "dpi")
-    return _with_names(own.mapInArrow(_rendered(opener, lambda x: read_bytes(x.as_py()), "path"), _RENDERED))
+    return _with_names(own.mapInArrow(_rendered(opener, lambda x: read_bytes(x.as_py()), "path", []), _RENDERED))
 
 
 def rerender(docs: DataFrame, states: DataFrame, opener: Callable[[bytes], Document], cfg: Render = Render()) -> DataFrame:
