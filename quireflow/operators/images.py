@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from quireflow.config import Dewarp
 from quireflow.operators.corners import bends
 from quireflow.schemas import IMAGE
-from quireflow.sinks.committed import read_bytes
+from quireflow.sinks.committed import file_system
 
 #: Images that a pixel kernel works on at once.
 IMAGES_PER_BATCH = 4
@@ -42,8 +42,8 @@ def slice_rows(image: Column, start: Column, end: Column) -> Column:
     return F.struct(image["origin"].alias("origin"), (end - start).cast("int").alias("height"), image["width"].alias("width"), image["nChannels"].alias("nChannels"), image["mode"].alias("mode"), data.alias("data"))
 
 
-#: End of the names of files with raw pixels.
-RAW_SUFFIX = ".pixels"
+#: The first line of a file of pixels is not longer.
+HEAD = 64
 
 
 def raw_bytes(image: Column) -> Column:
@@ -52,11 +52,17 @@ def raw_bytes(image: Column) -> Column:
     return F.concat(F.encode(head, "utf-8"), image["data"])
 
 
-def read_raw(path: str) -> dict:
-    """The image of such a file, read where it is needed."""
-    head, _, data = read_bytes(path).partition(b"\n")
-    height, width, channels = map(int, head.split())
-    return {"origin": path, "height": height, "width": width, "nChannels": channels, "mode": 0, "data": data}
+def read_raw(reference: str) -> dict:
+    """The image of such a file, or of its rows a to b where ``#a-b`` follows its path; read where it is needed, and no more of it."""
+    path, _, lines = reference.partition("#")
+    system, at = file_system(path)
+    with system.open_input_file(at) as f:
+        head = f.read(HEAD).split(b"\n")[0]
+        height, width, channels = map(int, head.split())
+        start, end = map(int, lines.split("-")) if lines else (0, height)
+        f.seek(len(head) + 1 + start * width * channels)
+        data = f.read((end - start) * width * channels)
+    return {"origin": path, "height": end - start, "width": width, "nChannels": channels, "mode": 0, "data": data}
 
 
 def pixels_of(row) -> np.ndarray:

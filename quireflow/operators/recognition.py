@@ -113,7 +113,7 @@ def judge_images(images: DataFrame, factory: Callable[[], PageJudge], image: str
 
     def start() -> Callable[[Any], tuple]:
         own = factory()
-        return lambda x: (False, "missing image", None, None, 0) if x is None else tuple(judge_once(own, x, cfg)[k] for k in _JUDGED)
+        return lambda x: (False, "missing image", None, None, 0) if x is None else tuple(judge_once(own, x, cfg).values())
 
     return _per_row(images.select(*keys, image), image, start, _JUDGED, ("judge", judge), keep)
 

@@ -214,22 +214,23 @@ def tile(pages: DataFrame, settings: Settings) -> DataFrame:
     return rows.withColumn("image", images.slice_rows(F.col("image"), F.col("start_y"), F.col("end_y")))
 
 
-def recognize(rows: DataFrame, components: Components, settings: Settings, keep: Store, folder: str) -> DataFrame:
+def recognize(rows: DataFrame, sources: DataFrame, components: Components, settings: Settings, keep: Store, folder: str) -> DataFrame:
     """engine, success, error, extracted_text, note and counts of every group, in long form.
 
-    Images are files below ``folder``; only their paths travel to the few
-    partitions that call, which read them.
+    Each source is a file below ``folder``, a strip some rows of it; only the
+    references travel to the few partitions that call, which read them.
     """
     if components.llm is None and components.document_ai is None:
         raise recognition.Unavailable("no recognizer")
     out = []
     none = F.lit(None)
-    kind = F.concat_ws("_", F.col("image_type"), F.col("split_index").cast("string"))
-    named = rows.withColumn("name", F.concat_ws("/", F.md5("session_id"), "group_key", F.concat(kind, F.lit(images.RAW_SUFFIX))))
-    paths = named.select(*[c for c in rows.columns if c != "image"], F.concat(F.lit(f"{folder}/"), "name").alias("image"))
-    if "paths" not in keep.there:
-        committed.write_named(named.select("name", images.raw_bytes(F.col("image")).alias("content")), folder)
-    paths = keep(paths, "paths")
+    key = group_key(F.col("page_number"), F.col("source_mask_index"))
+    name = F.concat(F.substring(F.md5("session_id"), 1, 2), F.lit("/"), F.md5("session_id"), F.lit("_"), key, F.lit(".pixels"))
+    if "references" not in keep.there:
+        drawn = sources.filter(F.col("success") & F.col("image").isNotNull())
+        committed.write_named(drawn.select(name.alias("name"), images.raw_bytes(F.col("image")).alias("content")), folder)
+    lines = F.concat(F.lit("#"), F.col("start_y"), F.lit("-"), F.col("end_y"))
+    paths = keep(rows.withColumn("image", F.concat(F.lit(f"{folder}/"), name, lines)), "references")
     if components.llm is not None:
         groups = tiles.ocr_groups(paths, "image", ("session_id",))
         answers = keep(recognition.recognize_groups(groups, components.llm, GROUP, cfg=settings.ocr, sleep=components.sleep, load=images.read_raw), "answers")
@@ -286,7 +287,7 @@ def run(docs: DataFrame, components: Components, settings: Settings = Settings()
     # the split numbers images, so it runs even where nothing is to be cut
     sources = stage("split", True, lambda: split(pages, components if steps.split else dataclasses.replace(components, page_count=None), settings, keep), None)
     rows = stage("tile", sources is not None, lambda: tile(sources, settings), None)
-    results = stage("recognize", rows is not None and steps.recognize and settings.ocr.enabled, lambda: recognize(rows, components, settings, keep, f"{keep.folder}/tile-images"), None)
+    results = stage("recognize", rows is not None and steps.recognize and settings.ocr.enabled, lambda: recognize(rows, sources, components, settings, keep, f"{keep.folder}/pixels"), None)
     stage("integrate", results is not None and steps.integrate, lambda: integrate(results, settings), None)
     return out
 
