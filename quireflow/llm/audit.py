@@ -53,7 +53,8 @@ def repeated_texts(docs: DataFrame) -> DataFrame:
     """
     own = docs.withColumn("h", F.xxhash64("text"))
     spread = own.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
-    twins = materialize(own.join(spread.select("h"), "h", "left_semi"), "audit-twins")
+    spread = materialize(spread.select("h"), "audit-repeated")  # a table, so that a hot hash can be split in the join
+    twins = materialize(own.join(spread, "h", "left_semi"), "audit-twins")
     firsts = twins.groupBy("h", "text").agg(F.min("doc_id").alias("first")).alias("f")
     same = (F.col("t.h") == F.col("f.h")) & (F.col("t.text") == F.col("f.text")) & (F.col("f.first") < F.col("t.doc_id"))
     return twins.alias("t").join(firsts, same, "left_semi")
