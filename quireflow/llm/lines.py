@@ -12,9 +12,9 @@ doc_id, then line) stays.  Equal lines are one node from the start.
 
 Each member of a bucket is verified against one drawn from the bucket, another
 one in every band.  After union-find, the members outside the largest
-component of their bucket are verified against its other components; sizes,
-parity marks and then the sets are compared in the join's condition, so only
-links become rows.
+component of their bucket meet members of other components in their rarest
+windows, of which similar sets share one; sizes, places and parity marks are
+compared in the join's condition, and the sets of the pairs left decide.
 
 Defined results: blank lines are no candidates and always stay; a null text has
 no lines, an empty one has one blank line; lines of rows with a null doc_id
@@ -48,8 +48,9 @@ KEYS = [f"k{b}" for b in range(len(BANDS))]
 AGREE = 13
 #: Members drawn from its buckets that a line is verified against before union-find.
 TRIED = 4
-#: Longs of parity marks.
+#: Longs of parity marks, and cells in which windows are counted.
 MARKS = 16
+CELLS = 1 << 17
 #: Bytes of a character in the encoding that is cut into windows.
 _WIDE, _ENCODING = 4, "UTF-32"
 
@@ -163,14 +164,40 @@ def parity_marks(s: Column) -> Column:
     return F.array(*(mark(k) for k in range(MARKS)))
 
 
+def seen_counts(sets: DataFrame) -> DataFrame:
+    """One row: how many windows (column s) fall into each of CELLS cells.  Its size is fixed."""
+    cell = F.pmod(F.col("t"), F.lit(CELLS)).alias("cell")
+    cells = sets.select(F.explode("s").alias("t")).groupBy(cell).agg(F.count("*").alias("k"))
+    every = sets.sparkSession.range(CELLS).select(F.col("id").alias("cell")).join(cells, "cell", "left")
+    rows = F.array_sort(F.collect_list(F.struct("cell", F.coalesce("k", F.lit(0)).alias("k"))))
+    return every.agg(F.transform(rows, lambda x: x["k"]).alias("counts"), F.lit(1).alias("one"))
+
+
+def prefixes(sets: DataFrame) -> DataFrame:
+    """The rows of ``sets`` (s, n and more) once for each of their rarest windows t, with its place ``at`` from 1.
+
+    All sets are put into one order, rare windows first.  Of two similar sets
+    the first ``n - least common part + 1`` windows share one, so what doesn't
+    meet there can't be similar; windows that many lines share stand last and
+    bring nobody together.
+    """
+    own = sets.withColumn("one", F.lit(1)).join(F.broadcast(seen_counts(sets)), "one")
+    rare = F.array_sort(F.transform("s", lambda t: F.struct(F.get("counts", F.pmod(t, F.lit(CELLS)).cast("int")).alias("k"), t.alias("t"))))
+    least = F.ceil(F.col("n") * PERCENT / F.lit(100)).cast("int")
+    first = F.slice(rare, F.lit(1), F.col("n") - least + 1)
+    rest = [c for c in sets.columns if c != "s"]
+    return own.select(*rest, F.posexplode(first).alias("at", "x")).select(*rest, (F.col("at") + 1).alias("at"), F.col("x.t").alias("t"))
+
+
 def across_lines(left: DataFrame, texts: DataFrame, lines: DataFrame, drawn: DataFrame) -> DataFrame:
     """Links between components in open buckets (key, node, c, lead).
 
-    Each member outside its bucket's largest component meets the members of
-    other components, in the first bucket that the two share.  Members that
-    none of those is near, but for the ones they were tried with, go before
-    texts are fetched.  The join's condition verifies the others, so a pair
-    becomes a row only if it is a link.
+    Members that no member of another component is near, but for the ones they
+    were tried with, go first.  Of the others those outside their bucket's
+    largest component meet the members that share one of their rarest windows;
+    components, sizes, places, bits and parity marks are compared in the join's
+    condition and the sets of what is left decide.  A bucket of many unlike
+    lines of one template costs about as much as it has lines.
     """
     sketch = texts.select("node", "n").join(lines.select("node", "bits"), "node")
     light = left.join(sketch, "node").join(drawn, "node", "left").withColumn("others", F.coalesce("others", F.array().cast("array<long>")))
@@ -179,22 +206,22 @@ def across_lines(left: DataFrame, texts: DataFrame, lines: DataFrame, drawn: Dat
     other = light.select(*(F.col(c).alias(f"o{c}") for c in ("key", "node", "c", "n", "bits", "others")))
     met = (F.col("key") == F.col("okey")) & (F.col("c") != F.col("oc")) & size(F.col("n"), F.col("on")) & (agree(F.col("bits"), F.col("obits")) >= AGREE)
     met &= ~F.array_contains("others", F.col("onode")) & ~F.array_contains("oothers", F.col("node"))
-    left = materialize(light.join(other, met, "left_semi").select("key", "node", "c", "lead"), "lines-apart")
-
-    nodes = left.select("node").distinct()
-    marks = F.transform(F.array(shingle_hashes(F.col("line"))), parity_marks)[0]
-    marked = texts.join(nodes, "node", "left_semi").withColumn("marks", marks).join(lines.select("node", *KEYS), "node")
-    marked = materialize(marked.select("node", "line", "n", "marks", F.array(*KEYS).alias("keys")), "lines-marked")
-    named = left.join(marked, "node").withColumn("band", F.array_position("keys", F.col("key")))
-    side = lambda x: named.select("key", "lead", *(F.col(c).alias(f"{c}{x}") for c in ("node", "c", "line", "n", "marks", "keys", "band")))
-    own, other = side("a").filter("ca != lead").drop("lead"), side("b")
-    able, sets = _similar("a", "b")
-    once = (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("lead")) | (F.col("nodea") < F.col("nodeb")))
+    left = light.join(other, met, "left_semi").groupBy("node").agg(F.min("c").alias("c"), F.bool_or(F.col("c") != F.col("lead")).alias("own"), F.min("bits").alias("bits"))
+
+    sets = texts.join(left, "node").withColumn("s", shingle_hashes(F.col("line"))).drop("line")
+    rare = prefixes(materialize(sets.withColumn("marks", F.transform(F.array("s"), parity_marks)[0]), "lines-marked"))
+    side = lambda x: rare.select("t", *(F.col(c).alias(f"{c}{x}") for c in ("node", "c", "n", "at", "bits", "marks", "own")))
+    own, other = side("a").filter("owna").drop("owna"), side("b")
+    once = (F.col("ca") != F.col("cb")) & (~F.col("ownb") | (F.col("nodea") < F.col("nodeb")))
+    # what both can share: windows before this one, itself, and those after it
+    room = F.least("ata", "atb") + F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb"))
+    able = size(F.col("na"), F.col("nb")) & (room * (100 + PERCENT) >= (F.col("na") + F.col("nb")) * PERCENT)
     differ = reduce(Column.__add__, (F.bit_count(F.col("marksa")[k].bitwiseXOR(F.col("marksb")[k])) for k in range(MARKS)))
     near = differ * (100 + PERCENT) <= (F.col("na") + F.col("nb")) * (100 - PERCENT)
-    first = reduce(Column.__and__, ((F.col("banda") <= k + 1) | (F.col("keysa")[k] != F.col("keysb")[k]) for k in range(len(KEYS) - 1)))
-    found = own.join(other, (own["key"] == other["key"]) & once & able & near & first & sets)
-    return found.select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")).distinct()
+    alike = agree(F.col("bitsa"), F.col("bitsb")) >= AGREE
+    found = own.join(other, (own["t"] == other["t"]) & once & able & alike & near)
+    pairs = materialize(found.select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")).distinct(), "lines-able")
+    return similar_lines(pairs, texts)
 
 
 def keepers(docs: DataFrame) -> DataFrame:
