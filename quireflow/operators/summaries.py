@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quireflow.sinks.committed import shared_folder
+
 
 def ratio(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
@@ -134,12 +136,18 @@ def extraction_status(results: DataFrame) -> DataFrame:
 def in_page_order(pages: DataFrame, page: str, tie: str) -> DataFrame:
     """Rows with their place, from 1, by page number (a missing one counts as 0) and the tie's column.
 
-    Page numbers are counted first, so places follow from sums over few numbers
-    and a rank inside each, and no task orders the whole table.
+    Rows are dealt by ranges of both columns, so that pages without a number
+    are shared by tasks, too.  The sorted table is written, and a place is the
+    number of rows in the parts before and the row's place in its own.
     """
-    number = F.coalesce(F.col(page), F.lit(0))
-    counts = pages.groupBy(number.alias("__page")).agg(F.count("*").alias("__n"))
-    before = counts.withColumn("__before", F.sum("__n").over(Window.orderBy("__page").rowsBetween(Window.unboundedPreceding, -1)))
-    inside = pages.withColumn("__page", number).withColumn("__rank", F.row_number().over(Window.partitionBy("__page").orderBy(tie)))
-    out = inside.join(before.select("__page", F.coalesce("__before", F.lit(0)).alias("__before")), "__page")
-    return out.withColumn("place", (F.col("__before") + F.col("__rank")).cast("long")).drop("__page", "__rank", "__before")
+    spark = pages.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    own = pages.withColumn("__page", F.coalesce(F.col(page), F.lit(0))).repartitionByRange(parts, "__page", tie)
+    own = own.sortWithinPartitions("__page", tie).drop("__page").withColumn("__m", F.monotonically_increasing_id())
+    path = shared_folder(spark, "page-order")
+    own.write.parquet(path)
+    own = spark.read.schema(own.schema).parquet(path)
+    sizes = own.groupBy(F.shiftright("__m", 33).alias("__part")).agg(F.count("*").alias("__n"))
+    before = sizes.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))  # a row a part
+    out = own.withColumn("__part", F.shiftright("__m", 33)).join(before, "__part")
+    return out.withColumn("place", F.col("__before") + F.col("__m").bitwiseAND((1 << 33) - 1) + 1).drop("__part", "__m", "__before")

@@ -553,14 +553,14 @@ def _no_sleep(_: float) -> None:
 @query(r"""WITH g AS (SELECT conv_id, turn % 2 AS m, string_agg(text, chr(10) ORDER BY (role <> 'system')::INT, turn) AS llm, string_agg(CASE WHEN t <> '' THEN t END, chr(10) || chr(10) ORDER BY (role <> 'system')::INT, turn) AS dai
       FROM (SELECT *, regexp_replace(text, '^\s+|\s+$', '', 'g') AS t FROM conversations) GROUP BY conv_id, turn % 2),
     p AS (SELECT conv_id, m, 'llm' AS engine, regexp_replace(llm, '^\s+|\s+$', '', 'g') AS t FROM g UNION ALL SELECT conv_id, m, 'document_ai', dai FROM g)
-    SELECT engine, CAST(count(*) AS BIGINT) AS files_count, md5(string_agg(t, chr(10) || chr(10) || chr(10) ORDER BY conv_id, m)) AS text_md5, CAST(length(string_agg(t, chr(10) || chr(10) || chr(10) ORDER BY conv_id, m)) AS INTEGER) AS total_characters
-    FROM p WHERE t <> '' GROUP BY engine""")
+    SELECT CAST(conv_id AS VARCHAR) AS session_id, engine, CAST(count(*) AS BIGINT) AS files_count, md5(string_agg(t, chr(10) || chr(10) || chr(10) ORDER BY m)) AS text_md5, CAST(length(string_agg(t, chr(10) || chr(10) || chr(10) ORDER BY m)) AS INTEGER) AS total_characters
+    FROM p WHERE t <> '' GROUP BY conv_id, engine""")
 def stub_ocr_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = _tiles_of_conversations(spark, sf_dir).withColumns({"session_id": F.lit("s"), "group_key": names.group_key(F.col("page_number"), F.col("source_mask_index"))})
+    own = _tiles_of_conversations(spark, sf_dir).withColumns({"session_id": F.col("page_number").cast("string"), "group_key": names.group_key(F.col("page_number"), F.col("source_mask_index"))})
     keys = ["session_id", "page_number", "source_mask_index", "group_key"]
     engines = stages.Engines(recognition.StubRecognizer, recognition.StubImageRecognizer, _no_sleep)
     out = stages.integrate_results(stages.recognize(own, keys, engines, image="text"))
-    return out.select("engine", "files_count", F.md5("integrated_text").alias("text_md5"), "total_characters")
+    return out.select("session_id", "engine", "files_count", F.md5("integrated_text").alias("text_md5"), "total_characters")
 
 
 @query("""SELECT conv_id, turn, CAST(NULL AS VARCHAR) AS warning, text AS extracted_text, 'True' AS flag FROM conversations""")
@@ -628,9 +628,9 @@ def page_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.in_page_order(own, "page_number", "doc_id").select("doc_id", "place")
 
 
-@query("""SELECT role AS session_id, CAST(count(*) AS INTEGER) AS file_count, md5(string_agg(f, ',' ORDER BY f)) AS files_md5 FROM (SELECT role, conv_id || '_' || turn || '.txt' AS f FROM conversations) GROUP BY role""")
+@query("""SELECT conv_id AS session_id, CAST(count(*) AS INTEGER) AS file_count, md5(string_agg(f, ',' ORDER BY f)) AS files_md5 FROM (SELECT conv_id, role || '_' || turn || '.txt' AS f FROM conversations) GROUP BY conv_id""")
 def file_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = table(spark, sf_dir, "conversations").select(F.col("role").alias("session_id"), F.array(F.concat_ws("_", "conv_id", F.concat("turn", F.lit(".txt")))).alias("files"))
+    own = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("session_id"), F.array(F.concat_ws("_", "role", F.concat("turn", F.lit(".txt")))).alias("files"))
     return outputs.file_lists(own).select("session_id", "file_count", F.md5(F.array_join("files", ",")).alias("files_md5"))
 
 
