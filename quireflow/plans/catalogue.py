@@ -652,6 +652,20 @@ def render_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.render_totals(own).withColumn("average_dpi", F.round("average_dpi", 6))
 
 
+@query(r"""SELECT engine, printf('conv_%d_page_%03d_mask1', conv_id, turn) || CASE WHEN engine = 'llm' THEN '_ocr_result.txt' ELSE '_documentai_result.txt' END AS filename, md5(t) AS text_md5, CAST(length(t) AS INTEGER) AS content_length
+    FROM (SELECT *, CASE WHEN turn % 2 = 0 THEN 'llm' ELSE 'document_ai' END AS engine, regexp_replace(text, '^\s+|\s+$', '', 'g') AS t FROM conversations) WHERE t <> ''""")
+def text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of both engines written as named files that are committed together, and read again as saved texts."""
+    folder = committed.shared_folder(spark, "text-files")
+    key = F.format_string("conv_%d_page_%03d_mask1", "conv_id", "turn")
+    own = table(spark, sf_dir, "conversations").select((F.col("turn") % 2).alias("side"), F.col("conv_id").cast("string").alias("session_id"), key.alias("group_key"), F.lit(True).alias("success"), F.col("text").alias("extracted_text"))
+    for side, engine in enumerate(("llm", "document_ai")):
+        failed = outputs.write_result_files(own.filter(F.col("side") == side), folder, engine, F.lit(None), Ocr(output_format="txt"))
+        if failed["txt"]:
+            raise OSError(failed["txt"])
+    return texts.text_parts(spark, folder).select("engine", "filename", F.md5("text").alias("text_md5"), "content_length")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
