@@ -164,13 +164,13 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     blocks = item_blocks(items)
     out, shipped = finds(next(blocks))
+    path = None
     for block in blocks:
-        path = work_path(spark, "leaks")
-        out.write.parquet(path)
+        path = path or work_path(spark, "leaks")
+        out.write.mode("append").parquet(path)  # each block's finds are written once
         shipped.unpersist()
-        more, shipped = finds(block)
-        out = spark.read.schema(out.schema).parquet(path).unionByName(more)
-    return out
+        out, shipped = finds(block)
+    return out if path is None else spark.read.schema(out.schema).parquet(path).unionByName(out)
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:

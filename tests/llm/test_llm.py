@@ -1,6 +1,7 @@
 """The operators against libraries, brute force and planted cases; nulls, empties, repeats and clashing columns."""
 
 import hashlib
+import importlib
 import itertools
 import json
 import random
@@ -600,6 +601,26 @@ def test_line_plan_is_native(spark):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_whole_line_report_is_native(spark, monkeypatch):
+    """Every table on the way, pairs of open buckets included, is made without Python."""
+    plans, write = {}, lines.materialize
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    for module in (lines, importlib.import_module("quireflow.llm.components")):
+        monkeypatch.setattr(module, "materialize", noted)
+    rng = random.Random(4)
+    base = prose(rng, 12)
+    texts = [base.replace(base.split()[k], f"{k}{j}") for k in range(6) for j in range(6)] + [f"the report of entry {rng.randrange(10**9)} was closed by {rng.choice('abcdef') * 7} on time" for _ in range(60)]
+    report = lines.line_report(docs_of(spark, texts).select("doc_id", "text"))
+    assert report.count() == len(texts)
+    assert {"lines-distinct", "lines-marked", "lines-able"} <= set(plans)
+    plans["report"] = report._jdf.queryExecution().executedPlan().toString()
+    assert [n for n, p in plans.items() if re.search("Python|Pandas|Arrow", p)] == []
+
+
 # -- operator 9 ---------------------------------------------------------------
 def test_media(spark, tmp_path):
     texts = odd_texts(random.Random(10))
