@@ -48,6 +48,8 @@ KEYS = [f"k{b}" for b in range(len(BANDS))]
 AGREE = 13
 #: Members drawn from its buckets that a line is verified against before union-find.
 TRIED = 4
+#: Members of a bucket that are all held against each other; larger ones go by rare windows.
+SMALL = 128
 #: Longs of parity marks, and cells in which windows are counted.
 MARKS = 16
 CELLS = 1 << 17
@@ -194,10 +196,9 @@ def across_lines(left: DataFrame, texts: DataFrame, lines: DataFrame, drawn: Dat
 
     Members that no member of another component is near, but for the ones they
     were tried with, go first.  Of the others those outside their bucket's
-    largest component meet the members that share one of their rarest windows;
-    components, sizes, places, bits and parity marks are compared in the join's
-    condition and the sets of what is left decide.  A bucket of many unlike
-    lines of one template costs about as much as it has lines.
+    largest component are held against its other components: all of them in a
+    bucket of at most SMALL members, in a larger one those that share a rare
+    window, so a bucket of many unlike lines costs about as much as it has lines.
     """
     sketch = texts.select("node", "n").join(lines.select("node", "bits"), "node")
     light = left.join(sketch, "node").join(drawn, "node", "left").withColumn("others", F.coalesce("others", F.array().cast("array<long>")))
@@ -206,24 +207,51 @@ def across_lines(left: DataFrame, texts: DataFrame, lines: DataFrame, drawn: Dat
     other = light.select(*(F.col(c).alias(f"o{c}") for c in ("key", "node", "c", "n", "bits", "others")))
     met = (F.col("key") == F.col("okey")) & (F.col("c") != F.col("oc")) & size(F.col("n"), F.col("on")) & (agree(F.col("bits"), F.col("obits")) >= AGREE)
     met &= ~F.array_contains("others", F.col("onode")) & ~F.array_contains("oothers", F.col("node"))
-    left = light.join(other, met, "left_semi").groupBy("node").agg(F.min("c").alias("c"), F.bool_or(F.col("c") != F.col("lead")).alias("own"), F.min("bits").alias("bits"))
+    left = materialize(light.join(other, met, "left_semi").select("key", "node", "c", "lead", "bits"), "lines-apart")
+    small = F.col("members") <= SMALL
+    sized = left.join(left.groupBy("key").agg(F.count("*").alias("members")), "key")
+    few, many = sized.filter(small).drop("members", "bits"), sized.filter(~small).drop("members")
+    return in_small_buckets(few, texts, lines).unionByName(in_large_buckets(many, texts)).distinct()
 
+
+def in_large_buckets(left: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links of members (key, node, c, lead, bits) that share one of their rarest windows."""
+    left = left.groupBy("node").agg(F.min("c").alias("c"), F.bool_or(F.col("c") != F.col("lead")).alias("own"), F.min("bits").alias("bits"))
     sets = texts.join(left, "node").withColumn("s", shingle_hashes(F.col("line"))).drop("line")
-    rare = prefixes(materialize(sets.withColumn("marks", F.transform(F.array("s"), parity_marks)[0]), "lines-marked"))
-    side = lambda x: rare.select("t", *(F.col(c).alias(f"{c}{x}") for c in ("node", "c", "n", "at", "bits", "marks", "own")))
+    rare = prefixes(materialize(sets, "lines-large"))
+    side = lambda x: rare.select("t", *(F.col(c).alias(f"{c}{x}") for c in ("node", "c", "n", "at", "bits", "own")))
     own, other = side("a").filter("owna").drop("owna"), side("b")
     once = (F.col("ca") != F.col("cb")) & (~F.col("ownb") | (F.col("nodea") < F.col("nodeb")))
     # what both can share: windows before this one, itself, and those after it
     room = F.least("ata", "atb") + F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb"))
-    able = size(F.col("na"), F.col("nb")) & (room * (100 + PERCENT) >= (F.col("na") + F.col("nb")) * PERCENT)
-    differ = reduce(Column.__add__, (F.bit_count(F.col("marksa")[k].bitwiseXOR(F.col("marksb")[k])) for k in range(MARKS)))
-    near = differ * (100 + PERCENT) <= (F.col("na") + F.col("nb")) * (100 - PERCENT)
-    alike = agree(F.col("bitsa"), F.col("bitsb")) >= AGREE
-    found = own.join(other, (own["t"] == other["t"]) & once & able & alike & near)
+    able = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT) & (room * (100 + PERCENT) >= (F.col("na") + F.col("nb")) * PERCENT)
+    found = own.join(other, (own["t"] == other["t"]) & once & able & (agree(F.col("bitsa"), F.col("bitsb")) >= AGREE))
     pairs = materialize(found.select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")).distinct(), "lines-able")
     return similar_lines(pairs, texts)
 
 
+def in_small_buckets(left: DataFrame, texts: DataFrame, lines: DataFrame) -> DataFrame:
+    """Links of members (key, node, c, lead) outside the lead with those of other components, in the first bucket that two share.
+
+    The join's condition verifies them, so a pair becomes a row only if it is a
+    link.  A pair whose first shared bucket is a large one meets there.
+    """
+    nodes = left.select("node").distinct()
+    marks = F.transform(F.array(shingle_hashes(F.col("line"))), parity_marks)[0]
+    marked = texts.join(nodes, "node", "left_semi").withColumn("marks", marks).join(lines.select("node", *KEYS), "node")
+    marked = materialize(marked.select("node", "line", "n", "marks", F.array(*KEYS).alias("keys")), "lines-marked")
+    named = left.join(marked, "node").withColumn("band", F.array_position("keys", F.col("key")))
+    side = lambda x: named.select("key", "lead", *(F.col(c).alias(f"{c}{x}") for c in ("node", "c", "line", "n", "marks", "keys", "band")))
+    own, other = side("a").filter("ca != lead").drop("lead"), side("b")
+    able, sets = _similar("a", "b")
+    once = (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("lead")) | (F.col("nodea") < F.col("nodeb")))
+    differ = reduce(Column.__add__, (F.bit_count(F.col("marksa")[k].bitwiseXOR(F.col("marksb")[k])) for k in range(MARKS)))
+    near = differ * (100 + PERCENT) <= (F.col("na") + F.col("nb")) * (100 - PERCENT)
+    first = reduce(Column.__and__, ((F.col("banda") <= k + 1) | (F.col("keysa")[k] != F.col("keysb")[k]) for k in range(len(KEYS) - 1)))
+    found = own.join(other, (own["key"] == other["key"]) & once & able & near & first & sets)
+    return found.select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")).distinct()
+
+
 def keepers(docs: DataFrame) -> DataFrame:
     """doc, ln of the lines that stay: the first line of each component."""
     lines = materialize(distinct_lines(docs), "lines-distinct")

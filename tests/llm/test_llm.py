@@ -614,9 +614,10 @@ def test_whole_line_report_is_native(spark, monkeypatch):
     rng = random.Random(4)
     base = prose(rng, 12)
     texts = [base.replace(base.split()[k], f"{k}{j}") for k in range(6) for j in range(6)] + [f"the report of entry {rng.randrange(10**9)} was closed by {rng.choice('abcdef') * 7} on time" for _ in range(60)]
+    monkeypatch.setattr(lines, "SMALL", 8)  # buckets of both kinds
     report = lines.line_report(docs_of(spark, texts).select("doc_id", "text"))
     assert report.count() == len(texts)
-    assert {"lines-distinct", "lines-marked", "lines-able"} <= set(plans)
+    assert {"lines-distinct", "lines-marked", "lines-large", "lines-able"} <= set(plans)
     plans["report"] = report._jdf.queryExecution().executedPlan().toString()
     assert [n for n, p in plans.items() if re.search("Python|Pandas|Arrow", p)] == []
 
