@@ -6,7 +6,7 @@ all lines are exploded inside one generated stage and folded by a grouped
 minimum into VALUES MinHashes a line, the j-th by ``(a + j * b) mod 2**32``
 from the halves a, b of a window's hash.  The values lie in a square of ROWS x
 ROWS; its rows, columns and diagonals are the bands.  Lines that share a band
-are candidates if two bits of every MinHash agree often enough, the sets of
+are candidates if four bits of every MinHash agree often enough, the sets of
 the lines decide, and of each component of similar lines the first (least
 doc_id, then line) stays.  Equal lines are one node from the start.
 
@@ -45,12 +45,15 @@ BANDS = [
     *([ROWS * r + (c + r) % ROWS for r in range(ROWS)] for c in range(ROWS)),
 ]
 KEYS = [f"k{b}" for b in range(len(BANDS))]
-#: Of VALUES two-bit samples at least so many agree in a candidate pair; at the least similarity 21 are expected.
-AGREE = 13
+#: Bits of each MinHash that are kept, and how many a long holds.
+SAMPLE = 4
+PACKED = 64 // SAMPLE
+#: Of VALUES four-bit samples at least so many agree in a candidate pair; at the least similarity 20 are expected.
+AGREE = 16
 #: Members drawn from its buckets that a line is verified against before union-find.
 TRIED = 4
 #: Members of a bucket that are all held against each other; larger ones go by rare windows.
-SMALL = 128
+SMALL = 8
 #: Longs of parity marks, and cells in which windows are counted.
 MARKS = 16
 CELLS = 1 << 17
@@ -91,19 +94,25 @@ def minhashes(lines: DataFrame) -> DataFrame:
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
-    """node, h1, h2 (the line), doc, ln (its first place), bits (two of each MinHash) and the band keys KEYS of every distinct line."""
+    """node, h1, h2 (the line), doc, ln (its first place), bits (SAMPLE of each MinHash) and the band keys KEYS of every distinct line."""
     lines = split_lines(docs).select("doc", "ln", "line", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(8)).alias("h2"))
     place = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "ln")).alias("place"))
-    bits = reduce(Column.bitwiseOR, (F.shiftleft(F.col(f"m{j}").bitwiseAND(F.lit(3)), 2 * j) for j in range(VALUES)))
+    sample = lambda j: F.shiftleft(F.col(f"m{j}").bitwiseAND(F.lit((1 << SAMPLE) - 1)), SAMPLE * (j % PACKED))
+    bits = F.struct(*(reduce(Column.bitwiseOR, map(sample, range(at, min(at + PACKED, VALUES)))).alias(f"b{at}") for at in range(0, VALUES, PACKED)))
     keys = [F.xxhash64(F.lit(b), *(F.col(f"m{j}") for j in band)).alias(name) for b, (band, name) in enumerate(zip(BANDS, KEYS, strict=True))]
     both = minhashes(lines).join(place, ["h1", "h2"])
     return both.select(F.monotonically_increasing_id().alias("node"), "h1", "h2", "place.*", bits.alias("bits"), *keys)
 
 
 def agree(x: Column, y: Column) -> Column:
-    """How many two-bit samples agree."""
-    differ = x.bitwiseXOR(y)
-    return F.lit(VALUES) - F.bit_count(differ.bitwiseOR(F.shiftright(differ, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    """How many samples agree."""
+
+    def differ(name: str) -> Column:
+        d = x[name].bitwiseXOR(y[name])
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
+        return F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 2)).bitwiseAND(F.lit(0x1111111111111111)))
+
+    return F.lit(VALUES) - reduce(Column.__add__, (differ(f"b{at}") for at in range(0, VALUES, PACKED)))
 
 
 def near_members(lines: DataFrame) -> DataFrame:
@@ -156,15 +165,17 @@ def similar_lines(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").filter(size).filter(sets).select("a", "b")
 
 
-def parity_marks(s: Column) -> Column:
-    """MARKS longs of parities: as many bits differ between two sets as they have odd cells, at most their differing hashes."""
-    one = F.lit(1).cast("long")
+def parity_marks(sets: DataFrame) -> DataFrame:
+    """node, marks: MARKS longs of parities of a set s; as many bits differ between two sets as they have odd cells, at most their differing hashes."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright("t", 8), F.lit(64)).cast("int"))
+    mark = lambda k: F.coalesce(F.bit_xor(F.when(F.pmod("t", F.lit(MARKS)) == k, bit)), F.lit(0).cast("long"))
+    return sets.select("node", F.explode("s").alias("t")).groupBy("node").agg(F.array(*(mark(k) for k in range(MARKS))).alias("marks"))
 
-    def mark(k: int) -> Column:
-        own = F.filter(s, lambda x: F.pmod(x, F.lit(MARKS)) == k)
-        return F.aggregate(own, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(F.call_function("shiftleft", one, F.pmod(F.shiftright(x, 8), F.lit(64)).cast("int"))))
 
-    return F.array(*(mark(k) for k in range(MARKS)))
+def marks_near() -> Column:
+    """Whether the marks of two sides leave it open that they are similar."""
+    differ = reduce(Column.__add__, (F.bit_count(F.col("marksa")[k].bitwiseXOR(F.col("marksb")[k])) for k in range(MARKS)))
+    return differ * (100 + PERCENT) <= (F.col("na") + F.col("nb")) * (100 - PERCENT)
 
 
 def seen_counts(sets: DataFrame) -> DataFrame:
@@ -219,7 +230,8 @@ def in_large_buckets(left: DataFrame, texts: DataFrame) -> DataFrame:
     """Links of members (key, node, c, lead, bits) that share one of their rarest windows."""
     left = left.groupBy("node").agg(F.min("c").alias("c"), F.bool_or(F.col("c") != F.col("lead")).alias("own"), F.min("bits").alias("bits"))
     sets = texts.join(left, "node").withColumn("s", shingle_hashes(F.col("line"))).drop("line")
-    rare = prefixes(materialize(sets, "lines-large"))
+    sets = materialize(sets, "lines-large")
+    rare = prefixes(sets)
     side = lambda x: rare.select("t", *(F.col(c).alias(f"{c}{x}") for c in ("node", "c", "n", "at", "bits", "own")))
     own, other = side("a").filter("owna").drop("owna"), side("b")
     once = (F.col("ca") != F.col("cb")) & (~F.col("ownb") | (F.col("nodea") < F.col("nodeb")))
@@ -228,7 +240,9 @@ def in_large_buckets(left: DataFrame, texts: DataFrame) -> DataFrame:
     able = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT) & (room * (100 + PERCENT) >= (F.col("na") + F.col("nb")) * PERCENT)
     found = own.join(other, (own["t"] == other["t"]) & once & able & (agree(F.col("bitsa"), F.col("bitsb")) >= AGREE))
     pairs = materialize(found.select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")).distinct(), "lines-able")
-    return similar_lines(pairs, texts)
+    marks = parity_marks(sets).join(sets.select("node", "n"), "node")
+    mark = lambda x: marks.select(*(F.col(c).alias(x if c == "node" else f"{c}{x}") for c in marks.columns))
+    return similar_lines(pairs.join(mark("a"), "a").join(mark("b"), "b").filter(marks_near()).select("a", "b"), texts)
 
 
 def in_small_buckets(left: DataFrame, texts: DataFrame, lines: DataFrame) -> DataFrame:
@@ -238,18 +252,17 @@ def in_small_buckets(left: DataFrame, texts: DataFrame, lines: DataFrame) -> Dat
     link.  A pair whose first shared bucket is a large one meets there.
     """
     nodes = left.select("node").distinct()
-    marks = F.transform(F.array(shingle_hashes(F.col("line"))), parity_marks)[0]
-    marked = texts.join(nodes, "node", "left_semi").withColumn("marks", marks).join(lines.select("node", *KEYS), "node")
+    own = texts.join(nodes, "node", "left_semi")
+    marks = parity_marks(own.select("node", shingle_hashes(F.col("line")).alias("s")))
+    marked = own.join(marks, "node").join(lines.select("node", *KEYS), "node")
     marked = materialize(marked.select("node", "line", "n", "marks", F.array(*KEYS).alias("keys")), "lines-marked")
     named = left.join(marked, "node").withColumn("band", F.array_position("keys", F.col("key")))
     side = lambda x: named.select("key", "lead", *(F.col(c).alias(f"{c}{x}") for c in ("node", "c", "line", "n", "marks", "keys", "band")))
     own, other = side("a").filter("ca != lead").drop("lead"), side("b")
     able, sets = _similar("a", "b")
     once = (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("lead")) | (F.col("nodea") < F.col("nodeb")))
-    differ = reduce(Column.__add__, (F.bit_count(F.col("marksa")[k].bitwiseXOR(F.col("marksb")[k])) for k in range(MARKS)))
-    near = differ * (100 + PERCENT) <= (F.col("na") + F.col("nb")) * (100 - PERCENT)
     first = reduce(Column.__and__, ((F.col("banda") <= k + 1) | (F.col("keysa")[k] != F.col("keysb")[k]) for k in range(len(KEYS) - 1)))
-    found = own.join(other, (own["key"] == other["key"]) & once & able & near & first & sets)
+    found = own.join(other, (own["key"] == other["key"]) & once & able & marks_near() & first & sets)
     return found.select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")).distinct()
 
 

@@ -622,6 +622,15 @@ def test_whole_line_report_is_native(spark, monkeypatch):
     assert [n for n, p in plans.items() if re.search("Python|Pandas|Arrow", p)] == []
 
 
+def test_unlike_lines_of_a_bucket_are_not_near(spark):
+    rng = random.Random(33)
+    texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(120)) for _ in range(200)]
+    own = lines.distinct_lines(docs_of(spark, [*texts, texts[0] + "xyz"])).withColumn("k0", lines.F.lit(7).cast("long"))
+    own = lines.materialize(own, "lines-distinct")
+    doc = {r.node: r.doc for r in own.collect()}
+    assert {doc[r.node] for r in lines.near_members(own).collect()} == {0, 200}
+
+
 # -- operator 9 ---------------------------------------------------------------
 def test_media(spark, tmp_path):
     texts = odd_texts(random.Random(10))
