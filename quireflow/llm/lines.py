@@ -57,6 +57,8 @@ SMALL = 8
 #: Longs of parity marks, and cells in which windows are counted.
 MARKS = 16
 CELLS = 1 << 17
+#: Longs of the map of wanted places.
+WORDS = 1 << 19
 #: Bytes of a character in the encoding that is cut into windows.
 _WIDE, _ENCODING = 4, "UTF-32"
 
@@ -116,10 +118,15 @@ def agree(x: Column, y: Column) -> Column:
 
 
 def near_members(lines: DataFrame) -> DataFrame:
-    """key, node, bits of the members of buckets that are near another member of the bucket."""
-    keys = lines.select("node", F.explode(F.array(*KEYS)).alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1").select("key")
-    members = materialize(keys.join(shared, "key").join(lines.select("node", "bits"), "node"), "lines-members")
+    """key, node, bits of the members of buckets that are near another member of the bucket.
+
+    The keys are dealt once: the buckets with a second member are found in the
+    same rows, node and its check for null included, that the join reads, so that
+    both share a shuffle.
+    """
+    keys = lines.filter("node is not null").select("node", F.explode(F.array(*KEYS)).alias("key")).repartition("key")
+    shared = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("key")
+    members = materialize(keys.join(shared.hint("shuffle_hash"), "key").join(lines.select("node", "bits"), "node"), "lines-members")
     other = members.select(F.col("key").alias("okey"), F.col("node").alias("onode"), F.col("bits").alias("obits"))
     met = (F.col("key") == F.col("okey")) & (F.col("node") != F.col("onode")) & (agree(F.col("bits"), F.col("obits")) >= AGREE)
     return materialize(members.join(other, met, "left_semi"), "lines-near")
@@ -142,13 +149,33 @@ def drawn_others(members: DataFrame) -> DataFrame:
     return of.select("node", others.alias("others"))
 
 
+def _cell() -> Column:
+    return F.pmod(F.xxhash64("doc", "ln"), F.lit(64 * WORDS))
+
+
+def _bit() -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(_cell(), F.lit(64)).cast("int"))
+
+
+def places_seen(wanted: DataFrame) -> DataFrame:
+    """One row: a map of bits (column words) in which the cell of every wanted place is set.  Its size is fixed."""
+    words = wanted.groupBy(F.shiftright(_cell(), 6).alias("w")).agg(F.bit_or(_bit()).alias("bits"))
+    every = wanted.sparkSession.range(WORDS).select(F.col("id").alias("w")).join(words, "w", "left")
+    rows = F.array_sort(F.collect_list(F.struct("w", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
+    return every.agg(F.transform(rows, lambda x: x["bits"]).alias("words"), F.lit(1).alias("one"))
+
+
 def texts_of(docs: DataFrame, lines: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, line, n (size of the set) of some distinct lines."""
-    wanted = lines.join(nodes, "node").groupBy("doc").agg(F.collect_list(F.struct("node", "ln", "h1", "h2")).alias("want"))
-    own = _doc(docs).join(wanted, "doc")
-    found = F.transform(F.array(F.split("text", "\n")), lambda own: F.transform("want", lambda w: F.struct(w["node"], w["h1"], w["h2"], F.get(own, w["ln"]).alias("line"))))[0]
-    out = own.select(F.inline(found)).filter((F.xxhash64("line") == F.col("h1")) & (F.xxhash64("line", F.lit(8)) == F.col("h2")))
-    return out.select("node", "line").dropDuplicates(["node"]).withColumn("n", F.size(shingle_hashes(F.col("line"))))
+    """node, line, n (size of the set) of some distinct lines.
+
+    Lines whose place can't be wanted stay out of the shuffle; the join decides.
+    """
+    wanted = materialize(lines.join(nodes, "node").select("node", "doc", "ln", "h1", "h2"), "lines-wanted")
+    own = split_lines(docs).withColumn("one", F.lit(1)).join(F.broadcast(places_seen(wanted)), "one")
+    own = own.filter(F.get("words", F.shiftright(_cell(), 6).cast("int")).bitwiseAND(_bit()) != 0).select("doc", "ln", "line")
+    out = own.join(wanted, ["doc", "ln"]).filter((F.xxhash64("line") == F.col("h1")) & (F.xxhash64("line", F.lit(8)) == F.col("h2")))
+    one = out.select("doc", "ln", "node", "line").dropDuplicates(["doc", "ln", "node"])
+    return one.select("node", "line").withColumn("n", F.size(shingle_hashes(F.col("line"))))
 
 
 def _similar(a: str, b: str) -> list[Column]:

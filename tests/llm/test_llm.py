@@ -631,6 +631,24 @@ def test_unlike_lines_of_a_bucket_are_not_near(spark):
     assert {doc[r.node] for r in lines.near_members(own).collect()} == {0, 200}
 
 
+def test_band_keys_are_dealt_once(spark, monkeypatch):
+    """Buckets with a second member are found in the shuffle that the join reads."""
+    plans, write = {}, lines.materialize
+
+    def noted(df, name):
+        out = write(df, name)
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return out
+
+    monkeypatch.setattr(lines, "materialize", noted)
+    rng = random.Random(31)
+    own = lines.materialize(lines.distinct_lines(docs_of(spark, [prose(rng, 12) for _ in range(40)])), "lines-distinct")
+    lines.near_members(own)
+    plan = re.sub(r"#\d+L?|(?m:^[ :+-]+)", "", plans["lines-members"])
+    dealt = re.findall(r"Exchange hashpartitioning\(key, [^\n]*\n((?:[^\n]*\n){4})", plan)
+    assert len(dealt) == 2 and "FileScan" in dealt[0] and dealt[0] == dealt[1], plan  # equal, so one is reused
+
+
 # -- operator 9 ---------------------------------------------------------------
 def test_media(spark, tmp_path):
     texts = odd_texts(random.Random(10))
