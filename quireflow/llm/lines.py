@@ -13,7 +13,7 @@ doc_id, then line) stays.  Equal lines are one node from the start.
 Each member of a bucket is verified against one drawn from the bucket, another
 one in every band.  After union-find, the members outside the largest
 component of their bucket are verified against its other components: in a small
-bucket all of them, sizes, parity marks and sets being compared in the join's
+bucket (SMALL) all of them, sizes, parity marks and sets being compared in the join's
 condition; in a large one those with which they share one of their rarest
 windows, as similar sets do.
 
