@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quireflow.config import Dewarp, Integration, Ocr, Settings, overlay
@@ -453,6 +453,11 @@ def _pdfs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stand_ins.as_pdfs(own)
 
 
+def _in_folders(name: Column) -> Column:
+    """Names in up to 256 folders, which tasks list side by side."""
+    return F.concat(F.substring(F.md5(name), 1, 2), F.lit("/"), name)
+
+
 _NO_PDF = r"""(SELECT doc_id FROM documents WHERE doc_id % 5 = 4 OR text = '')"""
 _LINES = "ceil(length(substr(t, k * 10000 + 1, 10000)) / 40.0)"
 
@@ -480,7 +485,7 @@ def pdf_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pdf_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PDFs written as files that are committed together, listed, and rendered by ranges of pages from where they are."""
     folder = committed.shared_folder(spark, "pdf-files")
-    committed.write_named(_pdfs(spark, sf_dir).select(F.col("path").alias("name"), "content"), folder)
+    committed.write_named(_pdfs(spark, sf_dir).select(_in_folders(F.col("path")).alias("name"), "content"), folder)
     sized = scans.pages(scans.documents(spark, folder), pdf.PdfDocument).filter("success").withColumn("dpi", F.lit(72))
     drawn = scans.render_files(sized, pdf.PdfDocument, size=4)
     return drawn.select(names.basename(F.col("path")).alias("file"), "page_number", "width", "height", F.md5("image").alias("image_md5"))

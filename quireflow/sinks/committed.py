@@ -1,14 +1,16 @@
 """Named files as a sink that commits: a Python data source whose files appear together or not at all.
 
 Tasks write below a staging folder of their attempt on the target's own file
-system; when every task has succeeded the driver moves the files to their
-names.  A failed job, and every attempt but the one that counts, leaves
-nothing.  Any file system that Arrow can open by its URI will do; a path
-without a scheme is local.
+system; when every task has succeeded a second job moves the files to their
+names, a task for each staging folder, so that the driver holds and moves none
+of them.  (Saved without :func:`write_named`, the driver moves them.)  A failed
+job, and every attempt but the one that counts, leaves nothing.  Any file system
+that Arrow can open by its URI will do; a path without a scheme is local.
 """
 
 from __future__ import annotations
 
+import os
 import posixpath
 import tempfile
 import uuid
@@ -24,8 +26,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 FORMAT = "named_files"
-#: Files that the driver moves at once.
+#: Staging folders that the driver empties at once.
 MOVES = 32
+#: In a staging folder, the names of the folders of the attempts that count.
+WRITTEN = "written"
 
 
 def file_system(uri: str) -> tuple[afs.FileSystem, str]:
@@ -42,6 +46,18 @@ def read_bytes(uri: str) -> bytes:
         return f.read()
 
 
+def entries(system: afs.FileSystem, at: str) -> Iterator[tuple[str, bool, int, int]]:
+    """name, whether a folder, time in microseconds and length of what stands in a folder; a local one is not held as a whole."""
+    if isinstance(system, afs.LocalFileSystem):
+        with os.scandir(at) as found:
+            for x in found:
+                info = x.stat()
+                yield x.name, x.is_dir(), info.st_mtime_ns // 1_000_000 * 1000, info.st_size
+        return
+    for x in system.get_file_info(afs.FileSelector(at)):
+        yield x.base_name, x.type == afs.FileType.Directory, (x.mtime_ns or 0) // 1_000_000 * 1000, x.size or 0
+
+
 @dataclass
 class Staged(WriterCommitMessage):
     """What a task wrote: its staging folder and the number of files."""
@@ -61,12 +77,33 @@ class NamedFiles(DataSource):
         return "name string, content binary"
 
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:  # noqa: ANN001
-        return NamedFilesWriter(self.options["path"], self.options.get("job") or uuid.uuid4().hex)
+        return NamedFilesWriter(self.options["path"], self.options.get("job") or uuid.uuid4().hex, self.options.get("stay") == "true")
+
+
+def move_all(system: afs.FileSystem, folder: str, root: str) -> int:
+    """Move the files of a staging folder to their names below ``root`` and drop it; what an earlier attempt moved is there no more."""
+    if system.get_file_info(folder).type != afs.FileType.Directory:
+        return 0
+    count, folders = 0, [""]
+    while folders:
+        at = folders.pop()
+        made = not at
+        for name, is_folder, *_ in entries(system, folder + at):
+            if is_folder:
+                folders.append(f"{at}/{name}")
+                continue
+            if not made:
+                system.create_dir(root + at, recursive=True)
+                made = True
+            system.move(f"{folder}{at}/{name}", f"{root}{at}/{name}")
+            count += 1
+    system.delete_dir(folder)
+    return count
 
 
 class NamedFilesWriter(DataSourceArrowWriter):
-    def __init__(self, uri: str, job: str):
-        self.uri, self.job = uri.rstrip("/"), job
+    def __init__(self, uri: str, job: str, stay: bool = False):
+        self.uri, self.job, self.stay = uri.rstrip("/"), job, stay
 
     def _staging(self) -> tuple[afs.FileSystem, str, str]:
         system, root = file_system(self.uri)
@@ -94,16 +131,14 @@ class NamedFilesWriter(DataSourceArrowWriter):
     def commit(self, messages: list[Staged | None]) -> None:
         system, root, staging = self._staging()
         system.create_dir(root, recursive=True)
-        made: set[str] = set()
+        written = [m.folder for m in messages if m is not None and m.files]
+        if self.stay:  # whoever saves moves
+            system.create_dir(staging, recursive=True)
+            with system.open_output_stream(f"{staging}/{WRITTEN}") as f:
+                f.write("\n".join(written).encode())
+            return
         with ThreadPoolExecutor(MOVES) as pool:
-            for m in messages:  # a task's names at a time
-                if m is None or not m.files:
-                    continue
-                names = [x.path[len(m.folder) + 1 :] for x in system.get_file_info(afs.FileSelector(m.folder, recursive=True)) if x.is_file]
-                for folder in {posixpath.dirname(f"{root}/{n}") for n in names} - made:
-                    system.create_dir(folder, recursive=True)
-                    made.add(folder)
-                list(pool.map(lambda n, m=m: system.move(f"{m.folder}/{n}", f"{root}/{n}"), names))
+            list(pool.map(lambda folder: move_all(system, folder, root), written))
         self._drop(system, staging)
 
     def abort(self, messages: list[Staged | None]) -> None:
@@ -132,6 +167,25 @@ def register(spark: SparkSession) -> None:
 
 def write_named(rows: DataFrame, folder: str) -> None:
     """Every row (name, content: text or bytes) as a file below ``folder``, all or none; nulls are no files."""
-    register(rows.sparkSession)
+    spark, job = rows.sparkSession, uuid.uuid4().hex
+    register(spark)
     own = rows.select("name", F.col("content").cast("binary").alias("content")).filter("name is not null and content is not null")
-    own.write.format(FORMAT).option("job", uuid.uuid4().hex).mode("append").save(folder)
+    own.write.format(FORMAT).option("job", job).option("stay", "true").mode("append").save(folder)
+    writer = NamedFilesWriter(folder, job)
+    system, root, staging = writer._staging()
+    try:
+        with system.open_input_file(f"{staging}/{WRITTEN}") as f:
+            written = f.read().decode().split("\n")
+        _move_by_tasks(spark, folder.rstrip("/"), root, [x for x in written if x])
+    finally:
+        writer._drop(system, staging)
+
+
+def _move_by_tasks(spark: SparkSession, uri: str, root: str, written: list[str]) -> None:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, _ = file_system(uri)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([move_all(system, written[at], root) for at in batch.column("id").to_pylist()], pa.int64())], ["moved"])
+
+    if written:
+        spark.range(len(written), numPartitions=len(written)).mapInArrow(run, "moved long").agg(F.sum("moved")).collect()

@@ -15,6 +15,7 @@ from quireflow.functions.geometry import optimal_dpi, scaled_dpi
 from quireflow.functions.names import page_image_name, session_id
 from quireflow.operators.routing import document_failure, needs_rerender
 from quireflow.sinks.committed import read_bytes
+from quireflow.sources import files
 
 
 class Document(Protocol):
@@ -29,8 +30,13 @@ class Document(Protocol):
 
 def documents(spark: SparkSession, path: str, glob: str = "*.[pP][dD][fF]") -> DataFrame:
     """session_id, path, content, modified, length of every document below a path."""
-    df = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
-    return df.select(session_id(F.col("path"), F.col("modificationTime")).alias("session_id"), "path", "content", F.col("modificationTime").alias("modified"), "length")
+    found = files.listed(spark, path, glob)
+    if found is None:
+        df = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
+        df = df.withColumnRenamed("modificationTime", "modified")
+    else:
+        df = files.contents(found)
+    return df.select(session_id(F.col("path"), F.col("modified")).alias("session_id"), "path", "content", "modified", "length")
 
 
 def first_document(docs: DataFrame) -> DataFrame:
@@ -95,6 +101,8 @@ def document_info(docs: DataFrame, opener: Callable[[bytes], Document], cfg: Ren
 
 #: Pages of a document that one task renders at a time.
 PAGES_PER_RANGE = 64
+#: Bytes and pages that a task draws before it gives them on.
+RENDERED_BYTES, RENDERED_ROWS = 4_000_000, 1000
 _RENDERED = "path string, page_number int, used_dpi int, success boolean, error string, width int, height int, image binary"
 
 
@@ -106,13 +114,18 @@ def _wanted(page_rows: DataFrame, keys: list[str], dpi: str) -> DataFrame:
 
 
 def _rendered(opener: Callable[[bytes], Document], read: Callable[[pa.Scalar], bytes], given: str, carry: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (path, numbers, dpis and the column to read bytes from) as one batch a page; an error is a row."""
+    """Rows (path, numbers, dpis and the column to read bytes from) as one row a page, some megabytes a batch; an error is a row."""
     kinds = [pa.string(), pa.int32(), pa.int32(), pa.bool_(), pa.string(), pa.int32(), pa.int32(), pa.binary()]
     names = [x.split()[0] for x in _RENDERED.split(", ")]
 
+    def given_out(batch: pa.RecordBatch, places: list[int], rows: list[tuple[Any, ...]]) -> pa.RecordBatch:
+        own = [batch.column(c).take(pa.array(places)) for c in carry]
+        return pa.RecordBatch.from_arrays([*own, *(pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), kinds, strict=True))], [*carry, *names])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = [batch.column(c).to_pylist() for c in ("path", "numbers", "dpis")]
+            places, rows, size = [], [], 0
             for at, (path, numbers, dpis) in enumerate(zip(*lists, strict=True)):
                 doc, broken = None, None
                 try:
@@ -126,10 +139,16 @@ def _rendered(opener: Callable[[bytes], Document], read: Callable[[pa.Scalar], b
                         row = (True, None, *doc.render(page - 1, dpi))
                     except Exception as e:
                         row = (False, f"{type(e).__name__}: {e}", None, None, None)
-                    own = [batch.column(c).slice(at, 1) for c in carry]
-                    yield pa.RecordBatch.from_arrays([*own, *(pa.array([x], kind) for x, kind in zip((path, page, dpi, *row), kinds, strict=True))], [*carry, *names])
+                    places.append(at)
+                    rows.append((path, page, dpi, *row))
+                    size += len(row[-1] or b"")
+                    if size >= RENDERED_BYTES or len(rows) == RENDERED_ROWS:
+                        yield given_out(batch, places, rows)
+                        places, rows, size = [], [], 0
                 if doc is not None:
                     doc.close()
+            if rows:
+                yield given_out(batch, places, rows)
 
     return run
 
@@ -141,8 +160,8 @@ def _with_names(out: DataFrame) -> DataFrame:
 def render_pages(docs: DataFrame, page_rows: DataFrame, opener: Callable[[bytes], Document], dpi: str = "dpi", carry: list[str] | None = None) -> DataFrame:
     """Rendered images (output_path, width, height, image bytes) of page rows at their resolution; failures are rows.
 
-    A document meets its pages once, is opened once, and gives one image at a
-    time.  ``carry`` are columns of the documents that each page gets.
+    A document meets its pages once, is opened once, and gives some megabytes of
+    images at a time.  ``carry`` are columns of the documents that each page gets.
     """
     carry = carry or []
     own = _wanted(page_rows, ["path"], dpi).join(docs.select("path", "content", *carry), "path")
