@@ -2,24 +2,31 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quireflow.functions.coerce import strip
 from quireflow.functions.names import basename, suffix
 from quireflow.operators.routing import has_text
+from quireflow.sources import files
 
-#: Ends of file names by engine (fixed values).
+#: Ends of file names by engine, after a star (fixed values).
 ENGINE_FILES = {"llm": "*_ocr_result.txt", "document_ai": "*_documentai_result.txt"}
 
 
 def text_parts(spark: SparkSession, path: str) -> DataFrame:
     """engine, filename, text, content_length of every non-empty result file below a path."""
-    out = None
-    for engine, glob in ENGINE_FILES.items():
-        df = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path, wholetext=True)
-        df = df.select(F.lit(engine).alias("engine"), basename(F.input_file_name()).alias("filename"), strip(F.col("value")).alias("text"))
-        out = df if out is None else out.unionByName(df)
+    found = files.listed(spark, path, "*.txt")
+    if found is None:
+        df = spark.read.option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true").text(path, wholetext=True)
+        df = df.select(basename(F.input_file_name()).alias("filename"), "value")
+    else:
+        ours = functools.reduce(Column.__or__, (F.col("path").endswith(glob[1:]) for glob in ENGINE_FILES.values()))
+        df = files.contents(found.filter(ours)).select(basename(F.col("path")).alias("filename"), F.col("content").cast("string").alias("value"))
+    engine = F.coalesce(*(F.when(F.col("filename").endswith(glob[1:]), engine) for engine, glob in ENGINE_FILES.items()))
+    out = df.select(engine.alias("engine"), "filename", strip(F.col("value")).alias("text")).filter("engine is not null")
     return out.filter(has_text(F.col("text"))).withColumn("content_length", F.length("text"))
 
 
