@@ -6,9 +6,10 @@ chunk's vocabulary, and a gap ends each piece.  Words are counted by the rows of
 the vocabularies, and the frequent ones, numbered, are semi-joined back to the
 chunks.  An occurrence of k words is the merge of one of k - 1 words with the
 word that follows it; the relation being sorted, the merge runs along a chunk.
-Chunks count what they extend, Spark sums the counts by phrase, and only the
-frequent phrases return to their chunks before the next length.  No set of
-phrases is broadcast or gathered: a chunk gets back what it asked for.
+Chunks count what they extend and deal the counts, packed, to buckets by a hash
+of the phrase; a bucket sums them by one sort, and only the frequent phrases
+return to their chunks, packed again, before the next length.  No set of phrases
+is broadcast or gathered: a chunk gets back what it asked for.
 
 A phrase is known by the numbers of its words, so counts are exact.  Scores are
 floored in decimals of 38 digits, which hold counts up to 10^15.
@@ -25,11 +26,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quireflow.llm.common import materialize, small_batches
+from quireflow.llm.common import materialize, mix, small_batches
 
 #: Text bytes of a chunk, and places of one of its rows.
 CHUNK_TEXT, ROW_PLACES = 20_000_000, 500_000
@@ -38,48 +40,60 @@ _ENDS, _GAP, _NONE = b".,;:!?\x0a\x0b\x0c\x0d", -1, -2
 _TABLE = bytes.maketrans(_ENDS + b"\t" + bytes(range(65, 91)), b"\n" * len(_ENDS) + b" " + bytes(range(97, 123)))
 #: Numbers of words fit half of a key.
 HALF = 32
+#: Words of all texts for one bucket of phrases; more texts make more buckets, not larger ones.
+BUCKET_WORDS = 4_000_000
 #: Parts of a lang's phrases that are ranked by themselves first.
 RANK_PARTS = 64
 
 _CHUNKS = "kind int, chunk long, seq int, code int, lang string, word string, n long, codes binary"
 
 
-class Codes(dict):
-    """Places of the words of one lang in a chunk's vocabulary, given as they come."""
-
-    def __init__(self, numbers: Iterator[int]):
-        super().__init__({b"\n": _GAP, b"": _NONE})
-        self.numbers = numbers
-
-    def __missing__(self, word: bytes) -> int:
-        code = self[word] = next(self.numbers)
-        return code
-
-
 class Chunk:
     """Occurrences and vocabulary of some texts."""
 
     def __init__(self, number: int):
-        self.number, self.size, self.counter = number, 0, itertools.count()
-        self.langs: dict[str, Codes] = {}
-        self.places: list[np.ndarray] = []
-
-    def add(self, lang: str, texts: list[bytes]) -> None:
-        codes = self.langs.setdefault(lang, Codes(self.counter))
-        words = b"\n".join([*texts, b""]).translate(_TABLE).replace(b"\n", b" \n ").split(b" ")
-        places = np.fromiter(map(codes.__getitem__, words), np.int32, len(words))
-        self.places.append(places[places != _NONE])
-        self.size += sum(map(len, texts))
+        self.number, self.size = number, 0
+        self.texts: dict[str, list[bytes]] = {}
+        self.held: dict[str, int] = {}
+        self.words: dict[str, list[pa.Array]] = {}
+
+    def add(self, lang: str, text: bytes) -> None:
+        self.texts.setdefault(lang, []).append(text)
+        self.held[lang] = self.held.get(lang, 0) + len(text)
+        self.size += len(text)
+        if self.held[lang] >= CHUNK_TEXT // 8:
+            self._split(lang)
+
+    def _split(self, lang: str) -> None:
+        """The held texts of a lang as an array of words, with a mark between pieces; blanks side by side make empty words."""
+        texts = b"\n".join([*self.texts.pop(lang), b""]).translate(_TABLE).replace(b"\n", b" \n ")
+        self.held[lang] = 0
+        self.words.setdefault(lang, []).append(pc.split_pattern(pa.array([texts], pa.large_binary()), pattern=" ").values)
 
     def batches(self) -> Iterator[pa.RecordBatch]:
-        places = np.concatenate(self.places)
-        counts = np.bincount(places[places >= 0])
-        for lang, codes in self.langs.items():
-            words = [(w, c) for w, c in codes.items() if c >= 0]
+        for lang in list(self.texts):
+            self._split(lang)
+        places, first = [], 0
+        for lang in list(self.words):
+            coded = pa.concat_arrays(self.words.pop(lang)).dictionary_encode()
+            marks = pc.is_in(coded.dictionary, value_set=pa.array([b"", b"\n"], coded.dictionary.type))
+            words = coded.dictionary.filter(pc.invert(marks))
+            mark = marks.to_numpy(zero_copy_only=False)
+            codes = np.full(len(mark), _NONE, np.int32)
+            codes[~mark] = np.arange(first, first + len(words))
+            gap = pc.index(coded.dictionary, pa.scalar(b"\n", coded.dictionary.type)).as_py()
+            if gap >= 0:
+                codes[gap] = _GAP
+            own = codes[coded.indices.to_numpy()]
+            places.append(own[own != _NONE])
+            del coded, own
+            counts = np.bincount(places[-1][places[-1] >= 0] - first, minlength=len(words))
             for at in range(0, len(words), 50_000):
-                part = words[at : at + 50_000]
-                own = np.array([c for _, c in part], np.int32)
-                yield self._batch(len(part), kind=pa.array([0] * len(part), pa.int32()), code=pa.array(own), lang=pa.array([lang] * len(part)), word=pa.array([w for w, _ in part], pa.binary()).cast(pa.string()), n=pa.array(counts[own].astype(np.int64)))
+                part = words.slice(at, 50_000)
+                n = len(part)
+                yield self._batch(n, kind=pa.array([0] * n, pa.int32()), code=pa.array(np.arange(first + at, first + at + n), pa.int32()), lang=pa.array([lang] * n), word=part.cast(pa.binary()).cast(pa.string()), n=pa.array(counts[at : at + n].astype(np.int64)))
+            first += len(words)
+        places = np.concatenate(places)
         for seq, at in enumerate(range(0, len(places), ROW_PLACES)):
             row = places[at : at + ROW_PLACES].astype("<i4").tobytes()
             yield self._batch(1, kind=pa.array([1], pa.int32()), seq=pa.array([seq], pa.int32()), codes=pa.array([row], pa.binary()))
@@ -95,22 +109,12 @@ def chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     numbers = itertools.count(TaskContext.get().partitionId() << HALF)
     chunk = Chunk(next(numbers))
     for batch in batches:
-        texts = batch.column("text").cast(pa.binary()).to_pylist()
-        order = sorted(range(batch.num_rows), key=(langs := batch.column("lang").to_pylist()).__getitem__)
-        for lang, rows in itertools.groupby(order, key=langs.__getitem__):
-            own, size = [], 0
-            for row in rows:
-                own.append(texts[row])
-                size += len(texts[row])
-                if size >= CHUNK_TEXT // 8:
-                    chunk.add(lang, own)
-                    own, size = [], 0
-            if own:
-                chunk.add(lang, own)
-            if chunk.size >= CHUNK_TEXT:
-                yield from chunk.batches()
-                chunk = Chunk(next(numbers))
-    if chunk.places:
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
+            chunk.add(lang, text)
+        if chunk.size >= CHUNK_TEXT:
+            yield from chunk.batches()
+            chunk = Chunk(next(numbers))
+    if chunk.size or chunk.texts:
         yield from chunk.batches()
 
 
@@ -132,27 +136,23 @@ def _place(keys: np.ndarray, of: np.ndarray) -> np.ndarray:
     return np.where(of[at] == keys, at, np.int32(-1)) if len(of) else np.full(len(keys), -1, np.int32)
 
 
-def extended(table: pa.Table, length: int) -> pa.Table:
-    """chunk, key, word, n: how often a chunk has each phrase of ``length`` words (2 or 3) whose shorter parts are frequent.
+def extended(table: pa.Table, length: int, buckets: int) -> pa.Table:
+    """bucket, chunk, keys, words, counts: how often a chunk has each phrase of ``length`` words (2 or 3) whose shorter parts are frequent.
 
-    The chunk's rows are its occurrences (level 0), the numbers of its frequent
-    words by place (one row of level 1) and the keys of its frequent pairs (one of
-    level 2).  A pair's key
-    holds the numbers of both words; a phrase of three is its first pair's key
-    and the third word.
+    A row has the phrases of a bucket, packed side by side.  The chunk's rows are
+    its occurrences (level 0), the numbers of its frequent words by place (one row
+    of level 1) and the keys of its frequent pairs (level 2, packed, a row a
+    bucket).  A pair's key holds the numbers of both words; a phrase of three is
+    its first pair's key and the third word.
     """
     chunk, level = table.column("chunk")[0].as_py(), table.column("level").to_numpy()
     rows = np.nonzero(level == 0)[0]
     rows = rows[np.argsort(table.column("seq").take(rows).to_numpy())]
     codes = np.concatenate([np.frombuffer(x.as_buffer(), "<i4") for x in table.column("codes").take(rows)])
     known = np.full(max(int(codes.max()), 0) + 2, -1, np.int32)  # the last place stands for the gap
-    pairs = np.empty(0, np.int64)
-    for row in np.nonzero(level)[0]:
-        keys = table.column("keys")[row].values.to_numpy()
-        if level[row] == 1:
-            known[keys] = table.column("ids")[row].values.to_numpy()
-        else:
-            pairs = np.sort(keys)
+    for row in np.nonzero(level == 1)[0]:
+        known[table.column("keys")[row].values.to_numpy()] = table.column("ids")[row].values.to_numpy()
+    pairs = np.sort(_unpacked(table.column("codes").take(np.nonzero(level == 2)[0]), "<i8"))
     word = known[codes]
     del codes, known, table  # a chunk is most of a task's memory
     starts = np.nonzero((word[:-1] >= 0) & (word[1:] >= 0))[0]
@@ -170,7 +170,48 @@ def extended(table: pa.Table, length: int) -> pa.Table:
         joined, last = pairs[joined >> HALF] if len(joined) else joined, joined & ((1 << HALF) - 1)
     else:
         last = np.zeros(len(joined), np.int64)
-    return pa.table([pa.array(np.full(len(joined), chunk), pa.int64()), pa.array(joined), pa.array(last), pa.array(counts, pa.int32())], ["chunk", "key", "word", "n"])
+    with np.errstate(over="ignore"):
+        bucket = (mix(joined.view(np.uint64) + mix(last.view(np.uint64))) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    columns = [joined[order].astype("<i8"), last[order].astype("<i4") if length == 3 else None, counts[order].astype("<i4")]
+    bucket = bucket[order]
+    starts = np.nonzero(np.diff(bucket, prepend=-1))[0]
+    ends = np.append(starts[1:], len(bucket))[: len(starts)]
+    packed = [pa.nulls(len(starts), pa.binary()) if c is None else pa.array([c[x:y].tobytes() for x, y in zip(starts, ends, strict=True)], pa.binary()) for c in columns]
+    return pa.table([pa.array(bucket[starts]), pa.array(np.full(len(starts), chunk), pa.int64()), *packed], ["bucket", "chunk", "keys", "words", "counts"])
+
+
+def _unpacked(column: pa.ChunkedArray, kind: str) -> np.ndarray:
+    """The numbers of packed rows as one array."""
+    return np.concatenate([np.empty(0, kind), *(np.frombuffer(x.as_buffer(), kind) for x in column)])
+
+
+def summed(table: pa.Table, length: int, least: int) -> pa.Table:
+    """chunk, key, word, f, keys: the phrases of a bucket that occur ``least`` times, and the packed keys of those of each chunk (f null)."""
+    keys, counts = _unpacked(table.column("keys"), "<i8"), _unpacked(table.column("counts"), "<i4")
+    words = _unpacked(table.column("words"), "<i4") if length == 3 else None
+    order = np.argsort(keys, kind="stable") if words is None else np.lexsort((words, keys))
+    sorted_keys, sorted_words = keys[order], None if words is None else words[order]
+    new = np.diff(sorted_keys, prepend=sorted_keys[:1] - 1) != 0
+    if words is not None:
+        new |= np.diff(sorted_words, prepend=sorted_words[:1] - 1) != 0
+    starts = np.nonzero(new)[0]
+    sums = np.add.reduceat(counts[order].astype(np.int64), starts)
+    often = sums >= least
+    found = starts[often]
+    out = [pa.table([pa.nulls(len(found), pa.int64()), pa.array(sorted_keys[found]), pa.array(np.zeros(len(found), np.int64) if words is None else sorted_words[found].astype(np.int64)), pa.array(sums[often]), pa.nulls(len(found), pa.binary())], _SUMMED)]
+    if words is None:  # pairs return to their chunks
+        keep = np.empty(len(keys), bool)
+        keep[order] = np.repeat(often, np.diff(np.append(starts, len(keys))))
+        chunks, ends = table.column("chunk").to_pylist(), np.cumsum([len(x.as_buffer()) // 8 for x in table.column("keys")])
+        own = [(c, keys[x:y][keep[x:y]]) for c, x, y in zip(chunks, [0, *ends[:-1]], ends, strict=True)]
+        own = [(c, k.tobytes()) for c, k in own if len(k)]
+        n = len(own)
+        out.append(pa.table([pa.array([c for c, _ in own], pa.int64()), *[pa.nulls(n, pa.int64())] * 3, pa.array([k for _, k in own], pa.binary())], _SUMMED))
+    return pa.concat_tables(out)
+
+
+_SUMMED = pa.schema([("chunk", pa.int64()), ("key", pa.int64()), ("word", pa.int64()), ("f", pa.int64()), ("keys", pa.binary())])
 
 
 def _rows(df: DataFrame, level: int, **columns: Column) -> DataFrame:
@@ -179,8 +220,10 @@ def _rows(df: DataFrame, level: int, **columns: Column) -> DataFrame:
     return df.select("chunk", F.lit(level).alias("level"), *(columns.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items()))
 
 
-def extend(rows: DataFrame, length: int) -> DataFrame:
-    return rows.groupBy("chunk").applyInArrow(lambda t: extended(t, length), "chunk long, key long, word long, n int")
+def extend(rows: DataFrame, length: int, least: int, buckets: int) -> DataFrame:
+    """Frequent phrases of ``length`` words, and what returns to the chunks; see ``summed``."""
+    dealt = rows.groupBy("chunk").applyInArrow(lambda t: extended(t, length, buckets), "bucket int, chunk long, keys binary, words binary, counts binary")
+    return dealt.groupBy("bucket").applyInArrow(lambda t: summed(t, length, least), "chunk long, key long, word long, f long, keys binary")
 
 
 def floored_score(a: str, first: str, rest: str) -> Column:
@@ -208,18 +251,17 @@ def collocations(docs: DataFrame, least: int = 10, inside: int = 50, top: int =
     back = back.groupBy("chunk").agg(F.collect_list(F.col("code").cast("long")).alias("keys"), F.collect_list("id").alias("ids"))
     known = materialize(_rows(back, 1, keys=F.col("keys"), ids=F.col("ids")), "phrase-known")
 
-    of_key = Window.partitionBy("key")
-    pairs = extend(places.unionByName(known), 2)
-    pairs = pairs.select("chunk", "key", F.sum("n").over(of_key).alias("f"), (F.min("chunk").over(of_key) == F.col("chunk")).alias("one"))
-    pairs = materialize(pairs.filter(F.col("f") >= least), "phrase-pairs")
-    again = _rows(pairs.groupBy("chunk").agg(F.collect_list("key").alias("keys")), 2, keys=F.col("keys"))
-    triples = extend(places.unionByName(known).unionByName(again), 3)
-    triples = triples.groupBy("key", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
+    every = totals.agg(F.sum("n")).first()[0] or 0
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-every // BUCKET_WORDS))
+    pairs = materialize(extend(places.unionByName(known), 2, least, buckets), "phrase-pairs")
+    again = _rows(pairs.filter("f is null"), 2, codes=F.col("keys"))
+    pairs = pairs.filter("f is not null")
+    triples = extend(places.unionByName(known).unionByName(again), 3, least, buckets)
     second = F.shiftleft(F.col("key").bitwiseAND((1 << HALF) - 1), HALF).bitwiseOR(F.col("word")).alias("second")
     triples = materialize(triples.select("key", second, "f"), "phrase-triples")
 
     own = lambda at: words.select(F.col("id").alias(at), F.col("word").alias(f"w{at}"), F.col("f").alias(f"f{at}"), "lang")
-    two = pairs.filter("one").select("key", "f", F.shiftright("key", HALF).alias("1"), F.col("key").bitwiseAND((1 << HALF) - 1).alias("2"))
+    two = pairs.select("key", "f", F.shiftright("key", HALF).alias("1"), F.col("key").bitwiseAND((1 << HALF) - 1).alias("2"))
     two = materialize(two.join(own("1"), "1").join(own("2").drop("lang"), "2").select("key", "lang", "f", "w1", "w2", "f1", "f2"), "phrase-two")
     front = two.select("key", "lang", F.col("f").alias("ff"), F.concat_ws(" ", "w1", "w2").alias("w"), "f1")
     rear = two.select(F.col("key").alias("second"), F.col("f").alias("fr"), "w2", "f2")

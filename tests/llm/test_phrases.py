@@ -4,6 +4,9 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,3 +72,28 @@ def test_scores_pass_64_bits(spark):
     big = 10**14 + 7
     row = spark.createDataFrame([(big, big + 5, 3 * big)], "a long, l long, r long").select(phrases.floored_score("a", "l", "r")).first()
     assert row[0] == 10**6 * big * big // ((big + 5) * 3 * big)
+
+
+def test_counts_are_dealt_packed():
+    rng = np.random.default_rng(3)
+    texts, counts, dealt = [], Counter(), []
+    for chunk in (5, 9):
+        words = rng.integers(0, 40, 3000).astype("<i4")
+        words[::50] = -1
+        counts.update((int(a), int(b)) for a, b in zip(words[:-1], words[1:], strict=True) if a >= 0 and b >= 0)
+        texts.append(words)
+        rows = [{"chunk": chunk, "level": 0, "keys": None, "ids": None, "seq": 0, "codes": words.tobytes()}, {"chunk": chunk, "level": 1, "keys": list(range(40)), "ids": list(range(40)), "seq": None, "codes": None}]
+        kinds = {"chunk": pa.int64(), "level": pa.int32(), "keys": pa.list_(pa.int64()), "ids": pa.list_(pa.int64()), "seq": pa.int32(), "codes": pa.binary()}
+        dealt.append(phrases.extended(pa.Table.from_pylist(rows, pa.schema(kinds.items())), 2, 4))
+    dealt = pa.concat_tables(dealt)
+    assert dealt.num_rows == 8  # a row for each bucket and chunk, not one for each pair
+    found, back = {}, {}
+    for bucket in range(4):
+        for r in phrases.summed(dealt.filter(pc.equal(dealt["bucket"], bucket)), 2, 4).to_pylist():
+            if r["f"] is None:
+                back.setdefault(r["chunk"], []).extend(np.frombuffer(r["keys"], "<i8").tolist())
+            else:
+                found[r["key"] >> 32, r["key"] & 0xFFFFFFFF] = r["f"]
+    assert found == {k: n for k, n in counts.items() if n >= 4} and found
+    for chunk, words in zip((5, 9), texts, strict=True):
+        assert sorted(back[chunk]) == sorted({int(a) << 32 | int(b) for a, b in zip(words[:-1], words[1:], strict=True) if a >= 0 and b >= 0 and (a, b) in found})
