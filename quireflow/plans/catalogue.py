@@ -534,9 +534,9 @@ def image_rotate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def image_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Images encoded as JPEG files that are committed together, decoded by Spark's image source, and held against the originals: close is a mean of at most 3 of 255."""
     folder, own = committed.shared_folder(spark, "image-jpeg"), _images(spark, sf_dir)
-    outputs.write_files(outputs.image_files(own, F.format_string("doc_%d.jpg", "doc_id"), outputs.jpeg), folder)
+    outputs.write_files(outputs.image_files(own, _in_folders(F.format_string("doc_%d.jpg", "doc_id")), outputs.jpeg), folder)
     number = F.regexp_extract("path", r"doc_(\d+)\.jpg$", 1).cast("long").alias("doc_id")
-    read = scans.images(spark, folder).filter("success").select(number, F.col("image").alias("decoded"))
+    read = scans.decoded_images(spark, folder, committed.shared_folder(spark, "image-jpeg-decoded")).filter("success").select(number, F.col("image").alias("decoded"))
     apart = images.differences(own.join(read, "doc_id").withColumns({"height": F.col("decoded.height"), "width": F.col("decoded.width")}), "image", "decoded", ["doc_id", "height", "width"])
     return apart.select("doc_id", "height", "width", F.coalesce(F.col("mean") <= 3, F.lit(False)).alias("close"))
 

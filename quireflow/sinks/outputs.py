@@ -109,12 +109,17 @@ def netpbm(pixels: np.ndarray) -> bytes:
     return f"P{5 if c == 1 else 6} {w} {h} 255\n".encode() + np.ascontiguousarray(pixels if c == 1 else pixels[..., 2::-1]).tobytes()
 
 
+#: Bytes of files that a task encodes before it gives them on.
+FILE_BYTES = 4_000_000
+
+
 def image_files(images: DataFrame, name: Column, encoder: Callable[[], Callable[[np.ndarray], bytes]], image: str = "image") -> DataFrame:
     """name and content of an encoded file for every image struct; what cannot be encoded has content null and an error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder()
         for batch in batches:
+            start, contents, errors, size = 0, [], [], 0
             for at in range(batch.num_rows):
                 own, content, error = batch.column(1)[at], None, None
                 try:
@@ -122,7 +127,12 @@ def image_files(images: DataFrame, name: Column, encoder: Callable[[], Callable[
                     content = encode(pixels_of(row | {"data": own["data"].as_buffer()}))
                 except Exception as e:
                     error = f"{type(e).__name__}: {e}"
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 1), pa.array([content], pa.binary()), pa.array([error], pa.string())], ["name", "content", "error"])
+                contents.append(content)
+                errors.append(error)
+                size += len(content or b"")
+                if size >= FILE_BYTES or at + 1 == batch.num_rows:
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(contents)), pa.array(contents, pa.binary()), pa.array(errors, pa.string())], ["name", "content", "error"])
+                    start, contents, errors, size = at + 1, [], [], 0
 
     return images.select(name.alias("name"), image).mapInArrow(run, "name string, content binary, error string")
 

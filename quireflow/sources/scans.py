@@ -191,12 +191,54 @@ def rerender(docs: DataFrame, states: DataFrame, opener: Callable[[bytes], Docum
     return out.withColumn("output_path", page_image_name(F.col("path"), F.col("page_number"), "_rescaled.jpg"))
 
 
-def images(spark: SparkSession, path: str) -> DataFrame:
-    """Decoded images; what cannot be decoded is a row with success false."""
+def images(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Decoded images of a folder or several; what cannot be decoded is a row with success false."""
     df = spark.read.format("image").option("dropInvalid", "false").load(path)
     return df.select(F.col("image.origin").alias("path"), (F.col("image.height") > 0).alias("success"), "image")
 
 
+#: Files that Spark's index has on the driver at a time, and what opening one counts for when they are dealt to tasks.
+ROUND_FILES, OPEN_BYTES = 20_000, 16_384
+
+
+def rounds(spark: SparkSession, path: str, most: int = ROUND_FILES) -> list[list[str]] | None:
+    """The folders below a path in lists of ``most`` files (one folder at least); None where tasks can't list them."""
+    found = files.listed(spark, path)
+    if found is None:
+        return None
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    out: list[list[str]] = []
+    room = 0
+    for row in found.groupBy(folder.alias("folder")).count().orderBy("folder").collect():  # a row a folder
+        if not out or row["count"] > room:
+            out.append([])
+            room = most
+        out[-1].append(row.folder)
+        room -= row["count"]
+    return out
+
+
+def decoded_images(spark: SparkSession, path: str, to: str) -> DataFrame:
+    """As :func:`images`, of all folders below a path, as a table at ``to``.
+
+    Only Spark's source decodes, and its index of files is the driver's, so some
+    folders are read at a time: more files make more rounds, not a larger driver.
+    A folder is never divided.
+    """
+    parts = rounds(spark, path)
+    if parts is None:
+        return images(spark, path)
+    key = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, OPEN_BYTES)  # else a task takes a few files only
+    try:
+        for folders in parts or [path]:
+            images(spark, folders).write.mode("append").parquet(to)
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.schema(images(spark, parts[0][:1] if parts else path).schema).parquet(to)
+
+
 def image_info(spark: SparkSession, path: str) -> DataFrame:
     """width, height, channels and bytes of image files."""
     files = spark.read.format("binaryFile").load(path).select("path", "length")

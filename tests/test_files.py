@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quireflow.plans import catalogue, stand_ins
-from quireflow.sinks import committed
+from quireflow.sinks import committed, outputs
 from quireflow.sources import files, pdf, scans, texts
 
 
@@ -93,3 +93,20 @@ def test_pages_drawn_by_blocks_of_lines(monkeypatch):
 def test_pdf_files_stand_in_folders(spark, tmp_path):
     names = spark.range(500).select(catalogue._in_folders(F.format_string("doc_%d.pdf", "id")).alias("n")).collect()
     assert len({r.n.split("/")[0] for r in names}) > 200 and names[7].n.endswith("/doc_7.pdf")
+
+
+def test_images_are_decoded_in_rounds(spark, tmp_path, monkeypatch):
+    image = F.struct(F.lit("").alias("origin"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("nChannels"), F.lit(0).alias("mode"), F.encode(F.repeat(F.chr(F.col("id") + 40), 64), "utf-8").alias("data"))
+    own = spark.range(60).select(F.format_string("%d/%d.jpg", F.col("id") % 6, "id").alias("name"), image.alias("image"))
+    outputs.write_files(outputs.image_files(own, F.col("name"), outputs.jpeg), f"file://{tmp_path}/in")
+    parts = scans.rounds(spark, str(tmp_path / "in"), 25)
+    assert [len(x) for x in parts] == [2, 2, 2] and len({f for x in parts for f in x}) == 6
+    seen, read = [], scans.images
+    monkeypatch.setattr(scans, "rounds", lambda *_, f=scans.rounds: f(*_, 25))
+    monkeypatch.setattr(scans, "images", lambda s, p: seen.append(p) or read(s, p))
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    got = scans.decoded_images(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/out").collect()
+    assert len(seen) == 4 and spark.conf.get("spark.sql.files.openCostInBytes") == cost  # three rounds and a schema
+    assert {int(r.path.rpartition("/")[2][:-4]): bytes(r.image.data) for r in got} == {i: bytes([i + 40]) * 64 for i in range(60)}
+    (tmp_path / "none").mkdir()
+    assert scans.decoded_images(spark, str(tmp_path / "none"), str(tmp_path / "out2")).count() == 0
