@@ -13,6 +13,7 @@ from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,25 +43,52 @@ def slice_rows(image: Column, start: Column, end: Column) -> Column:
     return F.struct(image["origin"].alias("origin"), (end - start).cast("int").alias("height"), image["width"].alias("width"), image["nChannels"].alias("nChannels"), image["mode"].alias("mode"), data.alias("data"))
 
 
-#: The first line of a file of pixels is not longer.
-HEAD = 64
+def packed(df: DataFrame, folder: str, image: str = "image") -> DataFrame:
+    """The other columns and ``place``: where the image's pixels, if any, stand in a file below ``folder`` that has those of all images of a task.
 
+    Each attempt writes a file of its own, so the rows should be written as a
+    table at once; a reference to all rows of an image, or to some, is its place
+    followed by ``:first-last``.
+    """
+    carried = [c for c in df.columns if c != image]
 
-def raw_bytes(image: Column) -> Column:
-    """An image struct as the bytes of a file: height, width and channels on a line, then the pixels."""
-    head = F.concat(F.concat_ws(" ", image["height"], image["width"], image["nChannels"]), F.lit("\n"))
-    return F.concat(F.encode(head, "utf-8"), image["data"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = file_system(folder)
+        task = TaskContext.get()
+        name, out, at = f"{task.stageId()}-{task.partitionId()}-{task.taskAttemptId()}.pixels", None, 0
+        try:
+            for batch in batches:
+                places = []
+                for own in batch.column(image):
+                    if not own.is_valid or not own["data"].is_valid:
+                        places.append(None)
+                        continue
+                    if out is None:
+                        system.create_dir(root, recursive=True)
+                        out = system.open_output_stream(f"{root}/{name}")
+                    data = own["data"].as_buffer()
+                    places.append(f"{folder}/{name}#{at},{','.join(str(own[k].as_py()) for k in ('height', 'width', 'nChannels'))}")
+                    out.write(data)
+                    at += data.size
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), pa.array(places, pa.string())], [*carried, "place"])
+        finally:
+            if out is not None:
+                out.close()
+
+    own = df.select(*carried, image)
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in own.schema.fields[:-1])
+    return own.mapInArrow(run, f"{fields}place string")
 
 
 def read_raw(reference: str) -> dict:
-    """The image of such a file, or of its rows a to b where ``#a-b`` follows its path; read where it is needed, and no more of it."""
-    path, _, lines = reference.partition("#")
-    system, at = file_system(path)
-    with system.open_input_file(at) as f:
-        head = f.read(HEAD).split(b"\n")[0]
-        height, width, channels = map(int, head.split())
-        start, end = map(int, lines.split("-")) if lines else (0, height)
-        f.seek(len(head) + 1 + start * width * channels)
+    """The image at a place, or its rows a to b where ``:a-b`` follows; read where it is needed, and no more of it."""
+    path, _, place = reference.rpartition("#")
+    place, _, lines = place.partition(":")
+    at, height, width, channels = map(int, place.split(","))
+    start, end = map(int, lines.split("-")) if lines else (0, height)
+    system, own = file_system(path)
+    with system.open_input_file(own) as f:
+        f.seek(at + start * width * channels)
         data = f.read((end - start) * width * channels)
     return {"origin": path, "height": end - start, "width": width, "nChannels": channels, "mode": 0, "data": data}
 

@@ -604,7 +604,7 @@ def whole_document(spark: SparkSession, sf_dir: str) -> DataFrame:
         sleep=_no_sleep,
     )
     settings = overlay(Settings(), {"steps": {"judge": True, "rotate": True}, "dewarp": {"enable_strong_correction": False}})
-    got = whole.run(_laid_out(spark, sf_dir), parts, settings)
+    got = whole.run(_laid_out(spark, sf_dir), parts, settings, last=True)
     return got.tables["integrate"].select("session_id", "engine", "files_count", F.md5("integrated_text").alias("text_md5"), "total_characters")
 
 

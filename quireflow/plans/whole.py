@@ -27,7 +27,6 @@ from quireflow.functions.names import group_key
 from quireflow.functions.parsing import judged_angle, parse_ocr
 from quireflow.operators import images, integration, judgments, recognition, routing, tiles
 from quireflow.plans.store import Store, fingerprint
-from quireflow.sinks import committed
 from quireflow.sources import scans
 
 log = logging.getLogger(__name__)
@@ -75,7 +74,7 @@ class Run:
 
     @property
     def success(self) -> bool:
-        return "render" in self.tables
+        return bool(self.tables)
 
     @property
     def final_stage(self) -> str | None:
@@ -167,6 +166,7 @@ def judge(pages: DataFrame, docs: DataFrame, components: Components, settings: S
     if not settings.dewarp.enabled or components.detector is None:
         return own
     own = keep(own, "refined")
+    keep.drop("judged", "rerendered")
     warped = F.coalesce(F.col("success") & F.col("judged") & F.col("needs_dewarping"), F.lit(False))
     done = F.col("warp_error").isNull() & ~F.col("skipped")
     flat = _dewarped(own.filter(warped), components, settings).withColumn("dewarping_applied", done)
@@ -207,30 +207,32 @@ def split(pages: DataFrame, components: Components, settings: Settings, keep: St
     return left.unionByName(cut).withColumn("error", F.coalesce("page_error", "error")).drop("page_error")
 
 
+def _tiles(own: DataFrame, settings: Settings) -> DataFrame:
+    """A record per strip and original of rows (MASK, height)."""
+    return tiles.tile_records(own, F.col("height"), settings.tiling).withColumn("group_key", group_key(F.col("page_number"), F.col("source_mask_index")))
+
+
 def tile(pages: DataFrame, settings: Settings) -> DataFrame:
     """A record per strip and original, with its own pixels; strips are slices of row-major bytes."""
     own = pages.filter(F.col("success") & F.col("image").isNotNull()).select(*MASK, "image", F.col("image.height").alias("height"))
-    rows = tiles.tile_records(own, F.col("height"), settings.tiling).withColumn("group_key", group_key(F.col("page_number"), F.col("source_mask_index")))
-    return rows.withColumn("image", images.slice_rows(F.col("image"), F.col("start_y"), F.col("end_y")))
+    return _tiles(own, settings).withColumn("image", images.slice_rows(F.col("image"), F.col("start_y"), F.col("end_y")))
 
 
-def recognize(rows: DataFrame, sources: DataFrame, components: Components, settings: Settings, keep: Store, folder: str) -> DataFrame:
+def recognize(sources: DataFrame, components: Components, settings: Settings, keep: Store, folder: str) -> DataFrame:
     """engine, success, error, extracted_text, note and counts of every group, in long form.
 
-    Each source is a file below ``folder``, a strip some rows of it; only the
-    references travel to the few partitions that call, which read them.
+    The sources' pixels are written side by side to a file a task below
+    ``folder``, a strip is some rows of one; only the references travel to the few
+    partitions that call, which read them.
     """
     if components.llm is None and components.document_ai is None:
         raise recognition.Unavailable("no recognizer")
     out = []
     none = F.lit(None)
-    key = group_key(F.col("page_number"), F.col("source_mask_index"))
-    name = F.concat(F.substring(F.md5("session_id"), 1, 2), F.lit("/"), F.md5("session_id"), F.lit("_"), key, F.lit(".pixels"))
-    if "references" not in keep.there:
-        drawn = sources.filter(F.col("success") & F.col("image").isNotNull())
-        committed.write_named(drawn.select(name.alias("name"), images.raw_bytes(F.col("image")).alias("content")), folder)
-    lines = F.concat(F.lit("#"), F.col("start_y"), F.lit("-"), F.col("end_y"))
-    paths = keep(rows.withColumn("image", F.concat(F.lit(f"{folder}/"), name, lines)), "references")
+    drawn = sources.filter(F.col("success") & F.col("image").isNotNull()).select(*MASK, "image", F.col("image.height").alias("height"))
+    placed = keep(images.packed(drawn, folder), "placed")
+    lines = F.concat(F.lit(":"), F.col("start_y"), F.lit("-"), F.col("end_y"))
+    paths = keep(_tiles(placed, settings).withColumn("image", F.concat("place", lines)).drop("place"), "references")
     if components.llm is not None:
         groups = tiles.ocr_groups(paths, "image", ("session_id",))
         answers = keep(recognition.recognize_groups(groups, components.llm, GROUP, cfg=settings.ocr, sleep=components.sleep, load=images.read_raw), "answers")
@@ -252,19 +254,22 @@ def integrate(results: DataFrame, settings: Settings) -> DataFrame:
     return integration.integrate(routing.succeeded(results), ["session_id", "engine"], order, "extracted_text", settings.integration)
 
 
-def run(docs: DataFrame, components: Components, settings: Settings = Settings(), options: dict[str, bool] | None = None, store: str | None = None) -> Run:
+def run(docs: DataFrame, components: Components, settings: Settings = Settings(), options: dict[str, bool] | None = None, store: str | None = None, last: bool = False) -> Run:
     """All stages over documents (session_id, path, content).  Errors are in the result, never raised.
 
     ``options`` are the three skip options.  Super resolution has no stage: the
     option is accepted and changes the setting only.  ``store`` is a folder that
     driver and executors share, by default a new one below
     ``spark.checkpoint.dir``; a second run of the same documents and settings
-    with the same store reads the stages that are finished there.
+    with the same store reads the stages that are finished there.  With ``last``
+    only the last stage's records are kept: a table goes when the stage that
+    reads it is done, tiles are no table, and at most a few copies of the pixels
+    are on disk at a time.
     """
     settings = apply_options(settings, options)
     out = Run(settings)
     steps = settings.steps
-    keep = Store(docs.sparkSession, store, fingerprint(docs, settings, components.ready()))
+    keep = Store(docs.sparkSession, store, fingerprint(docs, settings, components.ready()), last)
     out.reused = keep.reused
 
     def stage(name: str, on: bool, make: Callable[[], DataFrame], before: DataFrame | None) -> DataFrame | None:
@@ -272,7 +277,13 @@ def run(docs: DataFrame, components: Components, settings: Settings = Settings()
             out.skipped.append(name)
             return before
         try:
+            if last and name == "tile":  # cut from its sources wherever it is read
+                out.tables[name] = make()
+                return out.tables[name]
             out.tables[name] = keep(make(), name)
+            if last:
+                keep.drop(*[x for x in keep.written if x != name], *(["pixels"] if name == "recognize" else []))
+                out.tables = {name: out.tables[name]}
             return out.tables[name]
         except Exception as e:
             out.errors[name] = f"{type(e).__name__}: {e}"
@@ -287,7 +298,7 @@ def run(docs: DataFrame, components: Components, settings: Settings = Settings()
     # the split numbers images, so it runs even where nothing is to be cut
     sources = stage("split", True, lambda: split(pages, components if steps.split else dataclasses.replace(components, page_count=None), settings, keep), None)
     rows = stage("tile", sources is not None, lambda: tile(sources, settings), None)
-    results = stage("recognize", rows is not None and steps.recognize and settings.ocr.enabled, lambda: recognize(rows, sources, components, settings, keep, f"{keep.folder}/pixels"), None)
+    results = stage("recognize", rows is not None and steps.recognize and settings.ocr.enabled, lambda: recognize(sources, components, settings, keep, f"{keep.folder}/pixels"), None)
     stage("integrate", results is not None and steps.integrate, lambda: integrate(results, settings), None)
     return out
 

@@ -108,3 +108,29 @@ def test_few_groups_at_once_and_only_keys_travel(spark, tmp_path):
     missing = spark.createDataFrame([(1, "original", None, None)], "k int, image_type string, split_index int, image string")
     row = recognition.recognize_images(missing, parts.document_ai, "image", ["k"]).first()
     assert (row.success, row.error, calls()["document_ai"]) == (False, "missing image", 0)
+
+
+def test_the_last_stage_alone_leaves_no_pixels(spark, tmp_path, monkeypatch):
+    whole_run = whole.run(documents(spark, *TEXTS, b"d" * 25_000), counted(tmp_path)[0], ON)
+    (tmp_path / "other").mkdir()
+    parts, calls = counted(tmp_path / "other")
+    seen, call = [], whole.Store.__call__
+
+    def noted(store, df, name):
+        out = call(store, df, name)
+        seen.append(sorted(p.name for p in store_path(store).iterdir() if list(p.glob("*.parquet"))))
+        return out
+
+    store_path = lambda s: tmp_path.__class__(s.folder.removeprefix("file://"))
+    monkeypatch.setattr(whole.Store, "__call__", noted)
+    stores, init = [], whole.Store.__init__
+    monkeypatch.setattr(whole.Store, "__init__", lambda self, *a: (init(self, *a), stores.append(self))[0])
+    run = whole.run(documents(spark, *TEXTS, b"d" * 25_000), parts, ON, last=True)
+    assert run.success and not run.errors and list(run.tables) == ["integrate"]
+    assert sorted(map(tuple, run.result.collect())) == sorted(map(tuple, whole_run.result.collect()))
+    pixels = {"render", "judged", "rerendered", "refined", "judge", "angles", "rotate", "counted", "split"}
+    assert max(len(pixels & set(x)) for x in seen) <= 4 and "tile" not in {n for x in seen for n in x}
+    assert {p.name for p in store_path(stores[0]).iterdir()} == {"integrate", "finished"}
+    assert calls()["llm"] > 0 and whole.failures(run) is None
+    with pytest.raises(ValueError, match="named store"):
+        whole.run(documents(spark, *TEXTS), parts, ON, store=f"file://{tmp_path}/s", last=True)
